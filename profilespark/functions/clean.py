@@ -100,23 +100,28 @@ def right_closed_group(col: Column, edges: Sequence[float], names: Sequence[str]
 def short_number(col: Column) -> Column:
     """A double as text with six significant digits and no trailing zeros.
 
-    4.5 -> "4.5", 250.0 -> "250", 1234567.0 -> "1.23457e+06".
+    4.5 -> "4.5", 250.0 -> "250", 1234567.0 -> "1.23457e+06". Halves are rounded up.
     """
     value = col.cast("double")
-    scientific = F.format_string("%.5e", value)
-    exponent = F.split_part(scientific, F.lit("e"), F.lit(-1)).cast("int")
-    mantissa = F.split_part(scientific, F.lit("e"), F.lit(1))
+    scale = F.pow(F.lit(10.0), F.lit(5.0) - F.floor(F.log10(F.abs(value))))
+    # six digits are an exact whole number, and its quotient prints as just those digits
+    short = F.signum(value) * F.floor(F.abs(value) * scale + F.lit(0.5)) / scale
 
     def no_trailing_zeros(text: Column) -> Column:
-        # only the part after the decimal point may lose zeros
-        return F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
-
-    plain = None
-    for digits_before in range(-4, 6):
-        text = no_trailing_zeros(F.format_string(f"%.{5 - digits_before}f", value))
-        branch = exponent == digits_before
-        plain = F.when(branch, text) if plain is None else plain.when(branch, text)
-    result = plain.otherwise(
-        F.concat(no_trailing_zeros(mantissa), F.lit("e"), F.split_part(scientific, F.lit("e"), F.lit(-1)))
+        return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+
+    scientific = F.format_string("%.5e", value)
+    return (
+        F.when(value == 0, F.lit("0"))
+        .when(
+            F.abs(short).between(0.001, 999999.5),
+            F.regexp_replace(short.cast("string"), r"\.0$", ""),
+        )
+        .when(F.abs(short).between(0.0001, 0.001), no_trailing_zeros(F.format_string("%.9f", short)))
+        .otherwise(
+            F.concat(
+                no_trailing_zeros(F.substring_index(scientific, "e", 1)), F.lit("e"),
+                F.substring_index(scientific, "e", -1),
+            )
+        )
     )
-    return F.when(value == 0, F.lit("0")).otherwise(result)

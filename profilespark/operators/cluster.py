@@ -103,7 +103,7 @@ def silhouette_points(
         return pdf[[*by, row_id, "cluster"]].assign(a=a, b=b, s=s)
 
     # one group per `by` value (the candidate k); each is a sample of bounded size
-    grouped = sample.groupBy(*by) if by else sample.groupBy(F.lit(0))
+    grouped = sample.groupBy(*by) if by else sample.withColumn("_all", F.lit("all")).groupBy("_all")
     return grouped.applyInPandas(score, schema)
 
 

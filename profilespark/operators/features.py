@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from profilespark.contract import Contract
 from profilespark.functions.clean import canonical_text, in_bounds, quoted, to_number
 from profilespark.operators.ordered import exact_quantiles
-from profilespark.operators.quality import clean_features, require_columns
+from profilespark.operators.quality import clean_column, clean_features, require_columns, stage
 from profilespark.operators.stats import category_counts
 
 #: a category column with more values than this is an identifier, not a category
@@ -103,42 +103,31 @@ class Preparation:
             modes=dict(data["modes"]), vocabulary={c: tuple(v) for c, v in data["vocabulary"].items()},
         )
 
-    def imputed(self, column: str) -> Column:
-        col = F.col(quoted(column))
-        if column in self.medians:
-            return F.coalesce(col, F.lit(float(self.medians[column])))
-        return F.coalesce(col, F.lit(self.modes[column]))
-
-    def scaled(self, column: str) -> Column:
+    def _scaled(self, cleaned: Column, column: str) -> Column:
         mean, std = float(self.means[column]), float(self.stds[column])
-        return (self.imputed(column) - F.lit(mean)) / F.lit(std)
+        return (F.coalesce(cleaned, F.lit(float(self.medians[column]))) - F.lit(mean)) / F.lit(std)
 
     def transform(self, df: DataFrame, contract: Contract, output: str = "features") -> DataFrame:
         """Clean, impute, scale and encode into a vector column; all other columns stay."""
         # cleaned values live in columns of their own: callers keep their raw input
         temporary = {f"_p_{i}": c for i, c in enumerate([*self.numeric, *self.categorical])}
         require_columns(df, list(temporary.values()), "feature")
-        expressions = {}
-        for name, column in temporary.items():
-            raw = F.col(quoted(column))
-            if column in self.numeric:
-                value = in_bounds(to_number(raw, df.schema[column].dataType), contract.bounds.get(column))
-                mean, std = float(self.means[column]), float(self.stds[column])
-                value = (F.coalesce(value, F.lit(float(self.medians[column]))) - F.lit(mean)) / F.lit(std)
-            else:
-                value = F.coalesce(canonical_text(raw, contract.aliases.get(column)), F.lit(self.modes[column]))
-            expressions[name] = value
-        staged = df.withColumns(expressions)
+        columns = list(temporary.values())
+        parsed = stage(df, contract, columns)
+        cleaned = parsed.withColumns({n: clean_column(parsed, contract, c) for n, c in temporary.items()})
+        staged = cleaned.withColumns({
+            n: self._scaled(F.col(n), c) if c in self.numeric else F.coalesce(F.col(n), F.lit(self.modes[c]))
+            for n, c in temporary.items()
+        }).drop(*[f"_s_{c}" for c in columns])
         inputs = [n for n, c in temporary.items() if c in self.numeric]
         dropped = list(temporary)
         texts = [n for n, c in temporary.items() if c in self.categorical and self.vocabulary[c]]
         if texts:
             indexed = [f"{n}_i" for n in texts]
             encoded = [f"{n}_v" for n in texts]
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                [list(self.vocabulary[temporary[n]]) for n in texts], texts, indexed, handleInvalid="keep"
-            )
-            staged = indexer.transform(staged)
+            for n in texts:
+                labels = list(self.vocabulary[temporary[n]])
+                staged = StringIndexerModel.from_labels(labels, n, f"{n}_i", handleInvalid="keep").transform(staged)
             # the "kept" index for unseen values is the last one, and the last one is dropped;
             # category counts come from column metadata, so fitting reads no rows
             encoder = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="error")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from profilespark.contract import Contract
 from profilespark.functions import clean as C
@@ -25,12 +26,34 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str = "required
         raise ValueError(f"Missing {what} columns: {missing}")
 
 
+def stage(df: DataFrame, contract: Contract, columns: Sequence[str]) -> DataFrame:
+    """Add `_s_<column>`: the parsed number or the stripped text of each text column.
+
+    Later rules read such a value several times; a projection of its own makes sure
+    that parsing and stripping run once per cell.
+    """
+    staged = {}
+    for c in columns:
+        kind = df.schema[c].dataType
+        source = F.col(C.quoted(c))
+        if c not in contract.numeric:
+            staged[f"_s_{c}"] = C.strip(source.cast("string"))
+        elif isinstance(kind, T.StringType):
+            staged[f"_s_{c}"] = C.to_number(source, kind)
+    return df.withColumns(staged) if staged else df
+
+
 def clean_column(df: DataFrame, contract: Contract, column: str) -> Column:
-    source = F.col(C.quoted(column))
+    """Cleaned value of one column of a staged table."""
+    staged = f"_s_{column}"
     if column in contract.numeric:
-        number = C.to_number(source, df.schema[column].dataType)
+        if staged in df.columns:
+            number = F.col(C.quoted(staged))
+        else:
+            number = C.to_number(F.col(C.quoted(column)), df.schema[column].dataType)
         return C.in_bounds(number, contract.bounds.get(column)).alias(column)
-    return C.canonical_text(source, contract.aliases.get(column)).alias(column)
+    text = F.col(C.quoted(staged)) if staged in df.columns else C.strip(F.col(C.quoted(column)).cast("string"))
+    return F.nullif(C.alias_value(text, contract.aliases.get(column)), F.lit("")).alias(column)
 
 
 def clean_features(
@@ -39,8 +62,9 @@ def clean_features(
     """Lenient cleaning: bad cells become null, rows stay. Only contract columns remain."""
     columns = tuple(features or contract.features)
     require_columns(df, columns, "feature")
-    return df.select(
-        *[F.col(C.quoted(c)) for c in keep], *[clean_column(df, contract, c) for c in columns]
+    staged = stage(df, contract, columns)
+    return staged.select(
+        *[F.col(C.quoted(c)) for c in keep], *[clean_column(staged, contract, c) for c in columns]
     )
 
 
@@ -91,11 +115,11 @@ def labelled_profiles(df: DataFrame, contract: Contract) -> DataFrame:
     require_columns(df, contract.features + (contract.target,))
     # the raw null test comes first, so it can be pushed to the scan
     labelled = df.filter(F.col(C.quoted(contract.target)).isNotNull())
+    labelled = stage(labelled, contract, contract.features + (contract.target,))
     keep = [F.col(C.quoted(contract.row_id)).alias(contract.row_id)] if contract.row_id else []
     return labelled.select(
         *keep,
-        *[clean_column(df, contract, c) for c in contract.features],
-        clean_target(contract).alias(contract.target),
+        *[clean_column(labelled, contract, c) for c in contract.features + (contract.target,)],
     ).filter(F.col(C.quoted(contract.target)).isNotNull())
 
 
@@ -160,7 +184,8 @@ def audit(df: DataFrame, contract: Contract) -> DataFrame:
     target = C.quoted(contract.target)
 
     distinct = df.groupBy(*[C.quoted(c) for c in raw_columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    label = clean_target(contract)
+    distinct = stage(distinct, contract, contract.features + (contract.target,))
+    label = clean_column(distinct, contract, contract.target)
     has_label = label.isNotNull()
 
     counters: dict[str, Column] = {
@@ -171,11 +196,11 @@ def audit(df: DataFrame, contract: Contract) -> DataFrame:
     for column in raw_columns:
         counters[f"raw_missing/{column}"] = F.when(C.is_missing(df, column), F.col("_copies")).otherwise(0)
     for column in contract.numeric:
-        lost = ~C.is_missing(df, column) & clean_column(df, contract, column).isNull()
+        lost = ~C.is_missing(df, column) & clean_column(distinct, contract, column).isNull()
         counters[f"invalid_numeric_values/{column}"] = F.when(has_label & lost, 1).otherwise(0)
 
     profiled = distinct.select(
-        *[clean_column(df, contract, c).alias(f"_f{i}") for i, c in enumerate(features)],
+        *[clean_column(distinct, contract, c).alias(f"_f{i}") for i, c in enumerate(features)],
         label.alias("_label"),
         *[value.cast("long").alias(f"_c{i}") for i, value in enumerate(counters.values())],
     )

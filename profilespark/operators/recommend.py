@@ -162,39 +162,53 @@ def _item(category: Column, title, priority, reason, action, feature, observed,
     rank = F.when(priority == "High", 0).when(priority == "Medium", 1).otherwise(2)
     return F.struct(
         rank.alias("_rank"), (-relevance).alias("_order"), category.alias("category"),
-        title.alias("title"), priority.alias("priority"), reason.alias("reason"), reason.alias("description"),
-        action.alias("action"), feature.alias("source_feature"), observed.alias("observed_value"),
+        title.alias("title"), priority.alias("priority"), reason.alias("reason"), action.alias("action"), feature.alias("source_feature"), observed.alias("observed_value"),
         threshold.alias("threshold_value"),
     )
 
 
-def recommendation_items(
+def with_items(
     df: DataFrame, label: str, labels: Sequence[str], thresholds: Mapping[str, object] | None = None,
-    rules: RuleSet = SURVEY_RULES, max_items: int = MAX_ITEMS,
-) -> Column:
-    """array<struct<category, title, priority, reason, description, action,
-    source_feature, observed_value, threshold_value>> for each row."""
+    rules: RuleSet = SURVEY_RULES, max_items: int = MAX_ITEMS, output: str = "items",
+) -> DataFrame:
+    """Add array<struct<category, title, priority, reason, description, action,
+    source_feature, observed_value, threshold_value>> to each row.
+
+    The steps are separate projections: an array that is read twice is built once.
+    """
     limits = thresholds or DEFAULT_THRESHOLDS
     predicted = F.col(quoted(label)).cast("string")
-    priority = priority_for(predicted, labels)
+    features = {rule.feature for rule in rules.rules} | ({rules.minor_column} if rules.minor_column else set())
+    numbers = {f: f"_v_{i}" for i, f in enumerate(sorted(features))}
+    texts_at = {name: f"_t_{i}" for i, name in enumerate(rules.texts)}
+    staged: dict[str, Column] = {v: _number(df, f) for f, v in numbers.items()}
+    for name, (column, _) in rules.texts.items():
+        found = strip(F.col(quoted(column)).cast("string")) if column in df.columns else F.lit(None).cast("string")
+        staged[texts_at[name]] = found
+    source = df.withColumns(staged)
+    source = source.withColumns({
+        **{f"{v}s": short_number(F.col(v)) for v in numbers.values()},
+        **{t: F.coalesce(F.nullif(F.col(t), F.lit("")), F.lit(rules.texts[n][1])) for n, t in texts_at.items()},
+        "_priority": priority_for(predicted, labels),
+    })
+    helpers = [*numbers.values(), *[f"{v}s" for v in numbers.values()], *texts_at.values(), "_priority"]
+    priority = F.col("_priority")
     words: dict[str, Column] = {"label": predicted, "label_lower": F.lower(predicted)}
-    for name, (column, fallback) in rules.texts.items():
-        text = strip(F.col(quoted(column)).cast("string")) if column in df.columns else F.lit(None).cast("string")
-        words[name] = F.coalesce(F.nullif(text, F.lit("")), F.lit(fallback))
+    words.update({name: F.col(t) for name, t in texts_at.items()})
 
     candidates: list[Column] = []
     for rule in rules.rules:
-        value = _number(df, rule.feature)
+        value = F.col(numbers[rule.feature])
         limit = float(limits[rule.feature][rule.threshold])
         fired = value < F.lit(limit) if rule.side == "below" else value > F.lit(limit)
-        texts = {**words, "value": short_number(value)}
+        texts = {**words, "value": F.col(numbers[rule.feature] + "s")}
         candidates.append(F.when(fired, _item(
             F.lit(rule.category), F.lit(rule.title), priority, fill(rule.reason, texts), fill(rule.action, texts),
             F.lit(rule.feature), value, F.lit(limit), F.abs(value - F.lit(limit)) / F.lit(max(limit, 1.0)),
         )))
     nothing = F.lit(None).cast("double")
     if rules.minor_column:
-        minor = F.coalesce(_number(df, rules.minor_column) < F.lit(rules.minor_below), F.lit(False))
+        minor = F.coalesce(F.col(numbers[rules.minor_column]) < F.lit(rules.minor_below), F.lit(False))
         support_action = F.when(minor, F.lit(rules.minor_action)).otherwise(F.lit(rules.support_action))
     else:
         support_action = F.lit(rules.support_action)
@@ -208,20 +222,27 @@ def recommendation_items(
         F.lit(None).cast("string"), nothing, nothing, F.lit(0.0),
     ))
 
-    fired_items = F.array_compact(F.array(*candidates))
+    items = F.col(output)
+    result = source.withColumn(output, F.array_compact(F.array(*candidates)))
     # the leading struct fields are the sort key
-    ordered = F.array_sort(F.when(F.size(fired_items) > 0, fired_items).otherwise(fallback))
+    result = result.withColumn(output, F.array_sort(F.when(F.size(items) > 0, items).otherwise(fallback)))
     categories = {rule.category for rule in rules.rules} | {rules.support_category}
     if len(categories) < len(rules.rules) + 1:
-        names = F.transform(ordered, lambda item: item.category)
-        ordered = F.filter(
-            F.transform(ordered, lambda item, i: F.when(F.array_position(names, item.category) == i + 1, item)),
+        result = result.withColumn("_names", F.transform(items, lambda item: item.category))
+        first = F.filter(
+            F.transform(
+                items, lambda item, i: F.when(F.array_position(F.col("_names"), item.category) == i + 1, item)
+            ),
             lambda item: item.isNotNull(),
         )
-    kept = F.slice(ordered, 1, max_items)
-    public = ("category", "title", "priority", "reason", "description", "action",
-              "source_feature", "observed_value", "threshold_value")
-    return F.transform(kept, lambda item: F.struct(*[item.getField(f).alias(f) for f in public]))
+        result = result.withColumn(output, first).drop("_names")
+
+    def public(item: Column) -> Column:
+        kept = [item.getField(f).alias(f) for f in ("category", "title", "priority", "reason")]
+        rest = [item.getField(f).alias(f) for f in ("action", "source_feature", "observed_value", "threshold_value")]
+        return F.struct(*kept, item.reason.alias("description"), *rest)
+
+    return result.withColumn(output, F.transform(F.slice(items, 1, max_items), public)).drop(*helpers)
 
 
 def recommend(
@@ -235,15 +256,18 @@ def recommend(
         predicted.alias("predicted_risk"),
         F.lit(str(limits.get("source", "model_training_data"))).alias("threshold_source"),
         fill(rules.summary, {"label": predicted}).alias("summary"),
-        recommendation_items(df, label, labels, limits, rules, max_items).alias("items"),
+        F.col("_items").alias("items"),
         F.lit(rules.disclaimer).alias("disclaimer"),
     )
-    return df.withColumn(output, result)
+    itemised = with_items(df, label, labels, limits, rules, max_items, "_items")
+    return itemised.withColumn(output, result).drop("_items")
 
 
 def recommend_long(df: DataFrame, row_id: str, column: str = "recommendations") -> DataFrame:
     """One row per item, with its 1-based position."""
-    return df.select(F.col(quoted(row_id)), F.posexplode(F.col(column).getField("items")).alias("_p", "_item")).select(
+    # item lists are never empty; the outer form keeps the optimizer from copying their whole
+    # expression into a "not empty" filter below every projection
+    return df.select(F.col(quoted(row_id)), F.posexplode_outer(F.col(column).getField("items")).alias("_p", "_item")).select(
         quoted(row_id), (F.col("_p") + 1).alias("position"), "_item.*"
     )
 

@@ -77,8 +77,14 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
             low, high = low - 0.5, high + 0.5
         edges[c] = (low, high)
         x = F.col(quoted(c)).cast("double")
-        number = F.least(F.width_bucket(x, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
-        arrays.append(F.struct(F.lit(c).alias("column"), number.cast("int").alias("bin")))
+        step = (high - low) / bins
+        # a first guess by division, then one step to the bin whose printed edges hold the value
+        guess = F.least(F.floor((x - F.lit(low)) / F.lit(high - low) * F.lit(bins)), F.lit(bins - 1))
+        lower, upper = F.lit(low) + guess * F.lit(step), F.lit(low) + (guess + 1) * F.lit(step)
+        number = (
+            F.when(x < lower, guess - 1).when((x >= upper) & (guess < bins - 1), guess + 1).otherwise(guess) + 1
+        )
+        arrays.append(F.struct(F.lit(c).alias("column"), F.when(x.isNotNull(), number).cast("int").alias("bin")))
     counts = (
         df.select(F.inline(F.array(*arrays)))
         .filter(F.col("bin").isNotNull())
@@ -87,8 +93,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
     )
     frame = df.sparkSession.createDataFrame(
         [
-            (c, b, edges[c][0] + (edges[c][1] - edges[c][0]) * (b - 1) / bins,
-             edges[c][0] + (edges[c][1] - edges[c][0]) * b / bins)
+            (c, b, edges[c][0] + (b - 1) * ((edges[c][1] - edges[c][0]) / bins),
+             edges[c][1] if b == bins else edges[c][0] + b * ((edges[c][1] - edges[c][0]) / bins))
             for c in kept for b in range(1, bins + 1)
         ],
         "column string, bin int, lower double, upper double",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +43,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder and read it from there.
+    """Write `df` once to the shared checkpoint folder and read it back as a table.
 
     Used where one result feeds many jobs (folds, fits, restarts). The data is in
-    reliable storage, so a lost executor never makes the lineage run again.
+    reliable storage, so a lost executor never makes the lineage run again, and later
+    jobs still read only the columns they need.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
