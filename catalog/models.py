@@ -1 +1,197 @@
+"""Fitted models: no SQL form, so rows only here and property checks in the tests."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from catalog import query
+from catalog.neighbours import embeddings
+from catalog.profiling import rounded
+from catalog.splitting import survey_parts
+from catalog.tables import SURVEY_ROWS, survey
+from profilespark.operators import classify, cluster, features, quality
+from profilespark.operators.evaluate import classification_metrics
+from profilespark.plans import external, select_model, train
+from profilespark.session import ensure_checkpoint_dir, materialize
+from profilespark.sources.bundle import Bundle
+from profilespark.streaming.score_stream import score_requests, score_stream
+
+_BUNDLES: dict[tuple[str, str], Bundle] = {}
+
+
+def vectors(spark, sf_dir, columns=None):
+    """(parts with a feature vector, preparation), learned on the training rows."""
+    parts = materialize(survey_parts(spark, sf_dir))
+    prep = features.fit_preparation(parts.filter("split = 'train'"), SURVEY_ROWS, columns)
+    return prep.transform(parts, SURVEY_ROWS).select("row_id", "split", "Stress_Level", "features"), prep
+
+
+def trained(spark, sf_dir) -> Bundle:
+    """A bundle trained with the first value of every searched setting; shared by the scoring queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUNDLES:
+        _BUNDLES[key] = train.train(survey(spark, sf_dir), SURVEY_ROWS, quick=True, k_values=(2, 3), restarts=2, repeats=2)
+    return _BUNDLES[key]
+
+
+@query("kmeans_sweep")
+def kmeans_sweep(spark, sf_dir):
+    """k = 2..6 with ten restarts each: inertia, sampled silhouette, and the chosen k."""
+    rows, _ = vectors(spark, sf_dir, SURVEY_ROWS.model_numeric)
+    scores, _ = cluster.kmeans_sweep(rows.filter("split = 'train'"), "row_id")
+    chosen = cluster.best_k(scores)
+    return spark.createDataFrame(
+        [(s["k"], s["inertia"], s["silhouette"], s["k"] == chosen) for s in scores],
+        "k int, inertia double, silhouette double, chosen boolean",
+    )
+
+
+@query("pca_2d")
+def pca_2d(spark, sf_dir):
+    """Coordinates of the training rows on two components."""
+    parts = materialize(survey_parts(spark, sf_dir)).filter("split = 'train'")
+    prep = features.fit_preparation(parts, SURVEY_ROWS, SURVEY_ROWS.model_numeric)
+    components, explained = cluster.pca(prep.transform(parts, SURVEY_ROWS))
+    zero = [[0.0] * len(prep.numeric)]
+    model = cluster.ClusterModel(prep, prep.numeric, zero, {}, 1, [], components, explained)
+    return model.coordinates(parts, SURVEY_ROWS).select("row_id", "PC1", "PC2")
+
+
+def _fit_and_evaluate(spark, sf_dir, kind, parameters):
+    rows, _ = vectors(spark, sf_dir)
+    fit_rows = materialize(rows.filter("split = 'train'").drop("split"))
+    model = classify.fit(
+        kind, parameters, fit_rows, fit_rows.count(), SURVEY_ROWS.labels, target="Stress_Level", row_id="row_id"
+    )
+    test = rows.filter("split = 'test'").withColumn("actual", F.col("Stress_Level"))
+    scored = model.score(test).withColumn("model", F.lit(kind))
+    return rounded(classification_metrics(scored, SURVEY_ROWS.labels, sorted(SURVEY_ROWS.labels), ["model"]))
+
+
+@query("logreg")
+def logreg(spark, sf_dir):
+    return _fit_and_evaluate(spark, sf_dir, classify.LOGISTIC, {"C": 1.0})
+
+
+@query("random_forest")
+def random_forest(spark, sf_dir):
+    return _fit_and_evaluate(
+        spark, sf_dir, classify.FOREST, {"n_estimators": 100, "max_depth": 12, "min_samples_leaf": 3}
+    )
+
+
+@query("knn_survey")
+def knn_survey(spark, sf_dir):
+    return _fit_and_evaluate(spark, sf_dir, classify.KNN, {"n_neighbors": 5, "weights": "uniform"})
+
+
+@query("grid_search_knn_logreg")
+def grid_search(spark, sf_dir):
+    """All eight neighbour settings and all three penalties over three folds."""
+    parts = materialize(survey_parts(spark, sf_dir))
+    grid = {k: classify.GRID[k] for k in (classify.KNN, classify.LOGISTIC)}
+    result = select_model.train_classifiers(
+        parts.filter("split = 'train'").drop("split"), parts.filter("split = 'val'").drop("split"), SURVEY_ROWS, grid=grid
+    )
+    return rounded(result.cv_results)
+
+
+@query("model_selection")
+def model_selection(spark, sf_dir):
+    return rounded(trained(spark, sf_dir).tables["selection"].drop("fit_seconds"))
+
+
+@query("evaluate_holdout")
+def evaluate_holdout(spark, sf_dir):
+    """Test metrics of the three models and the baseline."""
+    return rounded(trained(spark, sf_dir).tables["metrics"])
+
+
+@query("evaluate_table")
+def evaluate_table(spark, sf_dir):
+    """Lenient evaluation: the raw table is prepared first."""
+    return rounded(train.evaluate_table(trained(spark, sf_dir), survey(spark, sf_dir))["metrics"])
+
+
+def _valid_rows(spark, sf_dir):
+    """Survey rows without missing or impossible cells, as an external table would hold them."""
+    rows = survey(spark, sf_dir)
+    cleaned = quality.clean_features(rows, SURVEY_ROWS, keep=["row_id", "Stress_Level"])
+    complete = F.lit(True)
+    for c in (*SURVEY_ROWS.features, "Stress_Level"):
+        complete = complete & F.col(c).isNotNull()
+    return cleaned.filter(complete & (F.col("Stress_Level") != ""))
+
+
+@query("external_evaluation")
+def external_evaluation(spark, sf_dir):
+    """Strict validation, the primary model only, metrics overall and by age group."""
+    result = external.evaluate_external(trained(spark, sf_dir), _valid_rows(spark, sf_dir))
+    return rounded(result["metrics_by_group"])
+
+
+@query("global_importance")
+def global_importance(spark, sf_dir):
+    return rounded(trained(spark, sf_dir).tables["importance"])
+
+
+@query("score_requests")
+def score_batch(spark, sf_dir):
+    """Every survey row as a JSON request: scored, or quarantined with its codes."""
+    scored, refused = score_requests(trained(spark, sf_dir), _requests(spark, sf_dir))
+    done = scored.select(
+        "request_id", "label", "agreement", F.col("cluster.id").alias("cluster"), F.size("notes").alias("notes"),
+        F.size("recommendations.items").alias("items"), F.lit("").alias("codes"),
+    )
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in done.dtypes[1:-1]]
+    return done.unionByName(refused.select("request_id", *nothing, F.array_join("error_codes", ",").alias("codes")))
+
+
+def _requests(spark, sf_dir):
+    rows = _valid_rows(spark, sf_dir)
+    typed = [F.col(c).cast("int").alias(c) if c in SURVEY_ROWS.integers else F.col(c) for c in SURVEY_ROWS.features]
+    # some requests carry a forbidden key
+    score = F.when(F.col("row_id") % 9 == 0, F.lit(5)).alias("Mental_Health_Score")
+    return rows.select(F.col("row_id").cast("string").alias("request_id"), F.to_json(F.struct(*typed, score)).alias("payload"))
+
+
+@query("score_stream")
+def stream(spark, sf_dir):
+    """The same requests through a file stream; the result is the stream's own output table."""
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    _requests(spark, sf_dir).write.json(f"{base}/in")
+    started = score_stream(spark, trained(spark, sf_dir), f"{base}/in", f"{base}/out", f"{base}/progress")
+    started.awaitTermination()
+    if started.exception():
+        raise started.exception()
+    scored = spark.read.parquet(f"{base}/out/scored")
+    refused = spark.read.parquet(f"{base}/out/quarantine")
+    return scored.select("request_id", "label", F.lit(True).alias("accepted")).unionByName(
+        refused.select("request_id", F.lit(None).cast("string").alias("label"), F.lit(False).alias("accepted"))
+    )
+
+
+@query("bundle_round_trip")
+def bundle_round_trip(spark, sf_dir):
+    """Predictions of a saved and reloaded bundle beside those of the original."""
+    bundle = trained(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
+    bundle.save(path)
+    loaded = Bundle.load(spark, path)
+    rows = _valid_rows(spark, sf_dir).drop("Stress_Level")
+    first = bundle.predict(rows).select("row_id", "model", F.col("predicted").alias("before"))
+    second = loaded.predict(rows).select("row_id", "model", F.col("predicted").alias("after"))
+    both = first.join(second, ["row_id", "model"])
+    return both.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") != F.col("after")).alias("different"))
+
+
+@query("embedding_kmeans")
+def embedding_kmeans(spark, sf_dir):
+    """The sweep on 64 columns."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = materialize(embeddings(spark, sf_dir).withColumn("features", array_to_vector("x")).select("vec_id", "features"))
+    scores, _ = cluster.kmeans_sweep(rows, "vec_id")
+    return spark.createDataFrame([(s["k"], s["inertia"], s["silhouette"]) for s in scores], "k int, inertia double, silhouette double")

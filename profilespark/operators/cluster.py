@@ -201,7 +201,7 @@ class ClusterModel:
 
 def kmeans_sweep(
     vectors: DataFrame, row_id: str, k_values: Sequence[int] = range(2, 7), restarts: int = 10,
-    seed: int = 42, vector: str = "features", max_iter: int = 300, tol: float = 1e-4, parallel: int = 4,
+    seed: int = 42, vector: str = "features", max_iter: int = 300, tol: float = 1e-4, parallel: int = 8,
 ) -> tuple[list[dict], dict[int, list[list[float]]]]:
     """Best of `restarts` Spark K-Means fits per k, with inertia and sampled silhouette.
 
@@ -258,7 +258,7 @@ def pca(vectors: DataFrame, k: int = 2, vector: str = "features") -> tuple[list[
 
 
 def train_clusters(
-    train: DataFrame, contract: Contract, k_values: Sequence[int] = range(2, 7), restarts: int = 10, parallel: int = 4
+    train: DataFrame, contract: Contract, k_values: Sequence[int] = range(2, 7), restarts: int = 10, parallel: int = 8
 ) -> ClusterModel:
     """Sweep k on the scaled behaviour columns, keep the best silhouette, describe it."""
     columns = contract.model_numeric
