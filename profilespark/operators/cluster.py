@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
@@ -19,6 +21,9 @@ from profilespark.functions.clean import quoted
 from profilespark.operators.features import Preparation, fit_preparation
 from profilespark.operators.ordered import seeded_hash
 
+# task functions travel by value, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SILHOUETTE_SAMPLE = 1000
 
 

@@ -9,16 +9,23 @@ per (query, block), never pairs. Large query sets on one cell are split as well.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from profilespark.operators.ordered import seeded_hash
 from profilespark.session import materialize
 
+# task functions travel by value, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: rows of one training block and of one query chunk
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 20_000
@@ -47,63 +54,83 @@ def _top_k(distance: np.ndarray, k: int) -> list[np.ndarray]:
     return found
 
 
-def _pivot_udf(pivots: np.ndarray, kind: str, radius=None, count=None, k: int = 0):
-    """Vectorised lookups against the pivot table (at most MAX_PIVOTS rows)."""
-    if kind == "cell":
+def _cell_udf(pivots: np.ndarray):
+    """Closest pivot of a point and the distance to it."""
+
+    @F.arrow_udf("struct<cell:int,reach:double>")
+    def cell(x: pa.Array) -> pa.Array:
+        d = squared_distances(_matrix(pa.chunked_array([x])), pivots)
+        best = d.argmin(axis=1)
+        reach = np.sqrt(d[np.arange(len(d)), best])
+        return pa.StructArray.from_arrays([pa.array(best.astype("int32")), pa.array(reach)], names=["cell", "reach"])
+
+    return cell
+
 
-        @F.pandas_udf("struct<cell:int,reach:double>")
-        def cell(x: pd.Series) -> pd.DataFrame:
-            d = squared_distances(np.stack(x.to_numpy()).astype(float), pivots)
-            best = d.argmin(axis=1)
-            return pd.DataFrame({"cell": best.astype("int32"), "reach": np.sqrt(d[np.arange(len(d)), best])})
+def _home_udf(pivots: np.ndarray, big: np.ndarray):
+    """Closest pivot among the cells that hold at least k points."""
 
-        return cell
-    if kind == "first":
-        big = np.flatnonzero(count >= k)
+    @F.arrow_udf("int")
+    def home(x: pa.Array) -> pa.Array:
+        d = squared_distances(_matrix(pa.chunked_array([x])), pivots[big])
+        return pa.array(big[d.argmin(axis=1)].astype("int32"))
 
-        @F.pandas_udf("array<int>")
-        def first(x: pd.Series) -> pd.Series:
-            d = squared_distances(np.stack(x.to_numpy()).astype(float), pivots[big])
-            return pd.Series([[int(big[i])] for i in d.argmin(axis=1)])
+    return home
 
-        return first
 
-    @F.pandas_udf("array<int>")
-    def others(x: pd.Series, done: pd.Series, limit: pd.Series) -> pd.Series:
-        d = np.sqrt(squared_distances(np.stack(x.to_numpy()).astype(float), pivots))
-        gap = d - radius[None, :]
+def _other_cells_udf(pivots: np.ndarray, radius: np.ndarray):
+    """Cells that may hold a point closer than `limit`, without the one already searched."""
+
+    @F.arrow_udf("array<int>")
+    def others(x: pa.Array, done: pa.Array, limit: pa.Array) -> pa.Array:
+        d = np.sqrt(squared_distances(_matrix(pa.chunked_array([x])), pivots))
         # the margin covers the rounding of compared distances
-        reach = np.sqrt(limit.to_numpy()[:, None] + 1e-7) + 1e-7
-        keep = gap <= reach
-        keep[np.arange(len(d)), done.to_numpy().astype(int)] = False
-        return pd.Series([np.flatnonzero(row).astype("int32").tolist() for row in keep])
+        reach = np.sqrt(limit.to_numpy(zero_copy_only=False)[:, None] + 1e-7) + 1e-7
+        keep = d - radius[None, :] <= reach
+        keep[np.arange(len(d)), done.to_numpy(zero_copy_only=False)] = False
+        offsets = np.concatenate([[0], keep.sum(axis=1).cumsum()]).astype("int32")
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(keep)[1].astype("int32")))
 
     return others
 
 
-def _search(routed: DataFrame, blocks: DataFrame, k: int, id_type: str, query_type: str) -> DataFrame:
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """An Arrow list column of equally long lists as a matrix."""
+    lists = column.combine_chunks()
+    values = lists.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+    return values.reshape(len(lists), -1)
+
+
+def _search(routed: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     """Top k of every (query, block), blocks and query chunks meeting in one cogroup."""
-    schema = f"qid {query_type}, d2 double, tid {id_type}, label string"
-
-    def search(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or points.empty:
-            return pd.DataFrame({"qid": [], "d2": [], "tid": [], "label": []})
-        points = points.sort_values("tid", kind="stable", ignore_index=True)
-        p = np.stack(points["x"].to_numpy()).astype(float)
-        q = np.stack(queries["x"].to_numpy()).astype(float)
-        ids, labels, names = points["tid"].to_numpy(), points["label"].to_numpy(), queries["qid"].to_numpy()
-        out: list[tuple[np.ndarray, ...]] = []
-        step = max(1, 4_000_000 // max(len(p), 1))
+    schema = T.StructType([
+        T.StructField("qid", routed.schema["qid"].dataType), T.StructField("d2", T.DoubleType()),
+        T.StructField("tid", blocks.schema["tid"].dataType), T.StructField("label", T.StringType()),
+    ])
+    arrow = to_arrow_schema(schema)
+
+    def search(queries: pa.Table, points: pa.Table) -> pa.Table:
+        if not queries.num_rows or not points.num_rows:
+            return arrow.empty_table()
+        points = points.sort_by("tid")
+        p, q = _matrix(points["x"]), _matrix(queries["x"])
+        from_query, from_point, found = [], [], []
+        step = max(1, 4_000_000 // len(p))
         for start in range(0, len(q), step):
             distance = squared_distances(q[start:start + step], p)
             for i, near in enumerate(_top_k(distance, k)):
-                out.append((np.repeat(names[start + i], len(near)), distance[i, near], ids[near], labels[near]))
-        columns = [np.concatenate(part) for part in zip(*out)]
-        return pd.DataFrame(dict(zip(("qid", "d2", "tid", "label"), columns)))
+                from_query.append(np.full(len(near), start + i))
+                from_point.append(near)
+                found.append(distance[i, near])
+        rows, hits = pa.array(np.concatenate(from_query)), pa.array(np.concatenate(from_point))
+        columns = [
+            queries["qid"].take(rows), pa.array(np.concatenate(found)),
+            points["tid"].take(hits), points["label"].take(hits),
+        ]
+        return pa.table(columns, names=arrow.names).cast(arrow)
 
     keys = ["cell", "part", "chunk"]
-    hits = routed.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInPandas(search, schema)
-    return hits
+    return routed.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(search, schema)
 
 
 def _pieces(counts: dict[int, int], rows: int) -> Column:
@@ -134,8 +161,6 @@ def neighbors(
     copies = Window.partitionBy("x").orderBy("tid")
     points = points.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= k).drop("_c")
     asked = queries.select(F.col(query_id).alias("qid"), F.col(x).cast("array<double>").alias("x"))
-    id_type = points.schema["tid"].dataType.simpleString()
-    query_type = asked.schema["qid"].dataType.simpleString()
 
     total = points.count()
     if total == 0:
@@ -150,7 +175,7 @@ def neighbors(
         placed = points.withColumn("cell", F.lit(0))
         counts, radius = {0: total}, np.array([np.inf])
     else:
-        placed = points.withColumn("_p", _pivot_udf(table, "cell")("x")).select("*", "_p.cell", "_p.reach").drop("_p")
+        placed = points.withColumn("_p", _cell_udf(table)("x")).select("*", "_p.cell", "_p.reach").drop("_p")
         # one row per pivot
         stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("reach")).collect()
         counts = {r.cell: r.n for r in stats}
@@ -177,7 +202,7 @@ def neighbors(
             F.pmod(F.xxhash64("qid"), chunks).cast("int").alias("chunk"),
         )
         right = placed.select("*", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
-        return _search(left, right, k, id_type, query_type)
+        return _search(left, right, k)
 
     big_enough = [c for c, n in counts.items() if n >= k]
     if len(table) == 1 or not big_enough:
@@ -187,13 +212,13 @@ def neighbors(
         sizes = np.zeros(len(table))
         for c, n in counts.items():
             sizes[c] = n
-        home = asked.withColumn("cell", F.explode(_pivot_udf(table, "first", count=sizes, k=k)("x")))
+        home = asked.withColumn("cell", _home_udf(table, np.flatnonzero(sizes >= k))("x"))
         # read three times below (limits, routing, merge), so it is written once
         first = materialize(_best(run(home), k))
         limits = first.groupBy("qid").agg(F.max("d2").alias("limit"))
         rest = home.join(limits, "qid")
         far = rest.select(
-            "qid", "x", F.explode(_pivot_udf(table, "others", radius=radius)("x", "cell", "limit")).alias("cell")
+            "qid", "x", F.explode(_other_cells_udf(table, radius)("x", "cell", "limit")).alias("cell")
         )
         best = _best(first.drop("_r").unionByName(run(far)), k)
     return (

@@ -16,6 +16,8 @@ from profilespark.functions.clean import quoted
 
 #: three hex digits of a hash: 4,096 even buckets
 HASH_DIGITS = 3
+#: up to this many rows a value-to-count map of a whole column is small
+SMALL_ROWS = 1_000_000
 
 
 def seeded_hash(seed: int | str, *columns: str | Column) -> Column:
@@ -102,10 +104,12 @@ def exact_quantiles(
     by: Sequence[str] = (),
     accuracy: int | None = None,
     sketch: int = 10000,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Quantiles with linear interpolation, long: (by..., column, probability, quantile, n).
 
-    Exact (the default): a quantile sketch brackets each wanted rank, one aggregation
+    Exact (the default). A table of at most `small_rows` rows (they are counted first)
+    goes through Spark's own value-count aggregate. For larger tables a quantile sketch brackets each wanted rank, one aggregation
     counts what lies below the bracket, and only the few values inside the brackets
     are grouped and ranked. No value-to-count map of a whole column is ever built, and
     a value that holds a large share of the rows collapses in the map-side combine.
@@ -148,6 +152,20 @@ def exact_quantiles(
             ],
         ).drop("_p")
 
+    if df.count() <= small_rows:
+        at = {c: j for j, c in enumerate(columns)}
+        exact = df.groupBy(*by).agg(
+            *[F.percentile(col[c], probabilities).alias(f"_q_{j}") for j, c in enumerate(columns)],
+            *[F.count(col[c]).alias(f"_n_{j}") for j, c in enumerate(columns)],
+        )
+        return rows_of(
+            exact,
+            lambda c, i, p: [
+                F.element_at(f"_q_{at[c]}", i + 1).alias("quantile"),
+                F.col(f"_n_{at[c]}").alias("n"),
+            ],
+        ).drop("_p")
+
     margin = 4.0 / sketch
     low_p = [max(p - margin, 0.0) for p in probabilities]
     high_p = [min(p + margin, 1.0) for p in probabilities]
