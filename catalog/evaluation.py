@@ -9,6 +9,7 @@ from catalog.profiling import rounded
 from catalog.tables import LINEITEM_KEY, LINEITEM_WIDE, lineitem_keyed, sql_prepared_ctes, sql_split_ctes, table
 from profilespark.operators import baseline, evaluate, quality, split
 from profilespark.functions.clean import right_closed_group
+from profilespark.session import materialize
 
 LABELS = ("A", "N", "R")
 
@@ -184,7 +185,7 @@ def metric_table(spark, sf_dir):
 )
 def majority_baseline(spark, sf_dir):
     """Flagship: prepare, split, fit the baseline on training rows, evaluate on test rows."""
-    prepared = quality.prepare(lineitem_keyed(spark, sf_dir), LINEITEM_WIDE)
+    prepared = materialize(quality.prepare(lineitem_keyed(spark, sf_dir), LINEITEM_WIDE))
     parts = split.stratified_split(prepared, LINEITEM_WIDE)
     label = baseline.majority_label(parts.filter("split = 'train'"), LINEITEM_WIDE)
     test = parts.filter("split = 'test'").withColumn("actual", F.col("l_returnflag"))

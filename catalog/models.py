@@ -25,7 +25,9 @@ def vectors(spark, sf_dir, columns=None):
     """(parts with a feature vector, preparation), learned on the training rows."""
     parts = materialize(survey_parts(spark, sf_dir))
     prep = features.fit_preparation(parts.filter("split = 'train'"), SURVEY_ROWS, columns)
-    return prep.transform(parts, SURVEY_ROWS).select("row_id", "split", "Stress_Level", "features"), prep
+    # fits and evaluations both read the vectors, so they are written once
+    rows = prep.transform(parts, SURVEY_ROWS).select("row_id", "split", "Stress_Level", "features")
+    return materialize(rows), prep
 
 
 def trained(spark, sf_dir) -> Bundle:
@@ -61,7 +63,7 @@ def pca_2d(spark, sf_dir):
 
 def _fit_and_evaluate(spark, sf_dir, kind, parameters):
     rows, _ = vectors(spark, sf_dir)
-    fit_rows = materialize(rows.filter("split = 'train'").drop("split"))
+    fit_rows = rows.filter("split = 'train'").drop("split")
     model = classify.fit(
         kind, parameters, fit_rows, fit_rows.count(), SURVEY_ROWS.labels, target="Stress_Level", row_id="row_id"
     )

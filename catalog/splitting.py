@@ -38,7 +38,7 @@ _WIDE_PREPARED = (
     f"{_ORDERS_PREPARED}, {sql_split_ctes(ORDERS)} select o_orderkey, o_orderpriority, split from parts",
 )
 def stratified_split(spark, sf_dir):
-    prepared = quality.prepare(table(spark, sf_dir, "orders"), ORDERS)
+    prepared = materialize(quality.prepare(table(spark, sf_dir, "orders"), ORDERS))
     return split.stratified_split(prepared, ORDERS).select("o_orderkey", "o_orderpriority", "split")
 
 
@@ -49,7 +49,7 @@ def stratified_split(spark, sf_dir):
     "count(*) filter (split = 'test') as test, count(*) as total from parts group by 1",
 )
 def split_label_counts(spark, sf_dir):
-    prepared = quality.prepare(lineitem_keyed(spark, sf_dir), LINEITEM_WIDE, check=False)
+    prepared = materialize(quality.prepare(lineitem_keyed(spark, sf_dir), LINEITEM_WIDE, check=False))
     return split.split_label_counts(split.stratified_split(prepared, LINEITEM_WIDE), LINEITEM_WIDE)
 
 
@@ -90,5 +90,5 @@ def kfold(spark, sf_dir):
     "union all select 'excluded_column_present', 0",
 )
 def split_leakage(spark, sf_dir):
-    prepared = quality.prepare(survey(spark, sf_dir), SURVEY_ROWS, check=False)
+    prepared = materialize(quality.prepare(survey(spark, sf_dir), SURVEY_ROWS, check=False))
     return split.split_checks(split.stratified_split(prepared, SURVEY_ROWS), prepared, SURVEY_ROWS)

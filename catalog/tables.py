@@ -46,17 +46,17 @@ ORDERS = Contract(
 )
 SURVEY_ROWS = SURVEY.with_(row_id="row_id")
 
-#: a text key of a lineitem row, built from whole numbers so that every engine prints it alike
-LINEITEM_KEY = (
-    "concat_ws('|', cast(l_orderkey as string), cast(l_partkey as string), cast(l_suppkey as string), "
-    "cast(l_linenumber as string), cast(cast(l_quantity as bigint) as string), "
-    "cast(cast(round(l_extendedprice * 100) as bigint) as string), "
-    "cast(cast(round(l_discount * 100) as bigint) as string), cast(cast(round(l_tax * 100) as bigint) as string))"
+#: one whole number per lineitem row; numbers, not texts, so that min() stays in a hash aggregation
+_KEY = (
+    "((((cast(l_orderkey as {t}) * 8 + l_linenumber) * 1000000007 + l_partkey) * 1000003 + l_suppkey) * 20000003 "
+    "+ cast(round(l_extendedprice * 100) as bigint))"
 )
+LINEITEM_KEY_SPARK = _KEY.format(t="decimal(38,0)")
+LINEITEM_KEY = _KEY.format(t="hugeint")
 
 
 def lineitem_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").withColumn("row_key", F.expr(LINEITEM_KEY))
+    return table(spark, sf_dir, "lineitem").withColumn("row_key", F.expr(LINEITEM_KEY_SPARK))
 
 
 BAND = "((o_orderkey * 7 + o_custkey) % 4)"

@@ -139,14 +139,10 @@ def roc_auc_per_label(scored: DataFrame, classes: Sequence[str], by: Sequence[st
 def roc_auc(scored: DataFrame, classes: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Macro AUC per group; null unless the actual labels are exactly the model's classes."""
     per = roc_auc_per_label(scored, classes, by)
-    strangers = ~F.col("actual").isin(*classes)
-    foreign = scored.groupBy(*by).agg(F.count_if(strangers).alias("_foreign"))
-    area = per.groupBy(*by).agg(
-        F.avg("auc").alias("_auc"), F.count_if(F.col("positives") == 0).alias("_absent")
-    )
-    joined = area.join(foreign, list(by)) if by else area.withColumn("_foreign", foreign.scalar())
-    usable = (F.col("_absent") == 0) & (F.col("_foreign") == 0)
-    return joined.select(*by, F.when(usable, F.col("_auc")).alias("roc_auc_ovr_macro"))
+    # every label sees all rows, so rows with another actual label are those no label claims
+    rows = F.max(F.col("positives") + F.col("negatives"))
+    usable = (F.count_if(F.col("positives") == 0) == 0) & (rows == F.sum("positives"))
+    return per.groupBy(*by).agg(F.when(usable, F.avg("auc")).alias("roc_auc_ovr_macro"))
 
 
 def classification_metrics(

@@ -166,10 +166,11 @@ def neighbors(
     if total == 0:
         raise ValueError("No training rows to search")
     wanted = pivots if pivots is not None else min(MAX_PIVOTS, -(-total // block_rows))
-    chosen = (
-        points.select("x", seeded_hash(seed, "tid").alias("_h")).orderBy("_h").limit(max(1, wanted)).collect()
-    )
-    table = np.unique(np.array([r.x for r in chosen], dtype=float), axis=0)
+    if wanted <= 1:  # one cell: no pivot is ever compared
+        table = np.zeros((1, 1))
+    else:
+        chosen = points.select("x", seeded_hash(seed, "tid").alias("_h")).orderBy("_h").limit(wanted).collect()
+        table = np.unique(np.array([r.x for r in chosen], dtype=float), axis=0)
 
     if len(table) == 1:
         placed = points.withColumn("cell", F.lit(0))

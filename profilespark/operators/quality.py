@@ -72,6 +72,20 @@ def clean_target(contract: Contract) -> Column:
     return F.nullif(C.strip(F.col(C.quoted(contract.target)).cast("string")), F.lit(""))
 
 
+def label_position(contract: Contract, label: Column) -> Column:
+    """1-based place in the label order; an unknown label stops the job.
+
+    Whole numbers keep min / max in a hash aggregation; texts would force a sort.
+    """
+    place = F.array_position(F.array(*[F.lit(x) for x in contract.labels]), label).cast("int")
+    stop = F.raise_error(F.concat(F.lit("Unknown label: "), label)).cast("int")
+    return F.when(place > 0, place).when(label.isNotNull(), stop)
+
+
+def label_at(contract: Contract, position: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in contract.labels]), position)
+
+
 def unknown_labels(df: DataFrame, contract: Contract) -> DataFrame:
     """Labels outside the contract, with their row counts."""
     label = clean_target(contract)
@@ -124,26 +138,29 @@ def labelled_profiles(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def profile_groups(df: DataFrame, contract: Contract, key: Sequence[str] | None = None) -> DataFrame:
-    """One row per cleaned profile: copies, smallest and largest label, smallest row id."""
+    """One row per cleaned profile: copies, lowest and highest label, smallest row id."""
     rows = labelled_profiles(df, contract)
-    target = C.quoted(contract.target)
+    rows = rows.withColumn("_place", label_position(contract, F.col(C.quoted(contract.target))))
     carried = [c for c in contract.features if c not in (key or contract.features)]
     aggregates = [
         F.count(F.lit(1)).alias("copies"),
-        F.min(target).alias("first_label"),
-        F.max(target).alias("last_label"),
+        F.min("_place").alias("_low"),
+        F.max("_place").alias("_high"),
     ]
     if contract.row_id:
         aggregates.append(F.min(C.quoted(contract.row_id)).alias(contract.row_id))
     # columns outside a narrower key are carried with their smallest value
     aggregates += [F.min(C.quoted(c)).alias(c) for c in carried]
-    return rows.groupBy(*[C.quoted(c) for c in (key or contract.features)]).agg(*aggregates)
+    groups = rows.groupBy(*[C.quoted(c) for c in (key or contract.features)]).agg(*aggregates)
+    return groups.withColumns({
+        "first_label": label_at(contract, F.col("_low")), "last_label": label_at(contract, F.col("_high"))
+    })
 
 
 def conflicting_profiles(df: DataFrame, contract: Contract) -> DataFrame:
     """Profiles that occur with more than one label, and how many rows they hold."""
-    return profile_groups(df, contract).filter(F.col("first_label") != F.col("last_label")).drop(
-        *([contract.row_id] if contract.row_id else [])
+    return profile_groups(df, contract).filter(F.col("_low") != F.col("_high")).drop(
+        "_low", "_high", *([contract.row_id] if contract.row_id else [])
     )
 
 
@@ -163,7 +180,7 @@ def prepare(
     keep = [contract.row_id] if contract.row_id else []
     return (
         profile_groups(df, contract, key)
-        .filter(F.col("first_label") == F.col("last_label"))
+        .filter(F.col("_low") == F.col("_high"))
         .select(
             *[C.quoted(c) for c in keep],
             *[C.quoted(c) for c in contract.features],
@@ -201,7 +218,7 @@ def audit(df: DataFrame, contract: Contract) -> DataFrame:
 
     profiled = distinct.select(
         *[clean_column(distinct, contract, c).alias(f"_f{i}") for i, c in enumerate(features)],
-        label.alias("_label"),
+        label_position(contract, label).alias("_label"),
         *[value.cast("long").alias(f"_c{i}") for i, value in enumerate(counters.values())],
     )
     # rows without a label form groups of their own and never decide a conflict
@@ -230,7 +247,7 @@ def audit(df: DataFrame, contract: Contract) -> DataFrame:
         ("prepared_rows", None, total(F.when(kept, 1))),
     ]
     results += [
-        ("class_counts", name, total(F.when(kept & (F.col("_first") == name), 1))) for name in contract.labels
+        ("class_counts", name, total(F.when(kept & (F.col("_first") == i + 1), 1))) for i, name in enumerate(contract.labels)
     ]
     results += [
         ("remaining_missing", c, total(F.when(kept & F.col(f"_f{i}").isNull(), 1)))
