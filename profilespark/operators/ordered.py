@@ -9,30 +9,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from profilespark.functions.clean import quoted
 
-#: three hex digits of a hash: 4,096 even buckets
-HASH_DIGITS = 3
+#: rows that one sorting task should hold at most, about
+TASK_ROWS = 1_000_000
 #: up to this many rows a value-to-count map of a whole column is small
 SMALL_ROWS = 1_000_000
 
 
+def bucket_digits(rows: int) -> int:
+    """Hex digits of a hash that cut `rows` into even buckets of about TASK_ROWS or less."""
+    digits = 2
+    while digits < 6 and rows / 16**digits > TASK_ROWS:
+        digits += 1
+    return digits
+
+
 def seeded_hash(seed: int | str, *columns: str | Column) -> Column:
     """md5 over `seed|col|...`: the same text order in every SQL engine."""
     parts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in columns]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
 
 
-def rank_cuts(hashed: DataFrame, keys: Sequence[str], wanted: DataFrame, hash_col: str = "_h") -> DataFrame:
+def rank_cuts(
+    hashed: DataFrame, keys: Sequence[str], wanted: DataFrame, rows: int, hash_col: str = "_h"
+) -> DataFrame:
     """The hash found at given 1-based ranks of each key: (keys..., rank, cut).
 
-    `wanted` is a small table (keys..., rank). Rows outside the buckets that hold a
+    `wanted` is a small table (keys..., rank), `rows` the size of the table. Rows outside the buckets that hold a
     wanted rank are never sorted or shuffled.
     """
-    bucket = F.substring(hash_col, 1, HASH_DIGITS)
+    bucket = F.substring(hash_col, 1, bucket_digits(rows))
     counts = hashed.groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -52,11 +63,12 @@ def rank_cuts(hashed: DataFrame, keys: Sequence[str], wanted: DataFrame, hash_co
     )
 
 
-def global_rank(
-    df: DataFrame, keys: Sequence[str], hash_col: str, out: str, digits: int = HASH_DIGITS
-) -> DataFrame:
-    """Exact 1-based rank by a hash within each key, sorted in even hash buckets."""
-    bucketed = df.withColumn("_b", F.substring(hash_col, 1, digits))
+def global_rank(df: DataFrame, keys: Sequence[str], hash_col: str, out: str, rows: int) -> DataFrame:
+    """Exact 1-based rank by a hash within each key, sorted in even hash buckets.
+
+    `rows` is the number of rows per key.
+    """
+    bucketed = df.withColumn("_b", F.substring(hash_col, 1, bucket_digits(rows)))
     counts = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -69,19 +81,29 @@ def global_rank(
     )
 
 
-def running_totals(
-    grouped: DataFrame, keys: Sequence[str], order: str, values: Sequence[str], buckets: int = 64
-) -> DataFrame:
+def running_totals(grouped: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
     """Sum of each value column over all smaller `order` values: `before_<value>`.
 
     `grouped` must hold one row per (keys, order). Approximate quantiles only decide
-    where the buckets end, so the sums are exact whatever their quality.
+    where the 1,024 buckets end, so the sums are exact whatever their quality. The
+    bucket of a value is found in two steps of 31 comparisons.
     """
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = grouped.groupBy(*keys).agg(F.percentile_approx(order, shares, F.lit(1000)).alias("_cuts"))
-    bucketed = grouped.join(F.broadcast(cuts), list(keys)).withColumn(
-        "_b", F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(order)))
-    ).drop("_cuts")
+    side = 32
+    buckets = side * side
+    shares = F.lit(np.arange(1, buckets) / buckets)  # one literal, not a tree of them
+    cuts = grouped.groupBy(*keys).agg(F.percentile_approx(order, shares, F.lit(4 * buckets)).alias("_cuts"))
+    # the last cut of every 32, for the first step
+    cuts = cuts.withColumn(
+        "_coarse", F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda i: F.element_at("_cuts", i * side))
+    )
+
+    def below(array: Column) -> Column:
+        return F.size(F.filter(array, lambda c: c < F.col(order)))
+
+    # keys x 1,024 numbers: a small table, the keys are models and labels
+    bucketed = grouped.join(F.broadcast(cuts), list(keys)).withColumn("_first", below(F.col("_coarse")))
+    inner_cuts = F.slice("_cuts", F.col("_first") * side + 1, F.lit(side - 1))
+    bucketed = bucketed.withColumn("_b", F.col("_first") * side + below(inner_cuts)).drop("_cuts", "_coarse", "_first")
     totals = bucketed.groupBy(*keys, "_b").agg(*[F.sum(v).alias(v) for v in values])
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -103,7 +125,7 @@ def exact_quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int | None = None,
-    sketch: int = 10000,
+    sketch: int | None = None,
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Quantiles with linear interpolation, long: (by..., column, probability, quantile, n).
@@ -152,7 +174,8 @@ def exact_quantiles(
             ],
         ).drop("_p")
 
-    if df.count() <= small_rows:
+    rows = df.count()
+    if rows <= small_rows:
         at = {c: j for j, c in enumerate(columns)}
         exact = df.groupBy(*by).agg(
             *[F.percentile(col[c], probabilities).alias(f"_q_{j}") for j, c in enumerate(columns)],
@@ -166,6 +189,8 @@ def exact_quantiles(
             ],
         ).drop("_p")
 
+    # a finer sketch for a larger table keeps each bracket at a few million rows
+    sketch = sketch or min(1_000_000, max(10_000, rows // 1_000_000))
     margin = 4.0 / sketch
     low_p = [max(p - margin, 0.0) for p in probabilities]
     high_p = [min(p + margin, 1.0) for p in probabilities]

@@ -80,7 +80,8 @@ def _assign(
         for rank in {sum(n for _, n in parts[: i + 1]) for i in range(len(parts) - 1)} if rank > 0
     ]
     hashed = df.select(F.col(quoted(label)).alias("_label"), seeded_hash(seed, F.col(quoted(row_id))).alias("_h"))
-    cuts = rank_cuts(hashed, ["_label"], spark.createDataFrame(wanted, "_label string, rank long"))
+    total = sum(n for parts in quotas.values() for _, n in parts)
+    cuts = rank_cuts(hashed, ["_label"], spark.createDataFrame(wanted, "_label string, rank long"), total)
     # labels x parts rows: bounded by the contract
     found = {(r._label, r.rank): r.cut for r in cuts.collect()}
 

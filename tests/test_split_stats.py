@@ -87,7 +87,7 @@ def test_running_totals_and_global_rank(spark):
     for i, v in enumerate(values):
         assert got[v] == total
         total += i % 3
-    ranked = global_rank(df.withColumn("h", seeded_hash(1, "v")), ["k"], "h", "rank").orderBy("h").collect()
+    ranked = global_rank(df.withColumn("h", seeded_hash(1, "v")), ["k"], "h", "rank", 10**9).orderBy("h").collect()
     assert [r["rank"] for r in ranked] == list(range(1, len(values) + 1))
 
 
