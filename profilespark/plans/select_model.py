@@ -120,9 +120,10 @@ def train_classifiers(
     # every fold and every fit reads this table, so it is written once
     folded = materialize(stratified_folds(train, contract, folds))
     seconds: dict[str, float] = {}
-    rows = []
-    for fold in range(folds):
-        rows += _fold_scores(folded, fold, contract, classes, grid, quick, parallel)
+    # folds are independent: their jobs share the cluster instead of waiting for each other
+    with ThreadPool(folds) as pool:
+        per_fold = pool.map(lambda f: _fold_scores(folded, f, contract, classes, grid, quick, parallel), range(folds))
+    rows = [score for scores in per_fold for score in scores]
     listed = {kind: settings(values, quick) for kind, values in grid.items()}
     scores = spark.createDataFrame(
         [(m, s, json.dumps(listed[m][s], sort_keys=True), f, v) for m, s, f, v in rows],
