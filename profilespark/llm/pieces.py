@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 CACHE_PAIRS = 500_000
 LONG_WORD = 64
 _CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -64,13 +64,16 @@ class Pieces:
             self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
         self.usable = set(usable)
-        self.shorter = {p: self._prefixes(p) for p in usable}
+        self.shorter = {p: self._prefix(p) for p in usable}
+        self.chars = {c for c in self.id_of if len(c) == 1}
+        self.cut = re.compile("([^" + "".join(map(re.escape, sorted(self.chars))) + "])", re.S)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
-    def _prefixes(self, piece: str) -> list[str]:
-        """Usable pieces that a piece starts with, longest first, itself left out."""
-        return [piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.usable]
+    def _prefix(self, piece: str) -> str | None:
+        """The longest usable piece that a piece starts with, itself left out."""
+        return next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.usable), None)
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging the best adjacent pair, leftmost first, ends with."""
@@ -105,64 +108,77 @@ class Pieces:
 
     def longest(self, text: str) -> list[str | None]:
         """For each place, the longest usable piece that starts there."""
-        best: list[str | None] = [None] * len(text)
-        for last, piece in self.automaton.iter(text):
-            start = last + 1 - len(piece)
-            if best[start] is None or len(best[start]) < len(piece):
-                best[start] = piece
+        best: list[str | None] = [None] * (len(text) + 1)
+        for last, piece in self.automaton.iter(text):  # of the pieces with one start, the longest ends last
+            best[last + 1 - len(piece)] = piece
         return best
 
-    def backtrack(self, text: str) -> list[str]:
-        """The encoding of a text of known characters, by search with a bitfield of failed places."""
-        best = self.longest(text)
-        alive = bytearray(b"\x01") * (len(text) + 1)
+    def segment(self, text: str) -> list[str]:
+        """The encoding of a text of known characters with at most one leading space.
+
+        The search begins with longest matches throughout; if they all fit, that is the encoding.
+        """
         out: list[str] = []
-        place, piece = 0, best[0]
-        while place < len(text):
+        place = 0
+        pairs, last = self.pairs, None
+        for _, piece in self.automaton.iter_long(text):
+            if last is not None:
+                known = pairs.get((last, piece))
+                if not (self.fits(last, piece) if known is None else known):
+                    return self.backtrack(text, out, place)
+            out.append(piece)
+            place += len(piece)
+            last = piece
+        return out if place == len(text) else self.backtrack(text, [], 0)
+
+    def backtrack(self, text: str, out: list[str], place: int) -> list[str]:
+        """Goes on from some pieces that fit, with a bitfield of failed places."""
+        best, size = self.longest(text), len(text)
+        failed = bytearray(size + 1)
+        pairs, shorter = self.pairs, self.shorter
+        piece = best[place]
+        while place < size:
             last = out[-1] if out else None
-            options = [piece, *self.shorter[piece]] if piece else []
-            for option in options:
-                if alive[place + len(option)] and (last is None or self.fits(last, option)):
-                    out.append(option)
-                    place += len(option)
-                    piece = best[place] if place < len(text) else None
-                    break
+            while piece is not None:
+                end = place + len(piece)
+                if not failed[end]:
+                    if last is None:
+                        break
+                    known = pairs.get((last, piece))
+                    if self.fits(last, piece) if known is None else known:
+                        break
+                piece = shorter[piece]
+            if piece is not None:
+                out.append(piece)
+                place, piece = end, best[end]
             else:  # nothing fits here: mark the place, go back, and try the next shorter piece there
-                if not out:
+                if last is None:
                     raise ValueError(f"no encoding of {text[:80]!r}")
-                alive[place] = 0
-                last = out.pop()
+                failed[place] = 1
+                out.pop()
                 place -= len(last)
-                piece = self.shorter[last][0] if self.shorter[last] else None
+                piece = shorter[last]
         return out
 
-    def segment(self, text: str) -> list[str]:
-        """Pieces of a text of known characters with at most one leading space."""
-        if len(text) <= LONG_WORD:
-            greedy = [piece for _, piece in self.automaton.iter_long(text)]
-            if sum(map(len, greedy)) == len(text) and all(map(self.fits, greedy, greedy[1:])):
-                return greedy  # longest matches throughout: the search would not have gone back
-        return self.backtrack(text)
-
     def word_ids(self, word: str) -> list[int]:
         """Ids of a run of spaces and what follows it up to the next."""
-        body = word.lstrip(SPACE)
-        spaces = len(word) - len(body)
+        spaces = 0
+        if word.startswith(SPACE * 2):
+            body = word.lstrip(SPACE)
+            spaces = len(word) - len(body) - 1
+            word = word[spaces:]
         ids: list[int] = []
-        start = 0
-        text = (SPACE if spaces else "") + body
-        spaces -= bool(spaces)
-        for i, c in enumerate(text):  # an unknown character merges with nothing
-            if c not in self.id_of:
-                if start < i:
-                    ids += [self.id_of[p] for p in self.segment(text[start:i])]
-                ids += [self.byte_id[b] for b in c.encode("utf-8")]
-                start = i + 1
-        if start < len(text):
-            ids += [self.id_of[p] for p in self.segment(text[start:])]
+        if self.chars.issuperset(word):
+            ids = [self.id_of[p] for p in self.segment(word)]
+        else:  # an unknown character merges with nothing
+            for part in self.cut.split(word):
+                if part in self.id_of or self.chars.issuperset(part):
+                    ids += [self.id_of[p] for p in self.segment(part)]
+                else:
+                    ids += [self.byte_id[b] for b in part.encode("utf-8")]
         if spaces and ids[0] == self.id_of[SPACE]:  # the last space joined nothing and so is part of the run
             spaces, ids = spaces + 1, ids[1:]
-        return self._run_ids(spaces) + ids
+        return self._run_ids(spaces) + ids if spaces else ids
 
     def _run_ids(self, spaces: int) -> list[int]:
         """Pieces of a run of spaces: they merge last, from the left, each into the longest run there is."""
@@ -187,19 +203,22 @@ class Pieces:
 
     def known(self, word: str) -> tuple[bytes, bytes]:
         """A word's ids as decimal text, each after a space, and the bytes that they decode to."""
-        found = self.words.get(word)
+        found = self.older.get(word)
         if found is None:
             ids = self.word_ids(word)
-            found = b"".join([b" %d" % i for i in ids]), b"".join([self.bytes_of[i] for i in ids])
-            if len(word) <= LONG_WORD:
-                if len(self.words) >= CACHE_WORDS:
-                    self.words.clear()
-                self.words[word] = found
+            found = b" " + b" ".join([b"%d" % i for i in ids]), b"".join([self.bytes_of[i] for i in ids])
+        if len(word) <= LONG_WORD:
+            if len(self.words) >= CACHE_WORDS:  # words not met since the last time are forgotten
+                self.older, self.words = self.words, {}
+            self.words[word] = found
         return found
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, hash of the ids, hash of the decoded text."""
-        words = [self.known(w) for w in self.words_of(text or "")]
+        words = []
+        for word in self.words_of(text or ""):
+            found = self.words.get(word)
+            words.append(self.known(word) if found is None else found)
         ids = b"".join([w[0] for w in words]) + b" %d" % self.end
         decoded = b"".join([w[1] for w in words])
         decoded = decoded[1:] if decoded[:1] == b" " else decoded
