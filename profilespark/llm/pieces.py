@@ -17,13 +17,13 @@ import functools
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from profilespark.llm.text import per_text
+
 SPACE = "▁"
 CACHE_WORDS = 300_000
 CACHE_PAIRS = 500_000
@@ -233,41 +233,19 @@ def pieces(model: str) -> Pieces:
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id and `ids array<int>`, the end id last."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = pieces(model)
-        for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "ids": [table.encode(t) for t in batch["text"]]})
-
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return per_text(docs, lambda: lambda texts, _: ([pieces(model).encode(t) for t in texts],), "ids array<int>", id_col, text_col)
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """One row per encoded row: its id and `text`; control ids decode to nothing."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = pieces(model)
-        for batch in batches:
-            texts = [table.decode([] if ids is None else ids) for ids in batch["ids"]]
-            yield pd.DataFrame({"id": batch["id"], "text": texts})
-
-    rows = encoded.select(encoded[id_col].alias("id"), encoded[ids_col].alias("ids"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+    """One row per encoded row: its id and `text`; control ids, and a null list, decode to nothing."""
+    return per_text(encoded, lambda: lambda lists, _: ([pieces(model).decode(ids or []) for ids in lists],), "text string", id_col, ids_col)
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """Encoding and decoding of every whole text as counts and hashes; long id lists never leave the task."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def columns(texts: list[str | None], _ids) -> list[tuple]:
         table = pieces(model)
-        for batch in batches:
-            out = pd.DataFrame([table.digests(t) for t in batch["text"]], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", batch["doc_id"].values)
-            yield out
-
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+        return list(zip(*[table.digests(t) for t in texts]))
+
+    return per_text(docs, lambda: columns, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -45,3 +45,27 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from profilespark.llm import pieces
 
     return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op10_mixing")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every draw: documents of a source appear once per epoch that draws them."""
+    from profilespark.llm import mixing
+
+    return mixing.mixed(table(spark, sf_dir, "documents"))

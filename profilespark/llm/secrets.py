@@ -21,9 +21,11 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from profilespark.llm.text import per_text
+
 #: kinds in the order that sorts spans with the same start
 KINDS = ("assign", "access", "hex", "hosting", "registry", "web")
 BASE_KINDS = KINDS[:3]
@@ -135,14 +137,10 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id and `spans array<struct<kind, start, end>>`."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [[{"kind": k, "start": s, "end": e} for s, e, k in find(t)] for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "spans": found})
+    def start():
+        return lambda texts, _: ([[{"kind": k, "start": s, "end": e} for s, e, k in find(t)] for t in texts],)
 
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>").withColumnRenamed("id", id_col)
+    return per_text(docs, start, "spans array<struct<kind:string,start:bigint,end:bigint>>", id_col, text_col)
 
 
 def redact(text: str | None) -> str | None:
@@ -159,15 +157,19 @@ def redact(text: str | None) -> str | None:
 
 def redacted(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The same rows and columns with secrets replaced, and the length column brought up to date."""
+    names = docs.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch[text_col] = [redact(t) for t in batch[text_col]]
-            if length_col in batch:
-                batch[length_col] = pd.array([None if t is None else len(t) for t in batch[text_col]], dtype="Int64")
-            yield batch
+            texts = [redact(t) for t in batch.column(names.index(text_col)).to_pylist()]
+            arrays = list(batch.columns)
+            arrays[names.index(text_col)] = pa.array(texts, pa.string())
+            if length_col in names:
+                kind = batch.column(names.index(length_col)).type
+                arrays[names.index(length_col)] = pa.array([None if t is None else len(t) for t in texts], kind)
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def digest(spans: list[tuple[int, int, str]]) -> str:
@@ -181,19 +183,10 @@ def digest_hash(spans: list[tuple[int, int, str]]) -> str:
 def summary(docs: DataFrame) -> DataFrame:
     """The digest columns: counts of the base kinds, the hash of the base spans, and all spans as text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for spans in batch["spans"]:
-                spans = [(s["start"], s["end"], s["kind"]) for s in spans]
-                base = [s for s in spans if s[2] in BASE_KINDS]
-                counts = [sum(s[2] == kind for s in base) for kind in BASE_KINDS]
-                rows.append((*counts, digest_hash(base), digest(spans)))
-            names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
-            out = pd.DataFrame(rows, columns=names)
-            out.insert(0, "doc_id", batch["doc_id"].values)
-            yield out
-
-    return scan(docs).mapInPandas(
-        run, "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
-    )
+    def columns(texts: list[str | None], _ids) -> list[list]:
+        spans = [find(t) for t in texts]
+        base = [[s for s in found if s[2] in BASE_KINDS] for found in spans]
+        counts = [[sum(s[2] == kind for s in found) for found in base] for kind in BASE_KINDS]
+        return [*counts, [digest_hash(found) for found in base], [digest(found) for found in spans]]
+
+    return per_text(docs, lambda: columns, "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string")

@@ -7,9 +7,13 @@ the same on every machine and in every run.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 CHUNK_BYTES = 1 << 20
 
@@ -108,3 +112,27 @@ def inside(first: np.ndarray, n: int) -> np.ndarray:
 def crc_fold(doc_id: int | None, folds: int) -> int:
     """crc32 of the id's decimal text, modulo `folds`; a null id counts as an empty text."""
     return zlib.crc32(b"" if doc_id is None else str(int(doc_id)).encode()) % folds
+
+
+def per_text(
+    docs: DataFrame, start: Callable[[], Callable], columns: str, id_col: str = "doc_id", text_col: str = "text", out_id: str | None = None
+) -> DataFrame:
+    """One row per document: its id, untouched, and the columns that a function makes of a batch of texts.
+
+    start() is called once per task and returns the function: (texts, ids) -> one list or array per column.
+    """
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    added = StructType.fromDDL(columns)
+    types = [f.type for f in to_arrow_schema(added)]
+    names = [out_id or id_col, *added.fieldNames()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = start()
+        for batch in batches:
+            if batch.num_rows:
+                made = function(batch.column(1).to_pylist(), batch.column(0).to_pylist())
+                arrays = [pa.array(values, kind) for values, kind in zip(made, types, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
+
+    schema = StructType([StructField(names[0], rows.schema["id"].dataType), *added.fields])
+    return rows.mapInArrow(run, schema)
