@@ -69,3 +69,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from profilespark.llm import mixing
 
     return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@query("op7_imatch")
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import imatch
+
+    docs = table(spark, sf_dir, "documents")
+    return imatch.compare_neighbours(docs, imatch.lexicon(docs))
