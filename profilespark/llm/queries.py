@@ -77,3 +77,10 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return imatch.compare_neighbours(docs, imatch.lexicon(docs))
+
+
+@query("op8_jaccard")
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import jaccard
+
+    return jaccard.join(table(spark, sf_dir, "documents"))

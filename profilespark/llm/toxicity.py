@@ -27,8 +27,8 @@ from profilespark.llm.sampling import labelled_sample
 from profilespark.llm.text import crc_fold, encoded, per_text
 
 #: bounds on the labelled rows, and on the bytes of their texts, that the model is fitted on
-TOXIC_ROWS, ORDINARY_ROWS = 3000, 6000
-SAMPLE_BYTES = 40 << 20
+TOXIC_ROWS, ORDINARY_ROWS = 2500, 4000
+SAMPLE_BYTES = 24 << 20
 ORDINARY_DICTIONARY, TOXIC_DICTIONARY = 32 << 10, 2 << 10
 WINDOW = 64
 GRAM = 6
