@@ -84,3 +84,10 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from profilespark.llm import jaccard
 
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query("op9_relative")
+def op9_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import relative
+
+    return relative.dedup(table(spark, sf_dir, "documents"))
