@@ -38,10 +38,10 @@ def slide(values: np.ndarray, width: int, lower: bool) -> np.ndarray:
     return pick(out[:-rest], out[rest:]) if rest else out
 
 
-def anchors(hashes: np.ndarray, width: int, group: np.ndarray) -> np.ndarray:
+def anchors(hashes: np.ndarray, width: int, offsets: np.ndarray) -> np.ndarray:
     """Places of the lowest hash of every `width` consecutive ones; of ties, enough to leave out no window.
 
-    Windows that reach over the end of a group only add places.
+    Documents start at `offsets`; windows that reach over the end of one only add places.
     """
     if len(hashes) < width:
         return np.zeros(0, dtype=np.int64)
@@ -49,7 +49,8 @@ def anchors(hashes: np.ndarray, width: int, group: np.ndarray) -> np.ndarray:
     edge = np.zeros(width - 1, dtype=hashes.dtype)
     places = np.flatnonzero(slide(np.concatenate((edge, lowest, edge)), width, False) == hashes)
     values = hashes[places]
-    same = (values[1:] == values[:-1]) & (group[places[1:]] == group[places[:-1]])
+    document = np.searchsorted(offsets, places, side="right")
+    same = (values[1:] == values[:-1]) & (document[1:] == document[:-1])
     keep = np.ones(len(places), dtype=bool)
     runs = np.flatnonzero(np.concatenate(([True], ~same, [True])))
     for r in np.flatnonzero(np.diff(runs) > 2):  # first and last stay, and between them no gap of more than the width
@@ -240,15 +241,15 @@ def _entries(n: int, packed: bytes) -> tuple[np.ndarray, ...]:
     return hashes, more, ids[own], versions[own], start.astype(np.int64)
 
 
-def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, window: int) -> DataFrame:
+def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, window: int, batches_matched: bool) -> DataFrame:
     """Spans of the entries that `decide` flags, block by block; rows without a block are left out.
 
-    Blocks that came from one batch alone are not looked at: the batch has matched its own entries.
+    batches_matched: entries of one batch have been matched with each other, so a block that has no other needs no look.
     """
     rows = index.filter("block is not null").select("block", "n", "entries").repartition("block").sortWithinPartitions("block")
 
     def done(held: list) -> Iterator[pa.RecordBatch]:
-        if len(held) > 1:
+        if len(held) > batches_matched:
             hashes, more, ids, versions, start = (np.concatenate(c) for c in zip(*[_entries(n, e) for n, e in held]))
             order, flags = decide([hashes, more], [ids, versions, start])
             x = order[flags]

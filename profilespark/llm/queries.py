@@ -91,3 +91,10 @@ def op9_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     from profilespark.llm import relative
 
     return relative.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op1_suffix")
+def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import substring
+
+    return substring.dedup(table(spark, sf_dir, "documents"))

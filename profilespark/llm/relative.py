@@ -54,7 +54,7 @@ class _Runs:
         return self.document[:count] == self.document[len(self.document) - count:]
 
     def anchor_hashes(self) -> np.ndarray:
-        places = anchors(self.seeds, self.width, self.document)
+        places = anchors(self.seeds, self.width, self.words.first)
         return self.seeds[places[self.whole[places]]]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +115,7 @@ def duplicate_spans(keyed: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     n = buckets(keyed.sparkSession)
     bitmap, _ = repeated(_seeds(keyed, window, seed))
     index = materialize(_index(keyed, bitmap, n, n, window, seed))
-    found = matched_entries(index, not_first, n, window)
+    found = matched_entries(index, not_first, n, window, batches_matched=True)
     return index.filter("block is null").select(*found.columns).unionByName(found)
 
 

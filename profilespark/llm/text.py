@@ -6,6 +6,7 @@ the same on every machine and in every run.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -91,15 +92,25 @@ _FACTOR = 0x2545F4914F6CDD1D
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
-def run_hash(values: np.ndarray, n: int) -> np.ndarray:
+@functools.lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.full(n, factor, dtype=np.uint64)) for factor in (_FACTOR, _INVERSE))
+
+
+def run_hash(values: np.ndarray, n: int, mixed: bool = False) -> np.ndarray:
     """A hash of every run of n consecutive values: element i stands for values[i : i + n]."""
     count = len(values) - n + 1
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
-    up = np.cumprod(np.full(len(values), _FACTOR, dtype=np.uint64))
-    down = np.cumprod(np.full(count, _INVERSE, dtype=np.uint64))
-    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mix(values) * up)))
-    return mix((sums[n:] - sums[:count]) * down + np.uint64(n))
+    up, down = _powers(1 << max(16, (len(values) - 1).bit_length()))
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((values if mixed else mix(values)) * up[:len(values)], out=sums[1:])
+    return mix((sums[n:] - sums[:count]) * down[:count] + np.uint64(n))
+
+
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A fixed random number for each byte, for `run_hash(..., mixed=True)`."""
+    return _BYTE[data]
 
 
 def inside(first: np.ndarray, n: int) -> np.ndarray:
