@@ -98,3 +98,11 @@ def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from profilespark.llm import substring
 
     return substring.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op3_pitman")
+def op3_pitman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import pitman
+
+    docs = table(spark, sf_dir, "documents")
+    return pitman.score(docs, pitman.fit(docs))
