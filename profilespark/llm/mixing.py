@@ -10,6 +10,8 @@ whose tokens begin before the budget ends. Block sums are added up first; only i
 ends are single documents put in order, and a block has about BLOCK_ROWS documents, whatever the source's
 share. So no source is ever in one task, and the plan moves only ids and token counts, not texts.
 
+A budget that draws every source at least once in whole keeps every document.
+
 Tokens are words. A null source is a source of its own, named by an empty text in the result; a null or empty
 text has no tokens and is drawn once in each epoch, at its place. Rows that are equal in id and source are
 drawn together.
@@ -151,3 +153,18 @@ def mixed(docs: DataFrame, repeats: float = MOST_EPOCHS) -> DataFrame:
     """All draws of the documents, weights from the corpus itself."""
     rows = with_tokens(docs)
     return realise(rows, plan(counts_of(rows), repeats=repeats))
+
+
+def repeated_rows(docs: DataFrame, repeats: float = MOST_EPOCHS, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """The rows, columns unchanged, each as often as the mix draws it, and each at least once.
+
+    Only draws after the first are looked up by id, so a table whose sources all get one epoch isn't shuffled.
+    """
+    rows = with_tokens(docs)
+    again = realise(rows, plan(counts_of(rows), repeats=repeats)).filter("epoch > 1")
+    again = again.groupBy("doc_id", "source", "epoch").agg(F.lit(1).alias("one")).groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("times"))
+    keyed = docs.withColumn("source drawn", F.coalesce(source_col, F.lit("")))
+    met = keyed.join(again.select(F.col("doc_id").alias("drawn id"), F.col("source").alias("drawn source"), "times"),
+                     F.col(id_col).eqNullSafe(F.col("drawn id")) & (F.col("source drawn") == F.col("drawn source")), "left")
+    copies = met.withColumn("copy", F.explode(F.expr("sequence(cast(0 as bigint), coalesce(times, cast(0 as bigint)))")))
+    return copies.select(*docs.columns)

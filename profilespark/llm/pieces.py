@@ -17,10 +17,13 @@ import functools
 import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 
 import ahocorasick
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from profilespark.llm.text import per_text
 
@@ -194,7 +197,8 @@ class Pieces:
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
-        return [i for w in self.words_of(text or "") for i in self.word_ids(w)] + [self.end]
+        words = [self.known(w) for w in self.words_of(text or "")]
+        return [int(i) for w in words for i in w[0].split()] + [self.end]
 
     def decode(self, ids: list[int]) -> str:
         """The text of some ids; the space put before the text is taken off again."""
@@ -249,3 +253,18 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
         return list(zip(*[table.digests(t) for t in texts]))
 
     return per_text(docs, lambda: columns, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
+def with_ids(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
+    """The rows and columns with `ids array<int>` and `n_tokens` added; each text decodes from its ids."""
+    place, names = docs.columns.index(text_col), [*docs.columns, "ids", "n_tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pieces(model)
+            ids = [table.encode(t) for t in batch.column(place).to_pylist()]
+            added = [pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names)
+
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL("ids array<int>, n_tokens bigint").fields])
+    return docs.mapInArrow(run, schema)
