@@ -4,7 +4,7 @@ A dictionary is trained on ordinary labelled texts, another on what sets toxic o
 whose short byte sequences recur in several toxic texts and never occur in the ordinary ones. Each text is cut
 into windows at spaces, and each window is compressed twice: with the ordinary dictionary, and with the
 toxic one put before it. Ordinary prose takes as many bytes either way, so what a window gains is due to
-toxic text. The gains over two thresholds, per window and in all, go through a logistic curve
+toxic text. The gains over several thresholds, per window, go through a logistic curve
 that is calibrated on labelled rows which neither dictionary has seen.
 
 Fitting reads a bounded sample of labelled rows; scoring is one pass over whole texts, without a shuffle.
@@ -80,11 +80,11 @@ class Gains:
     def features(self, text: bytes) -> list[float]:
         plain, joint = self.plain, self.joint
         saved = [len(plain(w)) - len(joint(w)) for w in windows(text)]
-        if not saved:
-            return [0.0] * 5
-        n = len(saved)
-        one, two = sum(s for s in saved if s > 0), sum(s - 1 for s in saved if s > 1)
-        return [one / n, two / n, sum(s > 2 for s in saved) / n, float(np.log1p(two)), float(np.log1p(n))]
+        n = max(1, len(saved))
+        above = [sum(s - least for s in saved if s > least) for least in range(3)]
+        # rates, two of them held down in short texts; none grows with the length of a text
+        rates = [above[0] / n, above[1] / n, above[2] / n, sum(s > 2 for s in saved) / n, sum(s > 3 for s in saved) / n]
+        return [*rates, above[1] / (n + 10), above[1] / (n + 30)]
 
 
 def _grams(text: bytes) -> np.ndarray:
