@@ -149,17 +149,18 @@ def pair_counts(docs: DataFrame, known: Vocabulary) -> DataFrame:
 
 
 def seat(customers: np.ndarray, parent: np.ndarray, tables: float, discount: float, random: np.random.Generator) -> np.ndarray:
-    """Tables that each dish's customers take when they are seated again, given the restaurant's other tables.
+    """Tables that each dish's customers take when they are seated again, given the tables of the sweep before.
 
     A customer opens a table in proportion to (strength + discount * tables) * parent, or joins one in
     proportion to its dish's customers less discount * its dish's tables.
     """
     out = (customers > 0).astype(np.int64)
+    tables = max(tables, np.count_nonzero(customers)) if len(customers) > 1 else tables
     active = np.flatnonzero(customers > 1)
     seated = np.ones(len(customers), dtype=np.int64)
     while len(active):
         n, t = seated[active], out[active]
-        opening = (STRENGTH + discount * (tables + t)) * parent[active]
+        opening = (STRENGTH + discount * np.maximum(tables, t)) * parent[active]
         batch = np.minimum(np.maximum(1, (n * BATCH).astype(np.int64)), customers[active] - n)
         opened = random.binomial(batch, opening / (opening + n - discount * t))
         out[active] += opened
