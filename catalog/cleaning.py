@@ -166,7 +166,7 @@ def prepare_survey(spark, sf_dir):
     "prepare_model_key",
     "with clean as (select min(row_id) as row_id, {f}, min(Stress_Level) as Stress_Level from ({inner}) "
     "where Stress_Level is not null group by {k} having min(Stress_Level) = max(Stress_Level)) select * from clean".format(
-        f=", ".join(["min(Age) as Age", *SURVEY_ROWS.model_features]),
+        f=", ".join(["first(Age order by row_id) as Age", *SURVEY_ROWS.model_features]),
         k=", ".join(SURVEY_ROWS.model_features),
         inner="select row_id, " + ", ".join(f"{sql_clean(SURVEY_ROWS, c)} as {c}" for c in SURVEY_ROWS.features)
         + f", nullif({sql_strip('Stress_Level')}, '') as Stress_Level from (select * from survey)",

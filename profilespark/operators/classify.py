@@ -64,13 +64,11 @@ class FittedModel:
             return score_majority(vectors, self.parameters["label"], self.classes)
         if self.kind == KNN:
             x = vectors.withColumn("_x", vector_to_array(features))
-            found = knn.neighbors(
-                x, self.train, self.parameters["n_neighbors"], query_id=self.row_id, train_id="tid",
-                label="label", x="_x", seed=self.seed,
+            found = knn.with_neighbors(
+                x, self.train, self.parameters["n_neighbors"], train_id="tid", label="label", x="_x", seed=self.seed
             )
             votes = knn.vote("neighbors", self.parameters["n_neighbors"], self.parameters["weights"], self.classes)
-            scored = found.select(self.row_id, *[v.alias(n) for n, v in votes.items()])
-            return vectors.join(scored, self.row_id)
+            return found.withColumns(votes).drop("_x", "neighbors")
         model = self.model
         model.setFeaturesCol(features)
         model.setPredictionCol("_prediction").setProbabilityCol("_probability").setRawPredictionCol("_raw")

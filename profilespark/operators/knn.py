@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from profilespark.functions.clean import quoted
 from profilespark.operators.ordered import seeded_hash
 from profilespark.session import materialize
 
@@ -144,14 +145,30 @@ def _best(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
 
 
-def neighbors(
-    queries: DataFrame, train: DataFrame, k: int, *, query_id: str, train_id: str, label: str,
+def with_neighbors(queries: DataFrame, train: DataFrame, k: int, *, x: str = "x", **options) -> DataFrame:
+    """Every row of `queries` with `neighbors array<struct<rank, d2, id, label>>`, its k nearest training rows.
+
+    Rows are told apart by their point alone: equal points are searched once, and no id of the caller's, which
+    may be repeated or null, decides anything. Options are those of `neighbors`.
+    """
+    found = _of_points(queries.select(F.col(x).cast("array<double>").alias("qid")).distinct(), train, k, x=x, **options)
+    point = queries.withColumn("_point", F.col(x).cast("array<double>"))
+    return point.join(found.withColumnRenamed("qid", "_point"), "_point").select(*[F.col(quoted(c)) for c in queries.columns], "neighbors")
+
+
+def neighbors(queries: DataFrame, train: DataFrame, k: int, *, query_id: str, x: str = "x", **options) -> DataFrame:
+    """(query id, neighbors) of every query row."""
+    return with_neighbors(queries, train, k, x=x, **options).select(F.col(quoted(query_id)).alias(query_id), "neighbors")
+
+
+def _of_points(
+    asked: DataFrame, train: DataFrame, k: int, *, train_id: str, label: str,
     x: str = "x", seed: int | str = 42, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
     pivots: int | None = None,
 ) -> DataFrame:
-    """(query id, neighbors array<struct<rank, d2, id, label>>) of the k nearest training rows.
+    """(qid, neighbors) of distinct points `qid array<double>`.
 
-    Order: squared distance, then training id. `x` is an array<double> column on both sides.
+    Order: squared distance, then training id. `x` is an array<double> column of `train`.
     """
     points = train.select(
         F.col(train_id).alias("tid"), F.col(x).cast("array<double>").alias("x"), F.col(label).cast("string").alias("label")
@@ -160,7 +177,7 @@ def neighbors(
     # and the limit is applied before the shuffle
     copies = Window.partitionBy("x").orderBy("tid")
     points = points.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= k).drop("_c")
-    asked = queries.select(F.col(query_id).alias("qid"), F.col(x).cast("array<double>").alias("x"))
+    asked = asked.withColumn("x", F.col("qid"))
 
     total = points.count()
     if total == 0:
@@ -225,7 +242,6 @@ def neighbors(
     return (
         best.groupBy("qid")
         .agg(F.array_sort(F.collect_list(F.struct(F.col("_r").alias("rank"), "d2", F.col("tid").alias("id"), "label"))).alias("neighbors"))
-        .withColumnRenamed("qid", query_id)
     )
 
 

@@ -147,11 +147,15 @@ def profile_groups(df: DataFrame, contract: Contract, key: Sequence[str] | None
         F.min("_place").alias("_low"),
         F.max("_place").alias("_high"),
     ]
-    if contract.row_id:
+    named = [*([contract.row_id] if contract.row_id else []), *carried]
+    if carried:
+        # columns outside a narrower key come from one row, the one with the smallest id
+        aggregates.append(F.min(F.struct(*[F.col(C.quoted(c)).alias(f"_{i}") for i, c in enumerate(named)])).alias("_first"))
+    elif named:
         aggregates.append(F.min(C.quoted(contract.row_id)).alias(contract.row_id))
-    # columns outside a narrower key are carried with their smallest value
-    aggregates += [F.min(C.quoted(c)).alias(c) for c in carried]
     groups = rows.groupBy(*[C.quoted(c) for c in (key or contract.features)]).agg(*aggregates)
+    if carried:
+        groups = groups.withColumns({c: F.col(f"_first._{i}") for i, c in enumerate(named)}).drop("_first")
     return groups.withColumns({
         "first_label": label_at(contract, F.col("_low")), "last_label": label_at(contract, F.col("_high"))
     })

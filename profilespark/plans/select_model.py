@@ -84,11 +84,10 @@ def _fold_scores(
                 F.col(quoted(contract.row_id)).alias("tid"), vector_to_array("features").alias("_x"),
                 F.col(quoted(contract.target)).alias("label"),
             )
-            found = knn.neighbors(
-                held_rows.withColumn("_x", vector_to_array("features")), points, largest, query_id=contract.row_id,
+            scored = knn.with_neighbors(
+                scored.withColumn("_x", vector_to_array("features")), points, largest,
                 train_id="tid", label="label", x="_x", seed=contract.seed,
             )
-            scored = scored.join(found, contract.row_id)
             for i, s in enumerate(choices):
                 predicted = knn.vote("neighbors", s["n_neighbors"], s["weights"], classes)["predicted"]
                 entries.append(F.struct(F.lit(KNN).alias("model"), F.lit(i).alias("setting"), predicted.alias("predicted")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +30,7 @@ def local_session(cpus: int | str = 8, app: str = "profilespark", **conf) -> Spa
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Directory for cut points: the cluster's own shared folder when it names one."""
+    """Directory for cut points: what `spark.checkpoint.dir` names; on a cluster it has to name one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -37,7 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not shared:
         if not sc.master.startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
+        # one machine, no setting: a folder of this run's own, which goes when it ends
         shared = tempfile.mkdtemp(prefix="profilespark-checkpoint-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     sc.setCheckpointDir(shared)
     return shared
 

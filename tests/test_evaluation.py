@@ -146,3 +146,13 @@ def test_importance_is_zero_for_unused_columns(spark):
     )
     got = {r.feature: r for r in result.collect()}
     assert got["b"].importance == 0 and got["b"]["std"] == 0 and 0.3 < got["a"].importance < 0.7
+
+
+def test_neighbours_do_not_depend_on_ids(spark):
+    """Repeated and null query ids: every row keeps its own neighbours, and no row is lost."""
+    train = spark.createDataFrame([(i, [float(i)], "A" if i < 50 else "B") for i in range(100)], "id long, x array<double>, label string")
+    asked = [("r1", [1.0]), ("r1", [99.0]), (None, [2.0]), ("r2", [98.0]), (None, [97.0]), ("r3", [97.0])]
+    queries = spark.createDataFrame(asked, "rid string, x array<double>")
+    got = knn.with_neighbors(queries, train, 3, train_id="id", label="label").withColumns(knn.vote("neighbors", 3, "uniform", ["A", "B"]))
+    rows = sorted((r.rid or "", r.x[0], r.predicted) for r in got.collect())
+    assert rows == sorted((i or "", x[0], "A" if x[0] < 50 else "B") for i, x in asked)
