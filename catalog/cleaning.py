@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import query
@@ -24,8 +26,9 @@ from catalog.tables import (
 from profilespark.contract import AGE_EDGES, AGE_GROUPS
 from profilespark.functions.clean import in_bounds, right_closed_group, short_number, to_number
 from profilespark.operators import quality, validate
-from profilespark.sources.readers import table_fingerprint
-from profilespark.sources.writers import result_json
+from profilespark.session import ensure_checkpoint_dir
+from profilespark.sources.readers import read_table, table_fingerprint
+from profilespark.sources.writers import result_json, write_json, write_table
 
 
 @query(
@@ -410,3 +413,27 @@ def json_rows(spark, sf_dir):
         .otherwise(F.col("o_custkey") + 0.5)
     )
     return result_json(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", share.alias("share")))
+
+
+@query(
+    "csv_round_trip",
+    "select cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment, cast(c_nationkey as varchar) as c_nationkey from customer",
+)
+def csv_round_trip(spark, sf_dir):
+    """A table written as CSV and scanned again: every column is text, and every cell is the same."""
+    path = f"{ensure_checkpoint_dir(spark)}/customer-{uuid.uuid4().hex}.csv"
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    write_table(rows, path, fmt="csv")
+    return read_table(spark, path)
+
+
+@query(
+    "json_sink_round_trip",
+    "select o_orderkey, o_orderstatus, o_orderpriority from orders",
+)
+def json_sink_round_trip(spark, sf_dir):
+    """Rows written by the JSON sink and scanned again."""
+    path = f"{ensure_checkpoint_dir(spark)}/orders-{uuid.uuid4().hex}.json"
+    write_json(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), path)
+    return read_table(spark, path, "json")
+

@@ -30,6 +30,8 @@ class Contract:
     integers: tuple[str, ...] = ()
     #: stable row identity, carried next to the features
     row_id: str | None = None
+    #: statements that travel with every fitted bundle and every score
+    limitations: tuple[str, ...] = ()
     max_text_length: int = 80
     min_class_rows: int = 15
     seed: int = 42
@@ -62,6 +64,17 @@ class Contract:
         return replace(self, **changes)
 
 
+# The statements that travel with every survey score.
+SURVEY_LIMITATIONS = (
+    "Educational estimates of dataset labels, not a clinical assessment.",
+    "Dataset source, license, collection method, and synthetic status are unverified.",
+    "Age is accepted for validation and reporting but excluded from prediction because training ages cover only 18-24.",
+    "Performance across demographic age groups remains unverified without representative labeled data.",
+    "Probabilities are uncalibrated model outputs.",
+    "Study and physical-activity time windows need source confirmation.",
+    "Global feature importance and input comparisons do not establish individual causes.",
+)
+
 # Fixed values of the survey schema: column names, bounds, aliases, label order.
 SURVEY = Contract(
     name="survey",
@@ -106,6 +119,7 @@ SURVEY = Contract(
     report_only=("Age",),
     excluded=("Gender", "Country", "Mental_Health_Score"),
     integers=("Age", "Daily_Unlocks"),
+    limitations=SURVEY_LIMITATIONS,
 )
 
 # Right-closed age groups; the first group includes its lower edge.

@@ -140,7 +140,9 @@ def exact_quantiles(
     by = list(by)
     probabilities = list(probabilities)
     cells = [(c, i, p) for c in columns for i, p in enumerate(probabilities)]
-    col = {c: F.col(quoted(c)).cast("double") for c in columns}
+    # a number that isn't one counts as missing
+    value_of = {c: F.col(quoted(c)).cast("double") for c in columns}
+    col = {c: F.when(~F.isnan(x), x) for c, x in value_of.items()}
 
     def rows_of(source: DataFrame, value) -> DataFrame:
         return source.select(

@@ -98,11 +98,13 @@ def unknown_labels(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def check_labels(df: DataFrame, contract: Contract) -> None:
-    found = [r.label for r in unknown_labels(df, contract).orderBy("label").limit(MAX_LISTED_LABELS).collect()]
+    found = [r.label for r in unknown_labels(df, contract).orderBy("label").limit(MAX_LISTED_LABELS + 1).collect()]
     if found:
         name = (contract.target or "target").replace("_", " ").lower()
+        listed = found[:MAX_LISTED_LABELS]
+        more = f" and others: unknown_labels() has the full table of {unknown_labels(df, contract).count()}" if len(found) > len(listed) else ""
         raise ValueError(
-            f"Unknown {name} values (unknown labels): {found}. Expected {list(contract.labels)}."
+            f"Unknown {name} values (unknown labels): {listed}{more}. Expected {list(contract.labels)}."
         )
 
 

@@ -111,19 +111,26 @@ def cv_table(scores: DataFrame) -> DataFrame:
 
 def train_classifiers(
     train: DataFrame, validation: DataFrame, contract: Contract, *, quick: bool = False,
-    grid: Mapping[str, Mapping] = GRID, folds: int = 3, parallel: int = 4,
+    grid: Mapping[str, Mapping] = GRID, folds: int = 3, parallel: int = 4, search: bool = True,
 ) -> Training:
-    """Tune each classifier on the training rows, refit its best setting, choose by validation."""
+    """Tune each classifier on the training rows, refit its best setting, choose by validation.
+
+    Without `search`, the grid must hold one setting of each classifier, and no folds are fitted.
+    """
+    if not search and any(len(settings(values, quick)) > 1 for values in grid.values()):
+        raise ValueError("Without a search, name one setting of each classifier.")
     spark = train.sparkSession
     classes = sorted(contract.labels)
     # every fold and every fit reads this table, so it is written once
     folded = materialize(stratified_folds(train, contract, folds))
     seconds: dict[str, float] = {}
-    # folds are independent: their jobs share the cluster instead of waiting for each other
-    with ThreadPool(folds) as pool:
-        per_fold = pool.map(lambda f: _fold_scores(folded, f, contract, classes, grid, quick, parallel), range(folds))
-    rows = [score for scores in per_fold for score in scores]
     listed = {kind: settings(values, quick) for kind, values in grid.items()}
+    per_fold = []
+    if search:
+        # folds are independent: their jobs share the cluster instead of waiting for each other
+        with ThreadPool(folds) as pool:
+            per_fold = pool.map(lambda f: _fold_scores(folded, f, contract, classes, grid, quick, parallel), range(folds))
+    rows = [score for scores in per_fold for score in scores]
     scores = spark.createDataFrame(
         [(m, s, json.dumps(listed[m][s], sort_keys=True), f, v) for m, s, f, v in rows],
         "model string, setting int, parameters string, fold int, score double",
@@ -132,6 +139,8 @@ def train_classifiers(
     best: dict[str, tuple[int, float]] = {}
     for r in results.orderBy("model", "rank", "setting").collect():  # one row per setting
         best.setdefault(r.model, (r.setting, r.mean_score))
+    for kind in grid:
+        best.setdefault(kind, (0, None))
 
     prep = fit_preparation(train, contract)
     keep = [contract.row_id, contract.target, "features"]

@@ -23,18 +23,6 @@ from profilespark.plans.select_model import Training, score_models, train_classi
 from profilespark.session import materialize
 from profilespark.sources.bundle import ARTIFACT_VERSION, Bundle
 
-# The statements that travel with every bundle.
-LIMITATIONS = (
-    "Educational estimates of dataset labels, not a clinical assessment.",
-    "Dataset source, license, collection method, and synthetic status are unverified.",
-    "Age is accepted for validation and reporting but excluded from prediction because training ages cover only 18-24.",
-    "Performance across demographic age groups remains unverified without representative labeled data.",
-    "Probabilities are uncalibrated model outputs.",
-    "Study and physical-activity time windows need source confirmation.",
-    "Global feature importance and input comparisons do not establish individual causes.",
-)
-
-
 def _with_id(df: DataFrame, contract: Contract) -> tuple[DataFrame, Contract]:
     """Prepared rows get an id from their (unique) profile when the table has no key."""
     if contract.row_id:
@@ -92,8 +80,13 @@ def global_importance(
 def train(
     df: DataFrame, contract: Contract, *, quick: bool = False, k_values: Sequence[int] = range(2, 7),
     restarts: int = 10, repeats: int = 5, grid=GRID, parallel: int = 4,
+    search: bool = True, clusters: bool = True, importance: bool = True,
 ) -> Bundle:
-    """Run every step and return a bundle with its result tables."""
+    """Run every step and return a bundle with its result tables.
+
+    The search over folds (if the grid has one setting of each classifier), clustering and importance can be
+    left out; the bundle then scores and evaluates without them.
+    """
     audit = quality.audit(df, contract)
     prepared, contract = _with_id(quality.prepare(df, contract), contract)
     # folds, fits and evaluations all read this table
@@ -102,13 +95,14 @@ def train(
     split.require_usable_columns(part["train"], contract)
 
     with ThreadPool(2) as pool:  # clustering never sees the labels, so it need not wait for the classifiers
-        clusters = pool.apply_async(train_clusters, (part["train"], contract, k_values, restarts, parallel))
-        training = train_classifiers(part["train"], part["val"], contract, quick=quick, grid=grid, parallel=parallel)
-        clustering = clusters.get()
+        clustered = pool.apply_async(train_clusters, (part["train"], contract, k_values, restarts, parallel)) if clusters else None
+        training = train_classifiers(part["train"], part["val"], contract, quick=quick, grid=grid, parallel=parallel, search=search)
+        clustering = clustered.get() if clusters else None
     with ThreadPool(2) as pool:
-        explained = pool.apply_async(lambda: materialize(global_importance(training, part["val"], contract, repeats)))
+        explain = lambda: materialize(global_importance(training, part["val"], contract, repeats))
+        explained = pool.apply_async(explain) if importance else None
         evaluation = evaluate_models(training, part["test"], contract)
-        importance = explained.get()
+        ranked = explained.get() if importance else None
 
     numeric, categorical = contract.numeric, contract.categorical
     wanted = {c: n for c, n in stats.THRESHOLD_QUANTILES.items() if c in numeric}
@@ -128,21 +122,24 @@ def train(
         "training_ranges": {r["column"]: [r.low, r.high] for r in stats.ranges(part["train"], numeric).collect()},
         "recommendation_thresholds": thresholds_from_rows(stats.thresholds(part["train"], wanted).collect()) if wanted else None,
         "split_sizes": {p: sizes.get(p, 0) for p in split.PARTS},
-        "cluster_count": clustering.best_k, "cluster_descriptions": clustering.descriptions,
-        "cluster_scores": clustering.scores,
-        "cluster_profiles": [r.asDict() for r in clustering.profiles(part["train"], contract).orderBy("cluster").collect()],
-        "global_importance": [r.asDict() for r in importance.orderBy(F.desc("importance"), "feature").collect()],
         "dataset_audit": [r.asDict() for r in audit_rows],
         "evaluation": [r.asDict() for r in evaluation["metrics"].collect()],
-        "limitations": list(LIMITATIONS),
+        "limitations": list(contract.limitations),
     }
     tables = {
         "prepared": parts.drop("split"),
         "split_assignments": parts.select(quoted(contract.row_id), "split"),
-        "selection": training.selection, "cv_results": training.cv_results,
-        "cluster_profiles": clustering.profiles(part["train"], contract),
-        "importance": importance, **evaluation,
+        "selection": training.selection, "cv_results": training.cv_results, **evaluation,
     }
+    if clusters:
+        tables["cluster_profiles"] = clustering.profiles(part["train"], contract)
+        metadata |= {
+            "cluster_count": clustering.best_k, "cluster_descriptions": clustering.descriptions, "cluster_scores": clustering.scores,
+            "cluster_profiles": [r.asDict() for r in tables["cluster_profiles"].orderBy("cluster").collect()],
+        }
+    if importance:
+        tables["importance"] = ranked
+        metadata["global_importance"] = [r.asDict() for r in ranked.orderBy(F.desc("importance"), "feature").collect()]
     return Bundle(contract, training.preparation, training.models, training.baseline, clustering, metadata, tables)
 
 

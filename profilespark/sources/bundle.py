@@ -31,13 +31,13 @@ def contract_to_dict(contract: Contract) -> dict:
         "bounds": {c: list(b) for c, b in contract.bounds.items()},
         "aliases": {c: dict(m) for c, m in contract.aliases.items()},
         "display_names": dict(contract.display_names), "report_only": list(contract.report_only),
-        "excluded": list(contract.excluded), "integers": list(contract.integers), "row_id": contract.row_id,
+        "excluded": list(contract.excluded), "integers": list(contract.integers), "row_id": contract.row_id, "limitations": list(contract.limitations),
         "max_text_length": contract.max_text_length, "min_class_rows": contract.min_class_rows, "seed": contract.seed,
     }
 
 
 def contract_from_dict(data: Mapping) -> Contract:
-    tuples = ("numeric", "categorical", "labels", "report_only", "excluded", "integers")
+    tuples = ("numeric", "categorical", "labels", "report_only", "excluded", "integers", "limitations")
     values = {k: tuple(v) if k in tuples else v for k, v in data.items()}
     values["bounds"] = {c: tuple(b) for c, b in data["bounds"].items()}
     return Contract(**values)
@@ -83,7 +83,7 @@ class Bundle:
         return score_models(self.vectors(df), chosen, self.contract.row_id).drop("features")
 
     def score(self, df: DataFrame) -> DataFrame:
-        """One result row per input row; needs a unique row id column."""
+        """One result row per input row, whatever its row id is."""
         contract, meta = self.contract, self.metadata
         scored = self.vectors(df)
         entries = []
@@ -119,6 +119,7 @@ class Bundle:
             S.median_comparison(df, contract, meta["medians"]).alias("comparisons"),
             R.prompts(df, meta["medians"]).alias("suggestions"),
             S.notes(df, contract, meta["training_ranges"], meta["categories"]).alias("notes"),
+            F.array(*[F.lit(x) for x in meta.get("limitations", [])]).cast("array<string>").alias("limitations"),
         )
 
     def score_with_recommendations(self, df: DataFrame, rules: R.RuleSet = R.SURVEY_RULES) -> DataFrame:
