@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,22 +113,42 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def buckets(spark: SparkSession) -> int:
-    """Number of pieces that documents are dealt into: a few per shuffle partition."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Number of pieces that documents, and hashes of entries, are dealt into: one for each shuffle partition."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 SPANS = "bucket int, ids binary, versions binary, starts binary, ends binary"
+#: rows of an index: either packed entries of a block, or spans already found, which stand in the block of their bucket
+INDEX = f"block int, n bigint, entries binary, {SPANS}"
+_INDEX_NAMES = [c.split()[0] for c in INDEX.split(", ")]
+
+
+def index_of_spans(rows: pa.RecordBatch) -> pa.RecordBatch:
+    none = [pa.nulls(len(rows), kind) for kind in (pa.int64(), pa.binary())]
+    return pa.RecordBatch.from_arrays([rows.column(0), *none, *rows.columns], _INDEX_NAMES)
+
+
+def index_of_entries(rows: pa.RecordBatch) -> pa.RecordBatch:
+    none = [pa.nulls(len(rows), kind) for kind in (pa.int32(), *[pa.binary()] * 4)]
+    return pa.RecordBatch.from_arrays([*rows.columns, *none], _INDEX_NAMES)
 
 
 def span_rows(ids: np.ndarray, versions: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> pa.RecordBatch:
-    """Spans of many documents as one row for each bucket that they fall into."""
+    """Spans of many documents as one row for each bucket that they fall into; those that meet are one."""
     place = np.mod(ids ^ versions, n)
-    order = np.argsort(place, kind="stable")
-    place = place[order]
+    order = np.lexsort((starts, versions, ids, place))
+    place, ids, versions, starts, ends = (a[order] for a in (place, ids, versions, starts, ends))
+    # a running maximum within each document, by way of one that documents can't reach over
+    new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (versions[1:] != versions[:-1]))) if len(ids) else np.zeros(0, dtype=bool)
+    lift = np.cumsum(new) * (int(ends.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(ends + lift) - lift
+    new[1:] |= starts[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(new)) - 1
+    place, columns = place[first], [a.astype(np.int64) for a in (ids[first], versions[first], starts[first], reach[last])]
     cuts = np.flatnonzero(np.diff(place, prepend=-1))
     ends_at = np.append(cuts[1:], len(place))
-    columns = [a[order].astype(np.int64) for a in (ids, versions, starts, ends)]
-    packed = [pa.array([c[a:b].tobytes() for a, b in zip(cuts, ends_at)], pa.binary()) for c in columns]
+    packed = [pa.array([zstandard.compress(c[a:b].tobytes(), 1) for a, b in zip(cuts, ends_at)], pa.binary()) for c in columns]
     return pa.RecordBatch.from_arrays([pa.array(place[cuts], pa.int32()), *packed], ["bucket", "ids", "versions", "starts", "ends"])
 
 
@@ -155,7 +176,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, function: Callable, columns: s
                 if at != bucket:
                     bucket, parts, known = at, [], None
                 if text is None:
-                    parts.append([np.frombuffer(p, dtype=np.int64) for p in packed])
+                    parts.append([np.frombuffer(zstandard.decompress(p), dtype=np.int64) for p in packed])
                     continue
                 if known is None:
                     known = _by_document(parts)
@@ -242,11 +263,11 @@ def _entries(n: int, packed: bytes) -> tuple[np.ndarray, ...]:
 
 
 def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, window: int, batches_matched: bool) -> DataFrame:
-    """Spans of the entries that `decide` flags, block by block; rows without a block are left out.
+    """Spans of the entries that `decide` flags, block by block. Rows of spans pass through.
 
     batches_matched: entries of one batch have been matched with each other, so a block that has no other needs no look.
     """
-    rows = index.filter("block is not null").select("block", "n", "entries").repartition("block").sortWithinPartitions("block")
+    rows = index.repartition("block").sortWithinPartitions("block")
 
     def done(held: list) -> Iterator[pa.RecordBatch]:
         if len(held) > batches_matched:
@@ -259,7 +280,9 @@ def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, window:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, []
         for batch in batches:
-            for b, n, entries in zip(*[c.to_pylist() for c in batch.columns]):
+            is_span = pa.compute.is_valid(batch.column(3))
+            yield pa.RecordBatch.from_arrays(batch.filter(is_span).columns[3:], [c.split()[0] for c in SPANS.split(", ")])
+            for b, n, entries in zip(*[c.to_pylist() for c in batch.filter(pa.compute.invert(is_span)).columns[:3]]):
                 if b != block:
                     yield from done(held)
                     block, held = b, []

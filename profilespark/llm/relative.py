@@ -8,8 +8,8 @@ the window can't become a span and is never made, and where one factor ends and
 words across the boundary has been looked up by itself. The factors' union is removed.
 
 Which entries may be repeated is found first: each run of words has an anchor (`anchors.py`), and only runs
-whose anchor hash occurs more than once in the corpus go to the index. Within a batch of documents, all but the
-earliest of equal entries are matches at once, so what many documents share leaves a batch once, however hot.
+whose anchor hash occurs more than once in the corpus go to the index. Within a slice of documents, all but the
+earliest of equal entries are matches at once, so what many documents share leaves a slice once, however hot.
 
 Shuffled: one row per distinct anchor and batch; the entries that may be repeated, packed, 18 bytes each before compression;
 the matches, packed; and each text once. Entries are compared by 80 bits of hash.
@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from profilespark.llm.anchors import (
-    SPANS, anchors, buckets, document_key, entry_rows, marked, matched_entries, not_first, repeated, slide, span_rows, with_spans,
+    INDEX, anchors, buckets, document_key, entry_rows, index_of_entries, index_of_spans, marked, matched_entries, not_first, repeated,
+    slide, span_rows, with_spans,
 )
 from profilespark.llm.text import Words, chunks, encoded, run_hash
-from profilespark.session import materialize
 
 WINDOW = 20
 SEED = 6
+SLICE_BYTES = 8 << 20
 
 
 class _Runs:
@@ -77,46 +78,42 @@ def _seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "seed bigint, n bigint")
 
 
-def _index(docs: DataFrame, bitmap: np.ndarray, n_blocks: int, n_buckets: int, window: int, seed: int) -> DataFrame:
-    """Rows for blocks (block, n, packed entries) and, with block null, spans of the matches within a batch."""
-    names = ["block", "n", "entries", "bucket", "ids", "versions", "starts", "ends"]
+def _index(docs: DataFrame, bitmap: np.ndarray, n: int, window: int, seed: int) -> DataFrame:
+    """Entries of all windows that may be repeated, in blocks, and the spans of those that a slice has matched itself."""
+
+    def entries(texts: list[bytes], ids: np.ndarray, versions: np.ndarray) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for a, b in chunks(texts):
+            runs = _Runs(texts[a:b], window, seed)
+            at, hashes, lowest = runs.windows()
+            hit = marked(bitmap, lowest)
+            at = at[hit]
+            document = runs.document[at]
+            parts.append((hashes[hit], (lowest[hit] & np.uint64(0xFFFF)).astype(np.uint16), document + a, at - runs.words.first[document]))
+        hashes, more, document, start = (np.concatenate(c) for c in zip(*parts))
+        order, again = not_first([hashes, more], [ids[document], versions[document], start])
+        matched, first = order[again], np.sort(order[~again])
+        if len(matched):
+            yield index_of_spans(span_rows(ids[document[matched]], versions[document[matched]], start[matched], start[matched] + window, n))
+        if len(first):
+            yield index_of_entries(entry_rows(hashes[first], more[first], document[first], start[first], ids, versions, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, versions = (np.asarray(batch.column(k)).astype(np.int64) for k in (0, 1))
             texts = encoded(batch.column(2).to_pylist())
-            parts = []
-            for a, b in chunks(texts):
-                runs = _Runs(texts[a:b], window, seed)
-                at, hashes, lowest = runs.windows()
-                hit = marked(bitmap, lowest)
-                at = at[hit]
-                document = runs.document[at]
-                parts.append((hashes[hit], (lowest[hit] & np.uint64(0xFFFF)).astype(np.uint16), document + a, at - runs.words.first[document]))
-            if not parts:
-                continue
-            hashes, more, document, start = (np.concatenate(c) for c in zip(*parts))
-            order, again = not_first([hashes, more], [ids[document], versions[document], start])
-            matched = np.sort(order[again])
-            if len(matched):
-                rows = span_rows(ids[document[matched]], versions[document[matched]], start[matched], start[matched] + window, n_buckets)
-                empty = [pa.nulls(len(rows), t) for t in (pa.int32(), pa.int64(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([*empty, *rows.columns], names)
-            first = np.sort(order[~again])
-            rows = entry_rows(hashes[first], more[first], document[first], start[first], ids, versions, n_blocks)
-            empty = [pa.nulls(len(rows), t) for t in (pa.int32(), *[pa.binary()] * 4)]
-            yield pa.RecordBatch.from_arrays([*rows.columns, *empty], names)
-
-    return docs.select("id", "version", "text").mapInArrow(run, f"block int, n bigint, entries binary, {SPANS}")
-
-
-def duplicate_spans(keyed: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+            for a, b in chunks(texts, SLICE_BYTES):
+                yield from entries(texts[a:b], ids[a:b], versions[a:b])
+
+    return docs.select("id", "version", "text").mapInArrow(run, INDEX)
+
+
+def duplicate_spans(keyed: DataFrame, window: int = WINDOW, seed: int | None = None) -> DataFrame:
     """Spans, in words, of every run of `window` words that also starts earlier; `keyed` is (id, version, text)."""
+    seed = min(SEED, max(1, window // 3)) if seed is None else seed
     n = buckets(keyed.sparkSession)
     bitmap, _ = repeated(_seeds(keyed, window, seed))
-    index = materialize(_index(keyed, bitmap, n, n, window, seed))
-    found = matched_entries(index, not_first, n, window, batches_matched=True)
-    return index.filter("block is null").select(*found.columns).unionByName(found)
+    return matched_entries(_index(keyed, bitmap, n, window, seed), not_first, n, window, batches_matched=True)
 
 
 def _kept(text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, str]:
