@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from profilespark.llm.anchors import (
-    SPANS, anchors, buckets, document_key, elsewhere, entry_rows, marked, matched_entries, part_of, repeated, span_rows, with_spans,
+    INDEX, SPANS, anchors, buckets, document_key, elsewhere, entry_rows, index_of_entries, index_of_spans, marked, matched_entries, part_of,
+    repeated, span_rows, with_spans,
 )
 from profilespark.llm.suffix import repeated_places
 from profilespark.llm.text import byte_values, chunks, encoded, mix, run_hash
-from profilespark.session import materialize
 
 WINDOW = 400
 SEED = 32
@@ -212,23 +212,17 @@ def _entries_of(split: list[_Stretch], window: int, seed: int, n_blocks: int) ->
 
 
 def _shards(stretches: DataFrame, hot: dict[int, int], n: int, window: int, seed: int) -> DataFrame:
-    """Spans found in the shards and, where bucket is null, index entries of the hashes that were dealt out."""
+    """Spans found in the shards, and index entries of the hashes that were dealt out."""
     rows = stretches.repartition("seed", "part").sortWithinPartitions("seed", "part")
-    names = ["block", "n", "entries", "bucket", "ids", "versions", "starts", "ends"]
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), *[pa.binary()] * 4]
 
     def flush(spans: list, held: list[_Stretch], split: list[_Stretch]) -> Iterator[pa.RecordBatch]:
         if held:
             for shard in _in_shards(_cut_down(held, window, seed), SHARD_BYTES):
                 spans += _shard_spans(shard, window)
         if spans:
-            ids, versions, starts, ends = (np.array(c, dtype=np.int64) for c in zip(*spans))
-            made = span_rows(ids, versions, starts, ends, n)
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(made), k) for k in kinds[:3]], *made.columns], names)
+            yield index_of_spans(span_rows(*(np.array(c, dtype=np.int64) for c in zip(*spans)), n))
         if split:
-            made = _entries_of(split, window, seed, n)
-            if len(made):
-                yield pa.RecordBatch.from_arrays([*made.columns, *[pa.nulls(len(made), k) for k in kinds[3:]]], names)
+            yield index_of_entries(_entries_of(split, window, seed, n))
 
     def close(own: dict, key: int, spans: list, held: list[_Stretch], split: list[_Stretch]) -> int:
         """Takes a group's stretches over; gives the bytes that were added."""
@@ -267,18 +261,18 @@ def _shards(stretches: DataFrame, hot: dict[int, int], n: int, window: int, seed
             close(own, key[0], spans, held, split)
         yield from flush(spans, held, split)
 
-    return rows.mapInArrow(run, f"block int, n bigint, entries binary, {SPANS}")
+    return rows.mapInArrow(run, INDEX)
 
 
-def repeated_spans(keyed: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+def repeated_spans(keyed: DataFrame, window: int = WINDOW, seed: int | None = None) -> DataFrame:
     """Spans, in bytes, of every run of `window` bytes that also starts elsewhere; `keyed` is (id, version, text)."""
+    seed = min(SEED, max(1, window // 4)) if seed is None else seed
     n = buckets(keyed.sparkSession)
     bitmap, hot = repeated(_seeds(keyed, window, seed))
-    index = materialize(_shards(_stretches(keyed, bitmap, hot, window, seed), hot, n, window, seed))
-    found = index.filter("block is null").select(*[c.split()[0] for c in SPANS.split(", ")])
+    index = _shards(_stretches(keyed, bitmap, hot, window, seed), hot, n, window, seed)
     if not hot:
-        return found
-    return found.unionByName(matched_entries(index, elsewhere, n, window, batches_matched=False))
+        return index.select(*[c.split()[0] for c in SPANS.split(", ")])
+    return matched_entries(index, elsewhere, n, window, batches_matched=False)
 
 
 def _kept(text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, str]:
