@@ -151,6 +151,22 @@ def silhouette_sample(spark, sf_dir):
     return rounded(cluster.silhouette_points(cluster.assign(rows, centers), "vec_id"))
 
 
+@query(
+    "silhouette_all",
+    f"{_CENTERS}, pairs as (select p.vec_id, p.cluster, o.cluster as other, "
+    "list_sum(list_transform(list_zip(p.x, o.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d from assigned p, assigned o), "
+    "sums as (select vec_id, cluster, other, sum(d) as s, count(*) as n from pairs group by 1, 2, 3), "
+    "parts as (select vec_id, cluster, max(case when other = cluster then case when n > 1 then s / (n - 1) else 0 end end) as a, "
+    "max(case when other = cluster then n end) as own, min(case when other <> cluster then s / n end) as b from sums group by 1, 2), "
+    "scored as (select cluster, case when own > 1 and greatest(a, b) > 0 then (b - a) / greatest(a, b) else 0 end as s from parts) "
+    "select cluster, round(avg(s), 6) as silhouette, count(*) as members from scored group by cluster",
+)
+def silhouette_all(spark, sf_dir):
+    """Over every row, with squared distances; the oracle compares all pairs."""
+    rows, centers = _assigned(spark, sf_dir)
+    return rounded(cluster.silhouette_all(cluster.assign(rows, centers)))
+
+
 _NUM = SURVEY_ROWS.model_numeric
 #: three fixed centres in scaled survey columns
 FIXED = [[-1.0, -1.0, 0.5, 1.0, 1.0], [0.25, 0.0, -0.5, 0.0, -0.25], [1.25, 1.0, 0.0, -1.0, -1.25]]

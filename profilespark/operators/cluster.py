@@ -118,6 +118,37 @@ def silhouette(df: DataFrame, row_id: str, **options) -> DataFrame:
     return points.groupBy(*by).agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("sampled"))
 
 
+def silhouette_all(df: DataFrame, cluster: str = "cluster", x: str = "x") -> DataFrame:
+    """(cluster, silhouette, members) over every row, with squared Euclidean distances.
+
+    A row's mean squared distance to a cluster follows from the cluster's size, vector sum and sum of squared
+    lengths, so the work is linear in the rows. What goes into the second pass is one row per cluster.
+    Rows that are alone in their cluster score 0; with one cluster there is no score.
+    """
+    rows = df.select(F.col(cluster).alias("cluster"), F.col(x).cast("array<double>").alias("x"))
+    first = rows.select(F.size("x")).first()
+    width = first[0] if first else 0
+    length = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
+    known = rows.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(length).alias("q"), *[F.sum(F.element_at("x", i + 1)).alias(f"s{i}") for i in range(width)]
+    ).orderBy("cluster").collect()
+
+    def mean_to(k) -> Column:
+        total = F.array(*[F.lit(k[f"s{i}"]) for i in range(width)])
+        dot = F.aggregate(F.zip_with("x", total, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        return F.lit(k["n"]) * F.col("l") - 2 * dot + F.lit(k["q"])
+
+    scored = rows.withColumn("l", length)
+    own = F.coalesce(*[F.when(F.col("cluster") == F.lit(k["cluster"]), mean_to(k) / max(1, k["n"] - 1)) for k in known], F.lit(None)) if known else F.lit(None)
+    others = [F.when(F.col("cluster") != F.lit(k["cluster"]), mean_to(k) / k["n"]) for k in known]
+    other = F.least(*others) if len(others) > 1 else F.lit(None)
+    alone = F.coalesce(*[F.when(F.col("cluster") == F.lit(k["cluster"]), F.lit(k["n"] == 1)) for k in known], F.lit(False)) if known else F.lit(False)
+    top = F.greatest("a", "b")
+    s = F.when(F.col("b").isNull(), F.lit(None).cast("double")).when(alone | (top <= 0), 0.0).otherwise((F.col("b") - F.col("a")) / top)
+    scored = scored.withColumns({"a": own.cast("double"), "b": other.cast("double")}).withColumn("s", s)
+    return scored.groupBy("cluster").agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("members"))
+
+
 def cluster_profiles(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Mean of each (imputed) raw column and member count per cluster."""
     return df.groupBy(F.col(cluster).alias("cluster")).agg(

@@ -17,8 +17,8 @@ from profilespark.functions.clean import quoted
 
 #: rows that one sorting task should hold at most, about
 TASK_ROWS = 1_000_000
-#: up to this many rows a value-to-count map of a whole column is small
-SMALL_ROWS = 1_000_000
+#: accuracy of the sketch that brackets a rank: a bracket holds about 8 rows in this many
+SKETCH = 100_000
 
 
 def bucket_digits(rows: int) -> int:
@@ -126,16 +126,16 @@ def exact_quantiles(
     by: Sequence[str] = (),
     accuracy: int | None = None,
     sketch: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = 0,
 ) -> DataFrame:
     """Quantiles with linear interpolation, long: (by..., column, probability, quantile, n).
 
-    Exact (the default). A table of at most `small_rows` rows (they are counted first)
-    goes through Spark's own value-count aggregate. For larger tables a quantile sketch brackets each wanted rank, one aggregation
+    Exact (the default), in one way at every size: a quantile sketch brackets each wanted rank, one aggregation
     counts what lies below the bracket, and only the few values inside the brackets
     are grouped and ranked. No value-to-count map of a whole column is ever built, and
     a value that holds a large share of the rows collapses in the map-side combine.
-    With `accuracy` set, the sketch's own answer is returned.
+    With `accuracy` set, the sketch's own answer is returned. With `small_rows` set, a table of at most so
+    many rows (they are counted first) goes through Spark's own value-count aggregate instead.
     """
     by = list(by)
     probabilities = list(probabilities)
@@ -176,8 +176,7 @@ def exact_quantiles(
             ],
         ).drop("_p")
 
-    rows = df.count()
-    if rows <= small_rows:
+    if small_rows and df.count() <= small_rows:
         at = {c: j for j, c in enumerate(columns)}
         exact = df.groupBy(*by).agg(
             *[F.percentile(col[c], probabilities).alias(f"_q_{j}") for j, c in enumerate(columns)],
@@ -191,8 +190,7 @@ def exact_quantiles(
             ],
         ).drop("_p")
 
-    # a finer sketch for a larger table keeps each bracket at a few million rows
-    sketch = sketch or min(1_000_000, max(10_000, rows // 1_000_000))
+    sketch = sketch or SKETCH
     margin = 4.0 / sketch
     low_p = [max(p - margin, 0.0) for p in probabilities]
     high_p = [min(p + margin, 1.0) for p in probabilities]
