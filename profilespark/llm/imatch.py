@@ -13,8 +13,8 @@ six hex digits for each lexicon, or dashes for one that keeps nothing. A text wi
 lexicons with equal hashes, of those that keep something of either, at the best density that both use.
 
 Counting document frequencies shuffles one row per distinct term and task. Comparing neighbours shuffles each
-text once, by ranges of ids, and then streams through each range with one row of look-ahead.
-Null and empty texts are equal. Ties of ids are put in order of text; a null id comes first.
+text once, compressed, by ranges of ids, and then streams through each range with one row of look-ahead.
+Null and empty texts are equal. Ties of ids are put in order of a hash of the text; a null id comes first.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,15 +171,12 @@ def _range_of(bounds: list[int]):
 
 
 def _places_of(bounds: list[int], firsts: list[int | None]):
-    """The range of an id, and for the first of a range also the range before, as -1 - that range."""
+    """A function that gives the range of an id, and for the first of a range also the range before, as -1 - that range."""
     filled = [r for r, first in enumerate(firsts) if first is not None]
     before = {firsts[r]: filled[i - 1] for i, r in enumerate(filled)}
 
-    @F.pandas_udf("array<int>")
-    def places(keys: pd.Series) -> pd.Series:
-        return pd.Series([
-            [bisect.bisect_left(bounds, k)] + ([-1 - before[k]] if k in before else []) for k in keys.tolist()
-        ])
+    def places(key: int) -> list[int]:
+        return [bisect.bisect_left(bounds, key)] + ([-1 - before[key]] if key in before else [])
 
     return places
 
@@ -192,19 +190,30 @@ COLUMNS = (
 def compare_neighbours(docs: DataFrame, known: np.ndarray) -> DataFrame:
     """Each document against its edited text and against the next document by id."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    bounds, firsts = _ranges(docs)
-    key = F.coalesce("doc_id", F.lit(_FIRST_ID))
-    spread = docs.withColumn("place", F.explode(_places_of(bounds, firsts)(key)))
-    spread = spread.select(
-        F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")).alias("range"),
-        (F.col("place") < 0).alias("ahead"), "doc_id", "text",
-    )
-    ordered = spread.repartition("range").sortWithinPartitions("range", "ahead", "doc_id", "text")
+    places = _places_of(*_ranges(docs))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            rows = []
+            for doc_id, version, text in zip(*[c.to_pylist() for c in batch.columns]):
+                packed = pack(text.encode("utf-8", "surrogatepass"))
+                for place in places(_FIRST_ID if doc_id is None else doc_id):
+                    rows.append((place if place >= 0 else -1 - place, place < 0, doc_id, version, packed))
+            columns = zip(*rows) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["range", "ahead", "doc_id", "version", "packed"])
+
+    kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+    sent = docs.select("doc_id", F.xxhash64("text").alias("version"), "text").mapInArrow(
+        spread, "range int, ahead boolean, doc_id bigint, version bigint, packed binary")
+    ordered = sent.repartition("range").sortWithinPartitions("range", "ahead", "doc_id", "version")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            held += zip(*[c.to_pylist() for c in batch.columns])
+            of, ahead, ids, _, packed = [c.to_pylist() for c in batch.columns]
+            held += zip(of, ahead, ids, [unpack(p).decode("utf-8", "surrogatepass") for p in packed])
             yield from compared(held[:-1], held[1:])
             held = held[-1:]
 
