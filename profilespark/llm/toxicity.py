@@ -1,7 +1,7 @@
 """Toxicity by compression distance: two zstandard dictionaries, one score per text.
 
 A dictionary is trained on ordinary labelled texts, another on what sets toxic ones apart: the stretches
-whose short byte sequences recur in several toxic texts and never occur in the ordinary ones. Each text is cut
+whose short byte sequences are in many more toxic texts than ordinary ones. Each text is cut
 into windows at spaces, and each window is compressed twice: with the ordinary dictionary, and with the
 toxic one put before it. Ordinary prose takes as many bytes either way, so what a window gains is due to
 toxic text. The gains over several thresholds, per window, go through a logistic curve
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profilespark.llm.sampling import labelled_sample
-from profilespark.llm.text import crc_fold, encoded, per_text
+from profilespark.llm.text import crc_fold, encoded, per_text, sliced
 
 #: bounds on the labelled rows, and on the bytes of their texts, that the model is fitted on
 TOXIC_ROWS, ORDINARY_ROWS = 2500, 4000
@@ -32,8 +32,9 @@ SAMPLE_BYTES = 24 << 20
 ORDINARY_DICTIONARY, TOXIC_DICTIONARY = 32 << 10, 2 << 10
 WINDOW = 64
 GRAM = 6
-#: a byte sequence marks toxic text if it is in this share of the toxic sample, and in three texts at least
-GRAM_SHARE = 0.03
+#: a byte sequence marks toxic text if it is in this share of the toxic sample (in three texts at least), in so many times
+#: the texts that ordinary text lets expect, and by so many deviations more
+GRAM_SHARE, GRAM_LIFT, GRAM_DEVIATIONS = 0.03, 4.0, 6.0
 PREDICTED_AT = 0.7
 _LONGEST_SAMPLE = 400
 
@@ -124,16 +125,27 @@ def _trained(samples: list[bytes], size: int) -> bytes:
 def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionary content."""
     toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))  # copies prove nothing
-    usual = np.unique(np.concatenate([_grams(t) for t in ordinary]))
-    seen, texts = np.unique(np.concatenate([_grams(t) for t in toxic]), return_counts=True)
-    often = seen[texts >= max(3, GRAM_SHARE * len(toxic))]
-    marks = np.setdiff1d(often, usual, assume_unique=True)
+    marks = _marks(toxic, ordinary)
     stretches = [s for s in (_marked_stretches(t, marks) for t in toxic) if s]
-    plain = [w for t in ordinary for w in windows(t, _LONGEST_SAMPLE)]
+    # ordinary text that holds marks is left out, so that marked stretches are cheap for one dictionary only
+    plain = [w for t in ordinary for w in windows(t, _LONGEST_SAMPLE) if not _marked_stretches(w, marks)]
     return _trained(plain, ORDINARY_DICTIONARY), _trained(stretches, TOXIC_DICTIONARY) if stretches else b""
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+def _marks(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
+    """Sorted byte sequences that are in many more toxic texts than their share of ordinary texts lets expect."""
+    usual, usual_texts = np.unique(np.concatenate([_grams(t) for t in ordinary]), return_counts=True)
+    seen, texts = np.unique(np.concatenate([_grams(t) for t in toxic]), return_counts=True)
+    often = texts >= max(3, GRAM_SHARE * len(toxic))
+    seen, texts = seen[often], texts[often]
+    if not len(usual) or not len(seen):
+        return seen
+    at = np.minimum(np.searchsorted(usual, seen), len(usual) - 1)
+    expected = np.where(usual[at] == seen, usual_texts[at], 0) * len(toxic) / len(ordinary)
+    return seen[(texts >= GRAM_LIFT * expected) & (texts - expected >= GRAM_DEVIATIONS * np.sqrt(expected))]
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> np.ndarray:
     """Weights of a logistic curve, the last one the bias, by Newton's method."""
     x = np.column_stack([x, np.ones(len(x))])
     weights = np.zeros(x.shape[1])
@@ -228,7 +240,7 @@ def without_toxic(docs: DataFrame, model: ToxicityModel | None, threshold: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Scorer(model)
-        for batch in batches:
+        for batch in sliced(batches, place):
             yield batch.filter(pa.array([s < threshold for s in judge(batch.column(place).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
