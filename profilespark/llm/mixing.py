@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
+#: checked before the list of sources, with their weights, goes to every task
+MOST_SOURCES = 100_000
 #: no source is repeated more often than this
 MOST_EPOCHS = 2.0
 
@@ -106,9 +108,12 @@ def with_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def counts_of(rows: DataFrame) -> list[tuple[str, int, int]]:
-    """Rows and tokens of each source: as many rows as there are sources."""
+    """Rows and tokens of each source. There are at most MOST_SOURCES, or weights make no sense and this says so."""
     sums = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_tokens").alias("tokens"))
-    return [(r["source"], r["rows"], r["tokens"]) for r in sums.collect()]
+    found = sums.limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: group them before mixing")
+    return [(r["source"], r["rows"], r["tokens"]) for r in found]
 
 
 def realise(rows: DataFrame, mix: Mix, block_rows: int = BLOCK_ROWS, seed: int = 0) -> DataFrame:
