@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from profilespark.llm.components import components
-from profilespark.llm.text import Words, chunks, encoded, inside, mix, run_hash
+from profilespark.llm.text import Words, chunks, encoded, inside, mix, run_hash, sliced
 from profilespark.session import materialize
 
 SHINGLE = 5
@@ -107,7 +107,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id, node, shingles, bands) per document; `node` is null for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             nodes, sizes, bands = [], [], []
             for sets in _groups(shingle_sets(encoded(batch.column(1).to_pylist()))):
                 full = [s for s in sets if len(s)]
@@ -146,7 +146,7 @@ def _sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     """(node, shingles as bytes) of every marked node, from its first document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             nodes, sets = [], []
             ids = [_NO_ID if i is None else i for i in batch.column(0).to_pylist()]
             at = 0
@@ -182,7 +182,7 @@ def _small_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, known = None, {}
-        for batch in batches:
+        for batch in sliced(batches, 3):
             left, right = [], []
             for c, a, b, values in zip(*[x.to_pylist() for x in batch.columns]):
                 if c != cell:

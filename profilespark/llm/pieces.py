@@ -20,16 +20,17 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from profilespark.llm.text import per_text
+from profilespark.llm.text import per_text, sliced
 
 SPACE = "▁"
-CACHE_WORDS = 300_000
-CACHE_PAIRS = 500_000
+CACHE_WORDS = 150_000
+CACHE_PAIRS = 400_000
 LONG_WORD = 64
 _CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -197,8 +198,12 @@ class Pieces:
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
-        words = [self.known(w) for w in self.words_of(text or "")]
-        return [int(i) for w in words for i in w[0].split()] + [self.end]
+        return self.encoded(text).tolist()
+
+    def encoded(self, text: str | None) -> np.ndarray:
+        """The same as 32-bit numbers."""
+        words = b"".join([self.known(w)[0] for w in self.words_of(text or "")])
+        return np.fromstring(words + b" %d" % self.end, dtype=np.int32, sep=" ")
 
     def decode(self, ids: list[int]) -> str:
         """The text of some ids; the space put before the text is taken off again."""
@@ -207,6 +212,9 @@ class Pieces:
 
     def known(self, word: str) -> tuple[bytes, bytes]:
         """A word's ids as decimal text, each after a space, and the bytes that they decode to."""
+        found = self.words.get(word)
+        if found is not None:
+            return found
         found = self.older.get(word)
         if found is None:
             ids = self.word_ids(word)
@@ -260,11 +268,11 @@ def with_ids(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     place, names = docs.columns.index(text_col), [*docs.columns, "ids", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pieces(model)
-            ids = [table.encode(t) for t in batch.column(place).to_pylist()]
-            added = [pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names)
+        for batch in sliced(batches, place, 2 << 20):  # ids take several times a text's bytes
+            ids = [pieces(model).encoded(t) for t in batch.column(place).to_pylist()]
+            cuts = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(ids)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(np.diff(cuts).astype(np.int64))], names)
 
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("ids array<int>, n_tokens bigint").fields])
     return docs.mapInArrow(run, schema)

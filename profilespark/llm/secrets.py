@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from profilespark.llm.text import per_text
+from profilespark.llm.text import per_text, sliced
 
 #: kinds in the order that sorts spans with the same start
 KINDS = ("assign", "access", "hex", "hosting", "registry", "web")
@@ -160,7 +160,7 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, names.index(text_col)):
             texts = [redact(t) for t in batch.column(names.index(text_col)).to_pylist()]
             arrays = list(batch.columns)
             arrays[names.index(text_col)] = pa.array(texts, pa.string())

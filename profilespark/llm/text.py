@@ -12,11 +12,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 CHUNK_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 
 def _stream(seed: int, n: int) -> np.ndarray:
     """n odd 64-bit numbers from a seed (splitmix64 of a counter)."""
@@ -56,6 +58,16 @@ def chunks(docs: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         yield start, len(docs)
 
 
+def sliced(batches: Iterable[pa.RecordBatch], column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about `most` bytes of text or binary data, so that Python objects stay few at a time."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        pieces = np.cumsum(sizes, dtype=np.int64) // most
+        cuts = np.flatnonzero(np.diff(pieces, prepend=-1))
+        for a, b in zip(cuts, np.append(cuts[1:], len(sizes))):
+            yield batch.slice(int(a), int(b - a))
+
+
 class Words:
     """All words of some documents, in order: `hash`, byte range [`start`, `end`) in `buffer`.
 
@@ -133,13 +145,14 @@ def per_text(
     start() is called once per task and returns the function: (texts, ids) -> one list or array per column.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    is_text = rows.schema["text"].dataType.simpleString() in ("string", "binary")
     added = StructType.fromDDL(columns)
     types = [f.type for f in to_arrow_schema(added)]
     names = [out_id or id_col, *added.fieldNames()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
-        for batch in batches:
+        for batch in sliced(batches, 1) if is_text else batches:
             if batch.num_rows:
                 made = function(batch.column(1).to_pylist(), batch.column(0).to_pylist())
                 arrays = [pa.array(values, kind) for values, kind in zip(made, types, strict=True)]
