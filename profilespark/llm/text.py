@@ -66,6 +66,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: int, most: int = SLICE_BYT
         cuts = np.flatnonzero(np.diff(pieces, prepend=-1))
         for a, b in zip(cuts, np.append(cuts[1:], len(sizes))):
             yield batch.slice(int(a), int(b - a))
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
 
 class Words:
