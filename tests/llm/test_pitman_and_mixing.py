@@ -56,6 +56,43 @@ def test_probabilities_sum_to_one(spark, documents, monkeypatch):
     assert (10 ** words["log_p"]).sum() + unseen == pytest.approx(1, abs=0.01)
 
 
+def pairs_of(rows):
+    return Counter((b, w) for _, t in training(rows) for b, w in zip([None, *tokens(t)[:-1]], tokens(t)))
+
+
+@pytest.mark.parametrize("class_share, common_share", [(2.0**-11, 2.0**-22), (0.02, 0.01)])
+def test_every_pair_of_words_is_a_context_and_a_dish(spark, documents, monkeypatch, class_share, common_share):
+    monkeypatch.setattr(pitman, "CLASS_SHARE", class_share)
+    monkeypatch.setattr(pitman, "COMMON_SHARE", common_share)
+    model = pitman.fit(documents)
+    want, after = pairs_of(corpus()), defaultdict(Counter)
+    for (b, w), n in want.items():
+        after[b][w] = n
+    assert sorted((r.customers) for r in model.contexts.collect()) == sorted(sum(c.values()) for c in after.values())
+    size = model.vocabulary.other
+    hot = np.isfinite(model.pair[:size, :size]).all() and size
+    assert hot and model.pairs.count() >= len(want) - size * size
+    assert model.shared.agg({"p": "sum"}).first()[0] + model.unseen == pytest.approx(1, abs=1e-6)
+
+
+@pytest.mark.parametrize("class_share", [2.0**-11, 0.2])
+def test_the_order_of_rare_words_counts(spark, monkeypatch, class_share):
+    # a1 is always before b1, a2 before b2, ...; each word is far too rare to be a class at 0.2
+    monkeypatch.setattr(pitman, "CLASS_SHARE", class_share)
+    rows = [(i, " ".join(f"a{(i * 7 + k) % 40} b{(i * 7 + k) % 40}" for k in range(20))) for i in range(200)]
+    probe = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    swapped = next(i for i in range(probe + 1, 2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows += [(probe, "a1 b1 a2 b2 a3 b3"), (swapped, "a1 b2 a2 b3 a3 b1")]
+    docs = table(spark, rows)
+    model = pitman.fit(docs)
+    found = {r.doc_id: r.score for r in pitman.score(docs, model).collect()}
+    assert found[probe] > found[swapped] + 3
+    again = {r.doc_id: r.score for r in pitman.score(docs, model, fitted=False).collect()}
+    assert all(again[i] == pytest.approx(found[i]) for i in found)
+    other = table(spark, [(1, "a1 b2 never met"), (2, "b1")])
+    assert pitman.score(other, model, fitted=False).count() == 2
+
+
 def test_held_out_scores_beat_the_base(fitted):
     held = [r for r in fitted[1] if r.held_out]
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
