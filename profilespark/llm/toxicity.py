@@ -8,7 +8,9 @@ toxic text. The gains over several thresholds, per window, go through a logistic
 that is calibrated on labelled rows which neither dictionary has seen.
 
 Fitting reads a bounded sample of labelled rows; scoring is one pass over whole texts, without a shuffle.
-Null and empty texts have no gain. Without both kinds of labelled rows, every score is 0.
+If the sample's texts are over its byte bound, all of its rows stay, and of the longest texts pieces that are spread over the whole text.
+Of rows that share an id, one is read. Null and empty texts have no gain. Without labelled texts of both kinds, every score is 0;
+with both, but too few to fit on, fitting fails.
 """
 
 from __future__ import annotations
@@ -179,19 +181,46 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     sample = labelled_sample(known.filter("toxic = 1"), toxic_rows).unionByName(
         labelled_sample(known.filter("toxic <> 1"), ordinary_rows)
     )
-    rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(sample), "doc_id")
-    rows = rows.select("doc_id", "toxic", F.lower("text").alias("text"), F.octet_length("text").alias("size"))
-    # bounded rows; of them, in hash order, as many as the byte bound allows
-    sizes = rows.select("doc_id", "toxic", "size").toPandas().sort_values(["doc_id", "toxic", "size"])
-    sizes["order"] = [zlib.crc32(str(i).encode()) for i in sizes["doc_id"]]
-    sizes = sizes.sort_values(["order", "doc_id"], kind="stable")
-    taken = sizes[sizes["size"].cumsum() <= SAMPLE_BYTES]["doc_id"].tolist()
-    if not taken:
+    rows = docs.select("doc_id", F.lower("text").alias("text")).filter("text is not null").join(F.broadcast(sample), "doc_id")
+    rows = rows.select("doc_id", "toxic", "text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
+    # bounded rows, one for each id
+    ones = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct("hash", "size")).alias("one")).select("doc_id", "toxic", "one.*").toPandas()
+    if ones.empty:
         return None
-    chosen = docs.sparkSession.createDataFrame([(int(i),) for i in taken], "doc_id bigint")
-    fitted = rows.join(F.broadcast(chosen), "doc_id", "left_semi").toPandas().sort_values(["doc_id", "text"])
+    limit = _longest(ones["size"].to_numpy(), SAMPLE_BYTES)
+    chosen = docs.sparkSession.createDataFrame(ones[["doc_id", "hash"]].astype("int64"), "doc_id bigint, hash bigint")
+    found = rows.join(F.broadcast(chosen), ["doc_id", "hash"], "left_semi").select("doc_id", "toxic", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 2):
+            texts = [spread_pieces(t, limit) for t in encoded(batch.column(2).to_pylist(), lower=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "toxic", "text"])
+
+    fitted = found.mapInArrow(cut, "doc_id bigint, toxic bigint, text binary").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    fitted = fitted.toPandas().sort_values("doc_id")
     part = [zlib.crc32(f"part {i}".encode()) % 3 for i in fitted["doc_id"]]
-    return fit_texts(encoded(fitted["text"], lower=True), [t == 1 for t in fitted["toxic"]], part)
+    model = fit_texts([bytes(t) for t in fitted["text"]], [t == 1 for t in fitted["toxic"]], part)
+    if model is None and fitted["toxic"].eq(1).nunique() == 2:
+        raise ValueError(f"{len(fitted)} labelled texts are too few to fit on: both labels need texts for the dictionaries and for calibration.")
+    return model
+
+
+def _longest(sizes: np.ndarray, total: int) -> int:
+    """The largest bound on each size with which all sizes together stay within `total`."""
+    sizes = np.sort(sizes.astype(np.int64))
+    left = total - np.concatenate(([0], np.cumsum(sizes)[:-1]))  # for a size and all larger ones
+    bounds = left // np.arange(len(sizes), 0, -1)
+    over = np.flatnonzero(sizes > bounds)
+    return int(bounds[over[0]]) if len(over) else int(sizes[-1])
+
+
+def spread_pieces(text: bytes, most: int) -> bytes:
+    """A text of at most `most` bytes whole; of a longer one, pieces spread evenly from its start to its end."""
+    if len(text) <= most:
+        return text
+    pieces = windows(text, _LONGEST_SAMPLE)
+    n = max(1, most // _LONGEST_SAMPLE)
+    return b"".join(pieces[i] for i in np.linspace(0, len(pieces) - 1, n).astype(int))[:most]
 
 
 def score(docs: DataFrame, model: ToxicityModel | None, threshold: float = PREDICTED_AT) -> DataFrame:

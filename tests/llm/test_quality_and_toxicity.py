@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -101,3 +102,37 @@ def test_labels_of_the_held_out_fold_have_no_influence(spark):
     flipped = [(i, 1 - y if toxicity.crc_fold(i, 3) == 1 else y) for i, y in true]
     models = [toxicity.fit(docs, spark.createDataFrame(x, "doc_id bigint, toxic int")) for x in (true, flipped)]
     assert models[0] == models[1]
+
+
+def test_long_texts_take_no_other_rows_from_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 200_000)
+    rows = [(i, toxic_text(i) if i % 4 == 0 else prose(i, 80)) for i in range(400)]
+    label = {i: int(i % 4 == 0) for i in range(400)}
+    # each is longer than the bound of all texts together; among them the first ids in hash order
+    first = sorted((i for i in label if toxicity.crc_fold(i, 3) != 1), key=lambda i: zlib.crc32(str(i).encode()))[:5]
+    docs = table(spark, [(i, prose(i, 60_000) if i in first else t) for i, t in rows])
+    labels = spark.createDataFrame(list(label.items()), "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model is not None
+    scored = toxicity.score(docs, model).filter("held_out").collect()
+    assert sum(r.predicted == label[r.doc_id] for r in scored) >= 0.95 * len(scored)
+
+
+def test_size_bounds_and_spread_pieces():
+    assert toxicity._longest(np.array([10, 20, 30]), 60) == 30 and toxicity._longest(np.array([10, 500, 30]), 100) == 60
+    assert toxicity._longest(np.array([500, 500]), 100) == 50
+    text = prose(1, 5000).encode()
+    cut = toxicity.spread_pieces(text, 4000)
+    assert 3000 < len(cut) <= 4000 and cut[:300] == text[:300] and cut[-50:] == text[-50:]
+    assert toxicity.spread_pieces(text, len(text)) == text
+
+
+def test_one_row_for_each_id_and_a_failure_that_is_seen(spark):
+    rows = [(i, toxic_text(i) if i % 4 == 0 else prose(i, 80)) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id bigint, toxic int")
+    again = [(1, rows[1][1])] * 300
+    assert toxicity.fit(table(spark, rows + again), labels) == toxicity.fit(table(spark, rows), labels)
+    few = [i for i in range(120) if toxicity.crc_fold(i, 3) != 1]
+    toxic, ordinary = next(i for i in few if i % 4 == 0), [i for i in few if i % 4][:20]
+    with pytest.raises(ValueError, match="too few"):
+        toxicity.fit(table(spark, rows), labels.filter(labels.doc_id.isin([toxic, *ordinary])))
