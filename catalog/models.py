@@ -47,13 +47,13 @@ def trained(spark, sf_dir, clusters: bool = False) -> Bundle:
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf_dir):
-    """k = 2..6 with ten restarts each: inertia, sampled silhouette, and the chosen k."""
+    """k = 2..6 with ten restarts each: inertia, silhouette over all rows, the k chosen on it, and the silhouette of a sample."""
     rows, _ = vectors(spark, sf_dir, SURVEY_ROWS.model_numeric)
     scores, _ = cluster.kmeans_sweep(rows.filter("split = 'train'"), "row_id")
     chosen = cluster.best_k(scores)
     return spark.createDataFrame(
-        [(s["k"], s["inertia"], s["silhouette"], s["k"] == chosen) for s in scores],
-        "k int, inertia double, silhouette double, chosen boolean",
+        [(s["k"], s["inertia"], s["silhouette"], s["k"] == chosen, s["silhouette_sampled"]) for s in scores],
+        "k int, inertia double, silhouette double, chosen boolean, silhouette_sampled double",
     )
 
 
@@ -209,4 +209,7 @@ def embedding_kmeans(spark, sf_dir):
 
     rows = materialize(embeddings(spark, sf_dir).withColumn("features", array_to_vector("x")).select("vec_id", "features"))
     scores, _ = cluster.kmeans_sweep(rows, "vec_id")
-    return spark.createDataFrame([(s["k"], s["inertia"], s["silhouette"]) for s in scores], "k int, inertia double, silhouette double")
+    return spark.createDataFrame(
+        [(s["k"], s["inertia"], s["silhouette"], s["silhouette_sampled"]) for s in scores],
+        "k int, inertia double, silhouette double, silhouette_sampled double",
+    )

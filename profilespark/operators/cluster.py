@@ -239,7 +239,8 @@ def kmeans_sweep(
     vectors: DataFrame, row_id: str, k_values: Sequence[int] = range(2, 7), restarts: int = 10,
     seed: int = 42, vector: str = "features", max_iter: int = 300, tol: float = 1e-4, parallel: int = 8,
 ) -> tuple[list[dict], dict[int, list[list[float]]]]:
-    """Best of `restarts` Spark K-Means fits per k, with inertia and sampled silhouette.
+    """Best of `restarts` Spark K-Means fits per k, with inertia, the silhouette over all rows and, as `silhouette_sampled`,
+    the one of a sample with plain distances.
 
     `vectors` is scanned by many jobs: pass a materialised table.
     """
@@ -256,20 +257,25 @@ def kmeans_sweep(
         for k, _, cost, centers in sorted(fits, key=lambda f: (f[0], f[2], f[1])):
             best.setdefault(k, (cost, centers))
 
-        # all candidate clusterings are scored in one job
         x = data.withColumn("x", vector_to_array("features")).drop("features")
-        choices = [
-            F.struct(F.lit(k).alias("k"), nearest_center(F.col("x"), centers).getField("cluster").alias("cluster"))
-            for k, (_, centers) in best.items() if len(centers) >= 2
-        ]
+        choices = {k: nearest_center(F.col("x"), centers).getField("cluster") for k, (_, centers) in best.items() if len(centers) >= 2}
         if not choices:
             raise ValueError("Clustering needs at least two distinct profiles.")
-        spread = x.select(row_id, "x", F.inline(F.array(*choices)))
-        found = {r.k: r.silhouette for r in silhouette(spread, row_id, seed=seed, by=["k"]).collect()}
+
+        def over_all(k: int) -> float | None:
+            parts = [r for r in silhouette_all(x.withColumn("cluster", choices[k])).collect() if r.silhouette is not None]
+            return sum(r.silhouette * r.members for r in parts) / sum(r.members for r in parts) if parts else None
+
+        with ThreadPool(parallel) as pool:
+            found = dict(zip(choices, pool.map(over_all, list(choices), chunksize=1)))
+        # the samples of all candidate clusterings are scored in one job
+        clusters = [F.struct(F.lit(k).alias("k"), cluster.alias("cluster")) for k, cluster in choices.items()]
+        spread = x.select(row_id, "x", F.inline(F.array(*clusters)))
+        sampled = {r.k: r.silhouette for r in silhouette(spread, row_id, seed=seed, by=["k"]).collect() if not np.isnan(r.silhouette)}
     finally:
         data.unpersist()
     scores = [
-        {"k": k, "inertia": float(best[k][0]), "silhouette": float(found[k])}
+        {"k": k, "inertia": float(best[k][0]), "silhouette": float(found[k]), "silhouette_sampled": sampled.get(k)}
         for k in sorted(best) if found.get(k) is not None and not np.isnan(found[k])
     ]
     if not scores:

@@ -160,3 +160,24 @@ def test_pca_equals_eigen_decomposition(spark):
         axis = axes[:, -1 - i]
         assert np.abs(np.dot(axis, component)) == pytest.approx(1, abs=1e-6)
         assert component[int(np.argmax(np.abs(component)))] > 0
+
+
+def test_sweep_scores_every_row(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    draw = np.random.default_rng(4)
+    points = np.round(draw.normal(size=(1300, 2)) + 2.5 * draw.integers(0, 3, size=(1300, 1)), 3)
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id bigint, x array<double>")
+    scores, centers = cluster.kmeans_sweep(rows.select("id", array_to_vector("x").alias("features")), "id", (2, 3), restarts=1)
+    squared = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    for s in scores:
+        near = ((points[:, None] - np.array(centers[s["k"]])[None]) ** 2).sum(axis=2).argmin(axis=1)
+        sums = np.stack([squared[:, near == c].sum(axis=1) for c in range(s["k"])], axis=1)
+        sizes, own = np.bincount(near), np.arange(len(points))
+        a = sums[own, near] / (sizes[near] - 1)
+        means = sums / sizes
+        means[own, near] = np.inf
+        b = means.min(axis=1)
+        assert s["silhouette"] == pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-9)
+        assert 0 < s["silhouette_sampled"] < 1
+    assert cluster.best_k([{"k": 2, "silhouette": 0.1, "silhouette_sampled": 0.9}, {"k": 3, "silhouette": 0.2, "silhouette_sampled": 0.1}]) == 3
