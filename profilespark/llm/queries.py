@@ -106,3 +106,26 @@ def op3_pitman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return pitman.score(docs, pitman.fit(docs))
+
+
+@query("op11_resample")
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import resample
+
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_pages")
+def op12_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profilespark.llm import pages
+
+    rows = table(spark, sf_dir, "pages")
+    return pages.extract(rows, pages.fit(rows))
+
+
+@query("op13_periodic")
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, by id, has its tail made periodic first."""
+    from profilespark.llm import periodic
+
+    return periodic.detect(table(spark, sf_dir, "documents"), change=periodic.planted)
