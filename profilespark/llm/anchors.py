@@ -65,8 +65,8 @@ def anchors(hashes: np.ndarray, width: int, offsets: np.ndarray) -> np.ndarray:
     return places[keep]
 
 
-def repeated(seeds: DataFrame, hot_share: float = HOT_SHARE) -> tuple[np.ndarray, dict[int, int]]:
-    """(bitmap of the hashes that occur more than once, parts to deal each hot hash into) from (seed, n) rows."""
+def repeated(seeds: DataFrame, hot_share: float = HOT_SHARE) -> tuple[np.ndarray, dict[int, int], int]:
+    """(bitmap of the hashes that occur more than once, parts to deal each hot hash into, their occurrences) from (seed, n) rows."""
     counts = materialize(seeds.groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1"))
     distinct, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     bits = min(BITMAP_BITS, max(1 << 12, 32 * (distinct // 2 + 1)))
@@ -76,7 +76,7 @@ def repeated(seeds: DataFrame, hot_share: float = HOT_SHARE) -> tuple[np.ndarray
         F.bit_or(F.expr("shiftleft(cast(1 as bigint), cast(bit & 31 as int))")).alias("set")).toPandas()
     bitmap = np.zeros(bits // 32, dtype=np.uint32)
     bitmap[words["word"].to_numpy(dtype=np.int64)] = words["set"].to_numpy(dtype=np.int64).astype(np.uint32)
-    return bitmap, {r["seed"]: int(r["parts"]) for r in hot}
+    return bitmap, {r["seed"]: int(r["parts"]) for r in hot}, int(total)
 
 
 def marked(bitmap: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -97,7 +97,7 @@ def part_of(seeds: np.ndarray, document: np.ndarray, hot: dict[int, int]) -> np.
 
 
 def document_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, version, text): a null id comes first, a null text is empty; rows equal in id and text are one document."""
+    """(id, version, text): a null id comes first, a null text is empty. Rows equal in id and text are told apart by `with_spans`."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
 
@@ -112,9 +112,16 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(reach) - 1)]
 
 
-def buckets(spark: SparkSession) -> int:
-    """Number of pieces that documents, and hashes of entries, are dealt into: one for each shuffle partition."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: occurrences of repeated anchors that one bucket of documents, or block of entries, stands for at most, about
+BUCKET_ANCHORS = 500_000
+
+
+def buckets(spark: SparkSession, occurrences: int) -> int:
+    """Number of pieces that documents, and hashes of entries, are dealt into.
+
+    A task holds what belongs to one of them at a time, so they are as many as the repeated anchors ask for; never fewer than shuffle partitions.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-occurrences // BUCKET_ANCHORS))
 
 
 SPANS = "bucket int, ids binary, versions binary, starts binary, ends binary"
@@ -152,26 +159,37 @@ def span_rows(ids: np.ndarray, versions: np.ndarray, starts: np.ndarray, ends: n
     return pa.RecordBatch.from_arrays([pa.array(place[cuts], pa.int32()), *packed], ["bucket", "ids", "versions", "starts", "ends"])
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, function: Callable, columns: str) -> DataFrame:
-    """One row per document: doc_id and what function(text, starts, ends) gives for its merged spans.
+def with_spans(docs: DataFrame, spans: DataFrame, n: int, function: Callable, columns: str, first_too: bool) -> DataFrame:
+    """One row per document: doc_id and what function(text, starts, ends, copied) gives for its merged spans.
 
-    `docs` are (id, version, text); `spans` have the columns of SPANS. Each text moves once, to its
-    bucket, where the bucket's spans come first.
+    `docs` are (id, version, text); `spans` have the columns of SPANS, in `n` buckets. Each text moves once, to its
+    bucket, where the bucket's spans come first. Rows equal in id and text follow each other there: each of them but the
+    first is `copied`, and with `first_too` the first as well if another follows.
     """
-    n = buckets(docs.sparkSession)
     nothing = {c: F.lit(None).cast("binary").alias(c) for c in ("ids", "versions", "starts", "ends")}
     own = docs.select(F.pmod(F.col("id").bitwiseXOR(F.col("version")), F.lit(n)).cast("int").alias("bucket"), "id", "version", "text", *nothing.values())
     none = F.lit(None).cast("bigint")
     given = spans.select("bucket", none.alias("id"), none.alias("version"), F.lit(None).cast("string").alias("text"), *nothing)
-    rows = own.unionByName(given).repartition("bucket").sortWithinPartitions("bucket", F.col("text").isNotNull())
+    rows = own.unionByName(given).repartition("bucket").sortWithinPartitions("bucket", F.col("text").isNotNull(), "id", "version")
     added = StructType.fromDDL(columns)
     schema = StructType.fromDDL(f"doc_id bigint, {columns}")
     kinds = [f.type for f in to_arrow_schema(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts, known = None, [], None
+        held = None  # the last document, until it is clear whether a copy of it follows
+        ids, out = [], []
+
+        def done(copy_follows: bool) -> None:
+            key, text, starts, ends, is_copy = held
+            ids.append(None if key[0] == -(1 << 63) else key[0])
+            out.append(function(text, starts, ends, is_copy or (first_too and copy_follows)))
+
+        def made() -> pa.RecordBatch:
+            arrays = [pa.array(values, kind) for values, kind in zip(zip(*out), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *arrays], schema.fieldNames())
+
         for batch in batches:
-            ids, out = [], []
             for at, doc, version, text, *packed in zip(*[c.to_pylist() for c in batch.columns]):
                 if at != bucket:
                     bucket, parts, known = at, [], None
@@ -181,12 +199,17 @@ def with_spans(docs: DataFrame, spans: DataFrame, function: Callable, columns: s
                 if known is None:
                     known = _by_document(parts)
                     parts = []
-                starts, ends = known.get((doc, version), _NO_SPANS)
-                ids.append(None if doc == -(1 << 63) else doc)
-                out.append(function(text, *merged(starts, ends)))
+                is_copy = held is not None and held[0] == (doc, version)
+                if held is not None:
+                    done(is_copy)
+                held = ((doc, version), text, *merged(*known.get((doc, version), _NO_SPANS)), is_copy)
             if out:
-                arrays = [pa.array(values, kind) for values, kind in zip(zip(*out), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *arrays], schema.fieldNames())
+                yield made()
+                ids.clear()
+                out.clear()
+        if held is not None:
+            done(False)
+            yield made()
 
     return rows.mapInArrow(run, schema)
 
@@ -215,15 +238,6 @@ def _groups(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray
     return order, np.flatnonzero(np.concatenate(([True], ~same))), np.concatenate(([False], same & moved))
 
 
-def not_first(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(order, flags in that order): flagged if an equal key has a smaller place. An equal place isn't smaller."""
-    if not len(keys[0]):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
-    order, start, moved = _groups(keys, place)
-    steps = np.cumsum(moved)
-    return order, steps > np.repeat(steps[start], np.diff(np.append(start, len(order))))
-
-
 def elsewhere(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(order, flags in that order): flagged if an equal key has another place."""
     if not len(keys[0]):
@@ -233,10 +247,10 @@ def elsewhere(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def entry_rows(
-    hashes: np.ndarray, more: np.ndarray, document: np.ndarray, start: np.ndarray, ids: np.ndarray, versions: np.ndarray, n_blocks: int
+    by: np.ndarray, hashes: np.ndarray, more: np.ndarray, document: np.ndarray, start: np.ndarray, ids: np.ndarray, versions: np.ndarray, n_blocks: int
 ) -> pa.RecordBatch:
-    """Index entries as one packed row (block, n, entries) for each block of hashes; `document` is a place in ids and versions."""
-    block = (hashes % np.uint64(n_blocks)).astype(np.int64)
+    """Index entries as one packed row (block, n, entries) for each block; `by` says which, `document` is a place in ids and versions."""
+    block = (by % np.uint64(n_blocks)).astype(np.int64)
     order = np.argsort(block, kind="stable")
     block = block[order]
     cuts = np.flatnonzero(np.diff(block, prepend=-1))
@@ -262,9 +276,10 @@ def _entries(n: int, packed: bytes) -> tuple[np.ndarray, ...]:
     return hashes, more, ids[own], versions[own], start.astype(np.int64)
 
 
-def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, window: int, batches_matched: bool) -> DataFrame:
-    """Spans of the entries that `decide` flags, block by block. Rows of spans pass through.
+def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, batches_matched: bool) -> DataFrame:
+    """Spans that `decide` finds, block by block. Rows of spans pass through.
 
+    decide([hashes, more], [ids, versions, start]) gives (entries, ends): where spans begin, and the ends of these spans.
     batches_matched: entries of one batch have been matched with each other, so a block that has no other needs no look.
     """
     rows = index.repartition("block").sortWithinPartitions("block")
@@ -272,10 +287,9 @@ def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, window:
     def done(held: list) -> Iterator[pa.RecordBatch]:
         if len(held) > batches_matched:
             hashes, more, ids, versions, start = (np.concatenate(c) for c in zip(*[_entries(n, e) for n, e in held]))
-            order, flags = decide([hashes, more], [ids, versions, start])
-            x = order[flags]
+            x, ends = decide([hashes, more], [ids, versions, start])
             if len(x):
-                yield span_rows(ids[x], versions[x], start[x], start[x] + window, n_buckets)
+                yield span_rows(ids[x], versions[x], start[x], ends, n_buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, []

@@ -24,11 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from profilespark.functions.clean import quoted
 from profilespark.llm.components import components
-from profilespark.llm.text import Words, chunks, encoded, inside, mix, run_hash, sliced
+from profilespark.llm.text import Words, chunks, encoded, free_names, inside, mix, run_hash, sliced
 from profilespark.session import materialize
 
 SHINGLE = 5
@@ -104,7 +105,7 @@ def _groups(sets: Iterator[np.ndarray], most: int = 100_000) -> Iterator[list[np
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, node, shingles, bands) per document; `node` is null for a text without words."""
+    """(id, version, node, shingles, bands) per document; `node` is null for a text without words, `version` a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1):
@@ -115,11 +116,11 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 nodes += [node_of(s) if len(s) else None for s in sets]
                 sizes += [len(s) for s in sets]
                 bands += [next(hashes) if len(s) else None for s in sets]
-            arrays = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "shingles", "bands"])
+            arrays = [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "version", "node", "shingles", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, node bigint, shingles bigint, bands array<bigint>")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version"))
+    return rows.mapInArrow(run, "id bigint, version bigint, node bigint, shingles bigint, bands array<bigint>")
 
 
 def _mark(node: np.ndarray, first_id: np.ndarray, bits: int) -> np.ndarray:
@@ -272,8 +273,8 @@ def _large_links(large: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFra
     return rows.groupBy("bucket", "i", "j").applyInPandas(_block_pair, "a bigint, b bigint, n bigint")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, n_links, n_copies): a class is named by its smallest id; links are with other texts."""
+def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with id, version and node; nodes with first_id, n_copies, n_links and the component they are in)."""
     rows = materialize(signatures(docs))
     key = F.coalesce("id", F.lit(_NO_ID))
     nodes = rows.filter("node is not null").groupBy("node").agg(
@@ -303,10 +304,15 @@ def join(docs: DataFrame) -> DataFrame:
     counts = links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("bigint").alias("n")).unionByName(
         blocks.filter("b is null").select(F.col("a").alias("node"), "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
     found = components(edges)
-    named = nodes.select("node", "first_id", "n_copies").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.select("node", "first_id", "n_copies").join(found, "node", "left").join(counts, "node", "left")
+    return rows, named.withColumns({"component": F.coalesce("component", "node"), "n_links": F.coalesce("n_links", F.lit(0))})
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, n_links, n_copies): a class is named by its smallest id; links are with other texts."""
+    rows, named = _classified(docs)
     least = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    by_node = named.join(least, "component").join(counts, "node", "left").select(
-        "node", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    by_node = named.join(least, "component").select("node", "class_id", "n_copies", "n_links")
     own = rows.select("id", "node").join(by_node, "node", "left")
     none = F.lit(None).cast("bigint")
     return own.select(
@@ -316,13 +322,22 @@ def join(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows, columns unchanged, that name their class: one document of each group of near duplicates.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row, columns unchanged, of each class of near duplicates: the smallest by id, then by a hash of the text.
 
-    Of rows with the same id, one stays. Rows without an id can't be named and all stay.
+    A row's key is its id and the hash of its text, so rows that share an id are told apart, and a class whose rows have
+    no id is reduced like any other (a null id comes last). Of rows equal in id and text one stays, whatever its other columns.
+    Rows without words are near duplicates of nothing; of those, too, equal ones are one row.
     """
-    kept = join(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    names = docs.columns
-    order = Window.partitionBy("doc_id").orderBy("text")
-    chosen = docs.join(kept, "doc_id", "left_semi").withColumn("copy number", F.row_number().over(order))
-    return chosen.filter("`copy number` = 1").select(*names).unionByName(docs.filter("doc_id is null").select(*names))
+    own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    rows, named = _classified(own)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "version")
+    placed = rows.select("id", "version", "node").join(named.select("node", "component"), "node", "left")
+    chosen = placed.filter("component is not null").groupBy("component").agg(F.min(order).alias("first")).select("first.id", "first.version")
+    chosen = chosen.unionByName(placed.filter("component is null").select("id", "version").distinct())
+    version, kept_id, kept_version = free_names(docs.columns, "version", "kept_id", "kept_version")
+    keyed = docs.withColumn(version, F.xxhash64(docs[text_col]))
+    kept = chosen.select(F.col("id").alias(kept_id), F.col("version").alias(kept_version))
+    both = F.col(quoted(id_col)).cast("bigint").eqNullSafe(F.col(kept_id)) & (F.col(version) == F.col(kept_version))
+    left = keyed.join(kept, both, "left_semi").dropDuplicates([id_col, version])
+    return left.select(*[quoted(c) for c in docs.columns])

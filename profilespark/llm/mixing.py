@@ -26,6 +26,10 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from profilespark.functions.clean import quoted
+from profilespark.llm.text import free_names
+from profilespark.session import materialize
+
 BLOCK_ROWS = 4096
 #: checked before the list of sources, with their weights, goes to every task
 MOST_SOURCES = 100_000
@@ -156,20 +160,22 @@ def realise(rows: DataFrame, mix: Mix, block_rows: int = BLOCK_ROWS, seed: int =
 
 def mixed(docs: DataFrame, repeats: float = MOST_EPOCHS) -> DataFrame:
     """All draws of the documents, weights from the corpus itself."""
-    rows = with_tokens(docs)
+    rows = materialize(with_tokens(docs))  # read by four jobs: words are counted once
     return realise(rows, plan(counts_of(rows), repeats=repeats))
 
 
-def repeated_rows(docs: DataFrame, repeats: float = MOST_EPOCHS, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def repeated_rows(docs: DataFrame, repeats: float = MOST_EPOCHS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The rows, columns unchanged, each as often as the mix draws it, and each at least once.
 
     Only draws after the first are looked up by id, so a table whose sources all get one epoch isn't shuffled.
+    Columns of any name pass through.
     """
-    rows = with_tokens(docs)
+    rows = materialize(with_tokens(docs, id_col, text_col, source_col))
     again = realise(rows, plan(counts_of(rows), repeats=repeats)).filter("epoch > 1")
     again = again.groupBy("doc_id", "source", "epoch").agg(F.lit(1).alias("one")).groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("times"))
-    keyed = docs.withColumn("source drawn", F.coalesce(source_col, F.lit("")))
-    met = keyed.join(again.select(F.col("doc_id").alias("drawn id"), F.col("source").alias("drawn source"), "times"),
-                     F.col(id_col).eqNullSafe(F.col("drawn id")) & (F.col("source drawn") == F.col("drawn source")), "left")
-    copies = met.withColumn("copy", F.explode(F.expr("sequence(cast(0 as bigint), coalesce(times, cast(0 as bigint)))")))
-    return copies.select(*docs.columns)
+    own_source, drawn_id, drawn_source, times, copy = free_names(docs.columns, "own_source", "drawn_id", "drawn_source", "times", "copy")
+    keyed = docs.withColumn(own_source, F.coalesce(docs[source_col], F.lit("")))
+    drawn = again.select(F.col("doc_id").alias(drawn_id), F.col("source").alias(drawn_source), F.col("times").alias(times))
+    met = keyed.join(drawn, F.col(quoted(id_col)).eqNullSafe(F.col(drawn_id)) & (F.col(own_source) == F.col(drawn_source)), "left")
+    copies = met.withColumn(copy, F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(times, F.lit(0).cast("bigint")))))
+    return copies.select(*[quoted(c) for c in docs.columns])

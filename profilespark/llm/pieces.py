@@ -264,7 +264,12 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
 
 
 def with_ids(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
-    """The rows and columns with `ids array<int>` and `n_tokens` added; each text decodes from its ids."""
+    """The rows and columns with `ids array<int>` and `n_tokens` added; each text decodes from its ids.
+
+    A table that has a column of either name already is refused.
+    """
+    if clash := {"ids", "n_tokens"} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"The table has columns named as the result's: {sorted(clash)}")
     place, names = docs.columns.index(text_col), [*docs.columns, "ids", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ A hash with very many occurrences is dealt into parts by document, so no key fil
 parts are compared by 80 bits of hash in blocks. A shard has about SHARD_BYTES, so an array is bounded in any corpus.
 
 Shuffled: one row per distinct anchor and batch; the stretches around repeated anchors; spans, packed; each text once.
-Null and empty texts have no bytes. Rows equal in id and text are one document, so they don't repeat each other.
+Null and empty texts have no bytes. Rows equal in id and text are documents of their own: all they hold also starts in the other one.
 """
 
 from __future__ import annotations
@@ -206,9 +206,9 @@ def _entries_of(split: list[_Stretch], window: int, seed: int, n_blocks: int) ->
             starts.append(np.arange(first, last + 1) + start)
             keys.append((doc, version))
     if not keys:
-        return entry_rows(*[np.zeros(0, dtype=t) for t in (np.uint64, np.uint16, np.int64, np.int64, np.int64, np.int64)], n_blocks)
+        return entry_rows(*[np.zeros(0, dtype=t) for t in (np.uint64, np.uint64, np.uint16, np.int64, np.int64, np.int64, np.int64)], n_blocks)
     ids, versions = (np.array(k, dtype=np.int64) for k in zip(*keys))
-    return entry_rows(*(np.concatenate(c) for c in (hashes, more, document, starts)), ids, versions, n_blocks)
+    return entry_rows(np.concatenate(hashes), *(np.concatenate(c) for c in (hashes, more, document, starts)), ids, versions, n_blocks)
 
 
 def _shards(stretches: DataFrame, hot: dict[int, int], n: int, window: int, seed: int) -> DataFrame:
@@ -264,42 +264,56 @@ def _shards(stretches: DataFrame, hot: dict[int, int], n: int, window: int, seed
     return rows.mapInArrow(run, INDEX)
 
 
-def repeated_spans(keyed: DataFrame, window: int = WINDOW, seed: int | None = None) -> DataFrame:
-    """Spans, in bytes, of every run of `window` bytes that also starts elsewhere; `keyed` is (id, version, text)."""
+def repeated_spans(keyed: DataFrame, window: int = WINDOW, seed: int | None = None) -> tuple[DataFrame, int]:
+    """(spans, in bytes, of every run of `window` bytes that also starts elsewhere, their buckets); `keyed` is (id, version, text)."""
     seed = min(SEED, max(1, window // 4)) if seed is None else seed
-    n = buckets(keyed.sparkSession)
-    bitmap, hot = repeated(_seeds(keyed, window, seed))
+    bitmap, hot, occurrences = repeated(_seeds(keyed, window, seed))
+    n = buckets(keyed.sparkSession, occurrences)
     index = _shards(_stretches(keyed, bitmap, hot, window, seed), hot, n, window, seed)
     if not hot:
-        return index.select(*[c.split()[0] for c in SPANS.split(", ")])
-    return matched_entries(index, elsewhere, n, window, batches_matched=False)
+        return index.select(*[c.split()[0] for c in SPANS.split(", ")]), n
 
+    def repeats(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        order, flags = elsewhere(keys, place)
+        found = order[flags]
+        return found, place[2][found] + window
 
-def _kept(text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, str]:
-    data = text.encode("utf-8", "surrogatepass")
-    digest, done, removed = hashlib.sha256(), 0, 0
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        digest.update(data[done:a])
-        removed += b - a
-        done = b
-    digest.update(data[done:])
-    return len(data), removed, len(starts), digest.hexdigest()
+    return matched_entries(index, repeats, n, batches_matched=False), n
+
+
+def _whole(data: bytes, starts: np.ndarray, ends: np.ndarray, copied: bool, window: int) -> list[tuple[int, int]]:
+    """The spans of a document; one that has a copy is one span, if it is long enough to be any."""
+    if copied and len(data) >= window:
+        return [(0, len(data))]
+    return list(zip(starts.tolist(), ends.tolist()))
 
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+
+    def kept(text: str, starts: np.ndarray, ends: np.ndarray, copied: bool) -> tuple[int, int, int, str]:
+        data = text.encode("utf-8", "surrogatepass")
+        spans = _whole(data, starts, ends, copied, window)
+        digest, done, gone = hashlib.sha256(), 0, 0
+        for a, b in spans:
+            digest.update(data[done:a])
+            gone += b - a
+            done = b
+        digest.update(data[done:])
+        return len(data), gone, len(spans), digest.hexdigest()
+
     keyed = document_key(docs)
     columns = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return with_spans(keyed, repeated_spans(keyed, window), _kept, columns)
+    return with_spans(keyed, *repeated_spans(keyed, window), kept, columns, first_too=True)
 
 
 def removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id and `rest`, the bytes that are left; a cut may fall inside a character."""
 
-    def rest(text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes]:
+    def rest(text: str, starts: np.ndarray, ends: np.ndarray, copied: bool) -> tuple[bytes]:
         data = text.encode("utf-8", "surrogatepass")
-        edges = [0, *[x for a, b in zip(starts.tolist(), ends.tolist()) for x in (a, b)], len(data)]
+        edges = [0, *[x for span in _whole(data, starts, ends, copied, window) for x in span], len(data)]
         return (b"".join(data[a:b] for a, b in zip(edges[0::2], edges[1::2])),)
 
     keyed = document_key(docs)
-    return with_spans(keyed, repeated_spans(keyed, window), rest, "rest binary")
+    return with_spans(keyed, *repeated_spans(keyed, window), rest, "rest binary", first_too=True)

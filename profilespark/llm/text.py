@@ -133,6 +133,17 @@ def inside(first: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(first[:-1] - np.concatenate(([0], np.cumsum(keep)[:-1])), keep) + np.arange(keep.sum())
 
 
+def free_names(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores behind it as keep it apart from `columns`, whatever their case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc_fold(doc_id: int | None, folds: int) -> int:
     """crc32 of the id's decimal text, modulo `folds`; a null id counts as an empty text."""
     return zlib.crc32(b"" if doc_id is None else str(int(doc_id)).encode()) % folds

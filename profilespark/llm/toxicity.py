@@ -9,8 +9,8 @@ that is calibrated on labelled rows which neither dictionary has seen.
 
 Fitting reads a bounded sample of labelled rows; scoring is one pass over whole texts, without a shuffle.
 If the sample's texts are over its byte bound, all of its rows stay, and of the longest texts pieces that are spread over the whole text.
-Of rows that share an id, one is read. Null and empty texts have no gain. Without labelled texts of both kinds, every score is 0;
-with both, but too few to fit on, fitting fails.
+Of rows that share an id, one is read. Null and empty texts have no gain. Where no text has a label, there is no model and every score
+is 0; with labels of one kind only, or with too few texts of either kind to fit on, fitting fails.
 """
 
 from __future__ import annotations
@@ -178,15 +178,15 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     """Fit on a bounded sample of the labelled rows whose id is not in the held-out fold."""
     text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isNotNull() & (F.crc32(text_id) % 3 != 1))
-    sample = labelled_sample(known.filter("toxic = 1"), toxic_rows).unionByName(
-        labelled_sample(known.filter("toxic <> 1"), ordinary_rows)
-    )
+    sample = labelled_sample(known, toxic_rows, "toxic = 1").unionByName(labelled_sample(known, ordinary_rows, "toxic <> 1"))
     rows = docs.select("doc_id", F.lower("text").alias("text")).filter("text is not null").join(F.broadcast(sample), "doc_id")
     rows = rows.select("doc_id", "toxic", "text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
     # bounded rows, one for each id
     ones = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct("hash", "size")).alias("one")).select("doc_id", "toxic", "one.*").toPandas()
     if ones.empty:
         return None
+    if ones["toxic"].eq(1).nunique() < 2:
+        raise ValueError(f"All {len(ones)} labelled texts to fit on are {'toxic' if ones['toxic'].iloc[0] == 1 else 'ordinary'}: both kinds are needed.")
     limit = _longest(ones["size"].to_numpy(), SAMPLE_BYTES)
     chosen = docs.sparkSession.createDataFrame(ones[["doc_id", "hash"]].astype("int64"), "doc_id bigint, hash bigint")
     found = rows.join(F.broadcast(chosen), ["doc_id", "hash"], "left_semi").select("doc_id", "toxic", "text")
@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     fitted = fitted.toPandas().sort_values("doc_id")
     part = [zlib.crc32(f"part {i}".encode()) % 3 for i in fitted["doc_id"]]
     model = fit_texts([bytes(t) for t in fitted["text"]], [t == 1 for t in fitted["toxic"]], part)
-    if model is None and fitted["toxic"].eq(1).nunique() == 2:
+    if model is None:
         raise ValueError(f"{len(fitted)} labelled texts are too few to fit on: both labels need texts for the dictionaries and for calibration.")
     return model
 

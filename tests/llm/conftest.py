@@ -18,7 +18,8 @@ def edges(spark):
     """Edge rows with further columns whose names the operators use themselves."""
     from pyspark.sql import functions as F
 
-    clash = ["id", "node", "bucket", "block", "seed", "version", "spans", "term", "token", "row", "place", "range", "set", "epoch", "part"]
+    clash = ["id", "node", "bucket", "block", "seed", "version", "spans", "term", "token", "row", "place", "range", "set", "epoch", "part",
+             "copy", "times", "copy number", "one", "kept_id", "own_source", "text_", "rank", "score"]
     return table(spark, EDGES).withColumns({c: F.lit(c) for c in clash}).cache()
 
 

@@ -75,6 +75,25 @@ def test_one_document_of_each_group_stays(spark, documents):
     assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, c, _ in brute(rows)})
 
 
+def test_rows_that_share_an_id_or_have_none_are_told_apart(spark):
+    text, clean, real = prose(500, 120), prose(501, 120), prose(502, 120)
+    near = " ".join([*text.split()[:-1], "changed"])
+    rows = [(3, text), (7, near), (7, clean), (8, None), (8, real), (None, near), (None, prose(503, 90)), (None, prose(503, 90)), (9, ""), (10, "")]
+    got = sorted((r.doc_id, r.text) for r in jaccard.one_of_each(table(spark, rows)).filter("doc_id is not null").collect() if r.text)
+    assert got == [(3, text), (7, clean), (8, real)]
+    left = jaccard.one_of_each(table(spark, rows)).collect()
+    assert [(r.doc_id, r.text) for r in left if r.doc_id is None] == [(None, prose(503, 90))]
+    assert sorted(r.doc_id for r in left if not r.text) == [8, 9, 10]
+
+
+def test_a_class_without_ids_and_columns_of_any_name(spark, edges):
+    copies = [(None, prose(600, 80)), (None, prose(600, 79) + " other"), (None, prose(600, 80))]
+    assert jaccard.one_of_each(table(spark, copies)).count() == 1
+    left = jaccard.one_of_each(edges)
+    assert left.columns == edges.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == sorted({(str(i), str(t)) for i, t in EDGES})
+
+
 def test_banding_reaches_its_recall():
     bands, rows = jaccard.BANDS, jaccard.ROWS
     assert 1 - (1 - 0.8**rows) ** bands >= jaccard.RECALL and bands * rows <= 128

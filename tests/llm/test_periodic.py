@@ -9,7 +9,7 @@ from fractions import Fraction
 import numpy as np
 
 from profilespark.llm import periodic
-from tests.llm.conftest_llm import table
+from conftest_llm import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -55,3 +55,9 @@ def test_table_forms(spark, documents, edges, empty, library):
     back = pieces.decode(pieces.encode(edges, MODEL), MODEL).collect()
     assert sorted((r.doc_id or 0, r.text) for r in back) == sorted((i or 0, library.decode(library.encode(t or ""))) for i, t in EDGES)
     assert pieces.with_ids(documents, MODEL).columns == [*documents.columns, "ids", "n_tokens"]
+
+
+def test_a_column_named_as_the_result_is_refused(documents):
+    for name in ("ids", "N_TOKENS"):
+        with pytest.raises(ValueError, match="named as the result"):
+            pieces.with_ids(documents.withColumn(name, documents["source"]), MODEL)

@@ -56,6 +56,26 @@ def test_an_empty_table_goes_through(spark, empty, folder):
         assert docs.count() == 0
 
 
+def test_odd_rows_and_columns_go_through(spark, folder):
+    """Repeated and missing ids, null and empty texts, and columns of any name: no clean text is lost before the last stage."""
+    clean = [prose(7000 + k, 60) for k in range(6)]
+    rows = [(1, clean[0]), (1, clean[1]), (None, clean[2]), (None, clean[3]), (None, clean[3]), (2, None), (2, clean[4]), (3, ""), (4, clean[5]), (4, clean[5])]
+    labelled = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = table(spark, rows).unionByName(labelled).withColumns({c: labelled["lang"] for c in ("copy", "times", "copy number", "ids", "score")})
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+        if name != "pieces":
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+    assert set(clean) <= {r.text for r in docs.collect()}
+
+
+def test_labels_of_one_kind_stop_the_first_stage(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").filter("toxic = 0").write.parquet(f"{tmp_path}/labels.parquet")
+    with pytest.raises(ValueError, match="both kinds"):
+        corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+
+
 def test_every_operator_is_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert toxicity.PREDICTED_AT == 0.7 and corpus_pipeline.ORACLE_SQL is None

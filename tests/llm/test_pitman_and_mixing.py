@@ -174,3 +174,10 @@ def test_null_sources_and_repeated_rows(spark):
     again = mixing.repeated_rows(docs)
     assert again.columns == docs.columns and again.count() >= len(rows)
     assert {r.doc_id for r in again.collect()} == {1, 2, 3, None}
+
+
+def test_columns_of_any_name_pass_through(spark, edges):
+    docs = edges.withColumn("place 2", edges["place"])
+    again = mixing.repeated_rows(docs)
+    assert again.columns == docs.columns and again.count() >= len(EDGES)
+    assert {r["copy"] for r in again.collect()} == {"copy"} and {r.times for r in again.collect()} == {"times"}

@@ -53,11 +53,14 @@ def test_the_ratio_equals_brute_force(spark):
     assert quality._scores(encoded([docs[0][1]]), ratio)[0] == pytest.approx(ratio[buckets].mean(), abs=1e-8)
 
 
-def test_edge_rows(spark, edges, empty, labels):
+def test_edge_rows(spark, documents, edges, empty, labels):
     model = quality.fit(edges, labels)
     assert quality.judge(edges, model).count() == len(EDGES) and quality.judge(empty, model).count() == 0
     assert quality.fit(empty, labels.limit(0)).threshold == -np.inf
-    scored = toxicity.score(edges, toxicity.fit(edges, labels)).collect()
+    with pytest.raises(ValueError, match="both kinds"):  # none of the texts that are labelled once is toxic
+        toxicity.fit(documents, labels)
+    assert toxicity.fit(documents, labels.limit(0)) is None
+    scored = toxicity.score(edges, None).collect()
     assert len(scored) == len(EDGES) and {r.score for r in scored} == {0.0}
     assert toxicity.score(empty, toxicity.fit(empty, labels.limit(0))).count() == 0
 

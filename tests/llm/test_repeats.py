@@ -27,17 +27,12 @@ def test_suffix_array_and_common_prefixes_equal_brute_force(monkeypatch):
                     assert plcp[i] == (k if j >= 0 else 0)
 
 
-def documents_of(rows):
-    """Rows equal in id and text are one document."""
-    return list(dict.fromkeys((i, t or "") for i, t in rows))
-
-
 def brute_bytes(rows, window):
     starts = defaultdict(set)
-    for doc in documents_of(rows):
-        data = doc[1].encode()
+    for k, (_, text) in enumerate(rows):  # equal rows are documents of their own
+        data = (text or "").encode()
         for i in range(len(data) - window + 1):
-            starts[data[i:i + window]].add((doc, i))
+            starts[data[i:i + window]].add((k, i))
     out = []
     for doc_id, text in rows:
         data = (text or "").encode()
@@ -52,11 +47,7 @@ def brute_bytes(rows, window):
 
 
 def found_bytes(docs, window):
-    keyed = anchors.document_key(docs)
-    seed = min(substring.SEED, window // 4)
-    spans = substring.repeated_spans(keyed, window, seed)
-    columns = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return sorted(map(tuple, anchors.with_spans(keyed, spans, substring._kept, columns).collect()), key=str)
+    return sorted(map(tuple, substring.dedup(docs, window).collect()), key=str)
 
 
 @pytest.mark.parametrize("window", [48, 400])
@@ -80,23 +71,20 @@ def test_bytes_of_edge_rows(spark, edges, empty):
 
 
 def brute_words(rows, window):
-    docs = sorted(documents_of(rows), key=lambda d: (-(1 << 63) if d[0] is None else d[0]))
-    seen, out = {}, {}
-    for doc in docs:
-        words = doc[1].encode().split()
+    seen, out = {}, []
+    for k, (doc_id, text) in enumerate(sorted(rows, key=lambda r: -(1 << 63) if r[0] is None else r[0])):
+        words = (text or "").encode().split()
         gone = [False] * len(words)
         for i in range(len(words) - window + 1):
-            if seen.setdefault(tuple(words[i:i + window]), (doc, i)) != (doc, i):
+            if seen.setdefault(tuple(words[i:i + window]), (k, i)) != (k, i):
                 gone[i:i + window] = [True] * window
         kept = b" ".join(w for w, g in zip(words, gone) if not g)
-        out[doc] = (doc[0], len(words), sum(gone), hashlib.sha256(kept).hexdigest())
-    return sorted((out[i, t or ""] for i, t in rows), key=str)
+        out.append((doc_id, len(words), sum(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
 
 
 def found_words(docs, window):
-    keyed = anchors.document_key(docs)
-    spans = relative.duplicate_spans(keyed, window, max(1, window // 3))
-    return sorted(map(tuple, anchors.with_spans(keyed, spans, relative._kept, "n_words bigint, n_removed bigint, kept_sha256 string").collect()), key=str)
+    return sorted(map(tuple, relative.dedup(docs, window).collect()), key=str)
 
 
 @pytest.mark.parametrize("window", [6, 20])
@@ -113,3 +101,49 @@ def test_text_left_over(spark):
     rows = [(1, "a b c d e f g"), (2, "x a b c d e f y"), (3, None)]
     got = {r.doc_id: r.text for r in relative.removed(table(spark, rows), 5).collect()}
     assert got == {1: "a b c d e f g", 2: "x y", 3: ""}
+
+
+def test_equal_rows_repeat_each_other(spark):
+    """With and without an id; of equal rows op1 removes all, op9 all but the first; short ones keep everything."""
+    long, other = prose(41, 90), prose(42, 90)
+    rows = [(1, long)] * 3 + [(None, other)] * 2 + [(2, other), (3, "too short"), (3, "too short"), (None, None), (None, None)]
+    assert found_bytes(table(spark, rows), 48) == brute_bytes(rows, 48)
+    got = found_words(table(spark, rows), 20)
+    assert got == brute_words(rows, 20)
+    assert sum(r[2] == 0 for r in got if r[1] > 20) == 2
+
+
+def plain_factors(docs, window):
+    """The greedy parse, word by word, of each document against all text that starts earlier, the earliest place first."""
+    out = []
+    for d, words in enumerate(docs):
+        i = 0
+        while i + window <= len(words):
+            found = next(((e, j) for e in range(d + 1) for j in range(len(docs[e]) - window + 1)
+                          if (e, j) < (d, i) and docs[e][j:j + window] == words[i:i + window]), None)
+            if found is None:
+                i += 1
+                continue
+            e, j = found
+            k = window
+            while i + k < len(words) and j + k < len(docs[e]) and docs[e][j + k] == words[i + k]:
+                k += 1
+            out.append((d, i, k, e, j))
+            i += k - window + 1  # the runs across the factor's end are looked up
+    return out
+
+
+def test_factors_equal_the_greedy_parse():
+    draw = random.Random(8)
+    for _ in range(200):
+        docs = [[draw.randrange(3) for _ in range(draw.randint(0, 40))] for _ in range(3)]
+        docs += [draw.choice(docs)[draw.randrange(3):] * draw.choice((1, 1, 2)) for _ in range(3)]
+        window = draw.choice((2, 4, 7))
+        runs = [(d, i, tuple(w[i:i + window])) for d, w in enumerate(docs) for i in range(len(w) - window + 1)]
+        draw.shuffle(runs)
+        names = {r: k for k, r in enumerate(dict.fromkeys(r[2] for r in runs))}
+        hashes = np.array([names[r[2]] for r in runs], dtype=np.uint64)
+        place = [np.array([r[0] for r in runs], dtype=np.int64), np.zeros(len(runs), dtype=np.int64), np.array([r[1] for r in runs], dtype=np.int64)]
+        found, length, reference = relative.factors([hashes, np.zeros(len(runs), dtype=np.uint16)], place, window)
+        got = [(runs[f][0], runs[f][1], n, runs[r][0], runs[r][1]) for f, n, r in zip(found.tolist(), length.tolist(), reference.tolist())]
+        assert sorted(got) == plain_factors(docs, window)

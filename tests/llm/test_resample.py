@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from profilespark.llm import resample
-from tests.llm.conftest_llm import prose, table
+from conftest_llm import prose, table
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
