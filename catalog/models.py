@@ -18,13 +18,8 @@ from profilespark.session import ensure_checkpoint_dir, materialize
 from profilespark.sources.bundle import Bundle
 from profilespark.streaming.score_stream import score_requests, score_stream
 
-_BUNDLES: dict[tuple[str, str, bool], Bundle] = {}
-#: one setting per classifier: these queries are about scoring and evaluation, not about the search
-SETTINGS = {
-    classify.KNN: {"n_neighbors": (5,), "weights": ("uniform",)},
-    classify.LOGISTIC: {"C": (1.0,)},
-    classify.FOREST: {"n_estimators": (100,), "max_depth": (12,), "min_samples_leaf": (3,)},
-}
+#: where the bundle of a session and a table lies; the training run is made once
+_BUNDLES: dict[tuple[str, str], str] = {}
 
 
 def vectors(spark, sf_dir, columns=None):
@@ -36,13 +31,14 @@ def vectors(spark, sf_dir, columns=None):
     return materialize(rows), prep
 
 
-def trained(spark, sf_dir, clusters: bool = False) -> Bundle:
-    """A bundle of SETTINGS, with three clusters if they are asked for; shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir, clusters)
+def trained(spark, sf_dir) -> Bundle:
+    """The bundle of the whole training run (search over the full grid, k of 2 to 6, importance), loaded from where the first query saved it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUNDLES:
-        _BUNDLES[key] = train.train(
-            survey(spark, sf_dir), SURVEY_ROWS, grid=SETTINGS, search=False, k_values=(3,), clusters=clusters, importance=False)
-    return _BUNDLES[key]
+        path = f"{ensure_checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
+        train.train(survey(spark, sf_dir), SURVEY_ROWS).save(path)
+        _BUNDLES[key] = path
+    return Bundle.load(spark, _BUNDLES[key])
 
 
 @query("kmeans_sweep")
@@ -110,9 +106,13 @@ def grid_search(spark, sf_dir):
 @query("model_selection")
 def model_selection(spark, sf_dir):
     """The whole search: 19 settings over three folds, refit, and the choice by validation."""
-    parts = materialize(survey_parts(spark, sf_dir))
-    part = [parts.filter(F.col("split") == name).drop("split") for name in ("train", "val")]
-    return rounded(select_model.train_classifiers(*part, SURVEY_ROWS).selection.drop("fit_seconds"))
+    return rounded(trained(spark, sf_dir).tables["selection"].drop("fit_seconds"))
+
+
+@query("cv_results")
+def cv_results(spark, sf_dir):
+    """Mean, deviation and rank of each of the 19 settings."""
+    return rounded(trained(spark, sf_dir).tables["cv_results"])
 
 
 @query("evaluate_holdout")
@@ -146,16 +146,14 @@ def external_evaluation(spark, sf_dir):
 
 @query("global_importance")
 def global_importance(spark, sf_dir):
-    parts = materialize(survey_parts(spark, sf_dir))
-    part = [parts.filter(F.col("split") == name).drop("split") for name in ("train", "val")]
-    training = select_model.train_classifiers(*part, SURVEY_ROWS, grid=SETTINGS, search=False)
-    return rounded(train.global_importance(training, part[1], SURVEY_ROWS))
+    """Importance of the columns for the chosen, tuned model."""
+    return rounded(trained(spark, sf_dir).tables["importance"])
 
 
 @query("score_requests")
 def score_batch(spark, sf_dir):
     """Every survey row as a JSON request: scored, or quarantined with its codes."""
-    scored, refused = score_requests(trained(spark, sf_dir, clusters=True), _requests(spark, sf_dir))
+    scored, refused = score_requests(trained(spark, sf_dir), _requests(spark, sf_dir))
     done = scored.select(
         "request_id", "label", "agreement", F.col("cluster.id").alias("cluster"), F.size("notes").alias("notes"),
         F.size("recommendations.items").alias("items"), F.lit("").alias("codes"),
@@ -177,7 +175,7 @@ def stream(spark, sf_dir):
     """The same requests through a file stream; the result is the stream's own output table."""
     base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     _requests(spark, sf_dir).write.json(f"{base}/in")
-    started = score_stream(spark, trained(spark, sf_dir, clusters=True), f"{base}/in", f"{base}/out", f"{base}/progress")
+    started = score_stream(spark, trained(spark, sf_dir), f"{base}/in", f"{base}/out", f"{base}/progress")
     started.awaitTermination()
     if started.exception():
         raise started.exception()
@@ -191,7 +189,7 @@ def stream(spark, sf_dir):
 @query("bundle_round_trip")
 def bundle_round_trip(spark, sf_dir):
     """Predictions of a saved and reloaded bundle beside those of the original."""
-    bundle = trained(spark, sf_dir, clusters=True)
+    bundle = trained(spark, sf_dir)
     path = f"{ensure_checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
     bundle.save(path)
     loaded = Bundle.load(spark, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import query
@@ -9,11 +11,14 @@ from catalog.evaluation import sql_auc, sql_matrix, sql_scalars
 from catalog.profiling import rounded
 from catalog.tables import SURVEY_ROWS, sql_split_ctes, table
 from profilespark.contract import Contract
-from profilespark.operators import cluster, evaluate, features, knn, split
+from profilespark.operators import cluster, evaluate, features, kmeans, knn, split
 from catalog.features import sql_train
+from profilespark.session import ensure_checkpoint_dir
 from catalog.splitting import survey_parts
 
 CLASSES = tuple(str(i) for i in range(10))
+#: rows for each pivot of the index of `knn_cells`
+CELL_ROWS = 25
 EMBEDDINGS = Contract("embeddings", (), (), "label", CLASSES, row_id="vec_id")
 
 
@@ -61,6 +66,16 @@ def knn_neighbors(spark, sf_dir):
     return rounded(found.select("vec_id", F.inline("neighbors")).select("vec_id", "rank", "id", "label", "d2"))
 
 
+@query("knn_cells", f"{_NEAR} select vec_id, cast(rk as integer) as rank, id, label, round(d2, 6) as d2 from near where rk <= 9")
+def knn_cells(spark, sf_dir):
+    """The same neighbours from an index of many cells in groups, which is saved and loaded before it is searched."""
+    parts = embedding_parts(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/neighbours-{uuid.uuid4().hex}"
+    knn.build(parts.filter("split = 'train'"), 9, train_id="vec_id", label="label", block_rows=CELL_ROWS).save(path)
+    found = knn.neighbors(parts.filter("split <> 'train'"), knn.NeighborIndex.load(spark, path), 9, query_id="vec_id")
+    return rounded(found.select("vec_id", F.inline("neighbors")).select("vec_id", "rank", "id", "label", "d2"))
+
+
 @query("knn_uniform", f"{_votes(5, 'uniform')} select vec_id, actual, label as predicted, round(share, 6) as probability from winner where place = 1")
 def knn_uniform(spark, sf_dir):
     return _predicted(_neighbors(spark, sf_dir, 5), 5, "uniform")
@@ -167,6 +182,63 @@ def silhouette_all(spark, sf_dir):
     return rounded(cluster.silhouette_all(cluster.assign(rows, centers)))
 
 
+#: (k, restart) runs whose draws and first steps are redone in SQL
+STEP_RUNS = tuple((k, r) for k in (2, 3, 5) for r in (0, 1))
+STEPS = 3
+
+
+def _d2(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _kmeans_sql(runs, steps: int) -> str:
+    """Starts drawn one centre after the other, then assignment and means, each step a table of its own."""
+    digits = " + ".join(f"(strpos('0123456789abcdef', substr(m, {i + 1}, 1)) - 1) * {16 ** (6 - i)}" for i in range(7))
+    draws = ", ".join(f"({k}, {r}, {d}, {kmeans.stream((k, r), d)[0]}, {kmeans.stream((k, r), d)[1]})" for k, r in runs for d in range(k))
+    ctes = [
+        _BASE,
+        f"p as materialized (select vec_id, x, cast({digits} as bigint) as h from (select vec_id, x, md5(concat_ws('|', '42', cast(vec_id as varchar))) as m from prepared))",
+        f"draws(k, r, draw, a, b) as (values {draws})",
+    ]
+    time = f"-ln(((h * a + b) % {kmeans.PRIME} + 0.5) / {float(kmeans.PRIME)})"
+    for d in range(max(k for k, _ in runs)):
+        away = "1" if d == 0 else f"(select min({_d2('p.x', 'c.x')}) from s{d - 1} c where c.k = w.k and c.r = w.r)"
+        before = "" if d == 0 else f"select * from s{d - 1} union all "
+        ctes.append(
+            f"s{d} as materialized ({before}select k, r, cast({d} as integer) as cluster, x from (select w.k, w.r, p.x, row_number() over "
+            f"(partition by w.k, w.r order by {time} / {away}, vec_id) as rk from p, draws w where w.draw = {d}) where rk = 1)"
+        )
+    table = f"s{max(k for k, _ in runs) - 1}"
+    for step in range(steps + 1):
+        ctes.append(
+            f"a{step} as materialized (select * from (select c.k, c.r, c.cluster, c.x as center, p.x, d2, row_number() over "
+            f"(partition by c.k, c.r, p.vec_id order by d2, c.cluster) as rk from p, {table} c, lateral (select {_d2('p.x', 'c.x')} as d2)) where rk = 1)"
+        )
+        ctes.append(
+            f"m{step} as materialized (select k, r, cluster, list(v order by i) as x from (select k, r, cluster, i, avg(v) as v from "
+            f"(select k, r, cluster, unnest(x) as v, generate_subscripts(x, 1) as i from a{step}) group by 1, 2, 3, 4) group by 1, 2, 3)"
+        )
+        table = f"m{step}"
+    return (
+        "with " + ", ".join(ctes) + " select cast(k as integer) as k, cast(r as integer) as restart, cluster, count(*) as members, "
+        f"round(sum(d2), 6) as cost, round(any_value(center[1]), 6) as first_coordinate from a{steps} group by 1, 2, 3"
+    )
+
+
+@query("kmeans_steps", _kmeans_sql(STEP_RUNS, STEPS))
+def kmeans_steps(spark, sf_dir):
+    """k-means++ starts and three steps of six runs in one scan each: members, cost and first coordinate of every centre."""
+    points = kmeans.hashed_points(embeddings(spark, sf_dir), "vec_id", "x", 42).persist()
+    moved = kmeans.lloyd(points, kmeans.plus_plus(points, STEP_RUNS), STEPS, tol=0.0)
+    centers = {run: fit.centers for run, fit in moved.items()}
+    rows = [
+        (*run, c, int(total[0]), round(float(total[1]), 6), round(float(center[0]), 6))
+        for run, totals in kmeans.scan(points, centers).items() for c, (total, center) in enumerate(zip(totals, centers[run]))
+    ]
+    points.unpersist()
+    return spark.createDataFrame(rows, "k int, restart int, cluster int, members bigint, cost double, first_coordinate double")
+
+
 _NUM = SURVEY_ROWS.model_numeric
 #: three fixed centres in scaled survey columns
 FIXED = [[-1.0, -1.0, 0.5, 1.0, 1.0], [0.25, 0.0, -0.5, 0.0, -0.25], [1.25, 1.0, 0.0, -1.0, -1.25]]

@@ -6,17 +6,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 
-from pyspark.ml.classification import (
-    LogisticRegression,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilespark.operators import knn
+from profilespark.operators import forest, knn
 from profilespark.operators.baseline import score_majority
 
 KNN = "KNN"
@@ -31,8 +26,6 @@ GRID: Mapping[str, Mapping[str, tuple]] = {
     FOREST: {"n_estimators": (100, 200), "max_depth": (None, 12), "min_samples_leaf": (1, 3)},
 }
 MAX_ITER = 3000
-#: Spark's trees end at this depth; it stands for "no limit"
-DEEPEST = 30
 
 
 def settings(grid: Mapping[str, tuple], quick: bool = False) -> list[dict]:
@@ -54,8 +47,8 @@ class FittedModel:
     kind: str
     classes: tuple[str, ...]
     parameters: dict = field(default_factory=dict)
+    #: what the kind's own module fits: an index of neighbours, a Spark ML model, a forest
     model: object = None
-    train: DataFrame | None = None
     row_id: str | None = None
     seed: int = 42
 
@@ -63,17 +56,21 @@ class FittedModel:
         if self.kind == BASELINE:
             return score_majority(vectors, self.parameters["label"], self.classes)
         if self.kind == KNN:
-            x = vectors.withColumn("_x", vector_to_array(features))
-            found = knn.with_neighbors(
-                x, self.train, self.parameters["n_neighbors"], train_id="tid", label="label", x="_x", seed=self.seed
-            )
+            found = knn.with_neighbors(vectors.withColumn("_x", vector_to_array(features)), self.model, self.parameters["n_neighbors"], x="_x")
             votes = knn.vote("neighbors", self.parameters["n_neighbors"], self.parameters["weights"], self.classes)
             return found.withColumns(votes).drop("_x", "neighbors")
+        names = F.array(*[F.lit(c) for c in self.classes])
+        if self.kind == FOREST:
+            scored = forest.score(vectors, self.model, features, "_shares")
+            # of equal shares the first class, in text order
+            likeliest = F.array_position("_shares", F.array_max("_shares")).cast("int")
+            return scored.withColumns({
+                "predicted": F.element_at(names, likeliest), "probabilities": F.map_from_arrays(names, F.col("_shares")),
+            }).drop("_shares")
         model = self.model
         model.setFeaturesCol(features)
         model.setPredictionCol("_prediction").setProbabilityCol("_probability").setRawPredictionCol("_raw")
         scored = model.transform(vectors)
-        names = F.array(*[F.lit(c) for c in self.classes])
         return scored.withColumns({
             "predicted": F.element_at(names, F.col("_prediction").cast("int") + 1),
             "probabilities": F.map_from_arrays(names, vector_to_array("_probability")),
@@ -87,41 +84,65 @@ def fit(
     """Fit one setting on (row id, target, features). `classes` is in text order."""
     classes = tuple(sorted(classes))
     if kind == KNN:
-        train = vectors.select(
-            F.col(row_id).alias("tid"), vector_to_array("features").alias("_x"), F.col(target).alias("label")
-        )
-        return FittedModel(kind, classes, parameters, train=train, row_id=row_id, seed=seed)
-    labelled = vectors.withColumn("_label", label_index(classes, F.col(target)))
-    if kind == LOGISTIC:
-        # a penalty of |w|^2 / 2 against C times the summed loss, in Spark's mean-loss form
-        estimator = LogisticRegression(
-            family="multinomial", featuresCol="features", labelCol="_label", maxIter=MAX_ITER, tol=1e-6,
-            elasticNetParam=0.0, standardization=False, regParam=1.0 / (parameters["C"] * rows),
-        )
-    elif kind == FOREST:
-        estimator = RandomForestClassifier(
-            featuresCol="features", labelCol="_label", numTrees=parameters["n_estimators"],
-            maxDepth=parameters["max_depth"] or DEEPEST, minInstancesPerNode=parameters["min_samples_leaf"],
-            featureSubsetStrategy="sqrt", seed=seed,
-        )
-    else:
+        index = knn.build(points(vectors, target, row_id), parameters["n_neighbors"], train_id="tid", label="label", x="x", seed=seed)
+        return FittedModel(kind, classes, parameters, index, row_id=row_id, seed=seed)
+    if kind == FOREST:
+        return FittedModel(kind, classes, parameters, fit_forest(parameters, vectors, classes, target=target, row_id=row_id, seed=seed), row_id=row_id, seed=seed)
+    if kind != LOGISTIC:
         raise ValueError(f"Unknown classifier {kind!r}")
+    labelled = vectors.withColumn("_label", label_index(classes, F.col(target)))
+    # a penalty of |w|^2 / 2 against C times the summed loss, in Spark's mean-loss form
+    estimator = LogisticRegression(
+        family="multinomial", featuresCol="features", labelCol="_label", maxIter=MAX_ITER, tol=1e-6,
+        elasticNetParam=0.0, standardization=False, regParam=1.0 / (parameters["C"] * rows),
+    )
     return FittedModel(kind, classes, parameters, model=estimator.fit(labelled), row_id=row_id, seed=seed)
 
 
-def save_model(fitted: FittedModel, path: str) -> None:
+def points(vectors: DataFrame, target: str, row_id: str) -> DataFrame:
+    """(tid, x, label): what an index of neighbours is built from."""
+    return vectors.select(F.col(row_id).alias("tid"), vector_to_array("features").alias("x"), F.col(target).alias("label"))
+
+
+def fit_forest(parameters: dict, vectors: DataFrame, classes: Sequence[str], *, target: str, row_id: str, seed: int) -> forest.Forest:
+    data = forest.sample(vectors, target, row_id, classes, seed)
+    leaf, trees = parameters["min_samples_leaf"], parameters["n_estimators"]
+    rows = forest.fit_trees(vectors.sparkSession, data, [leaf], trees, seed, parameters["max_depth"])
+    return forest.Forest.of(rows.toArrow(), classes)
+
+
+def forest_settings(choices: Sequence[dict]) -> list[tuple[int, int, int | None]]:
+    """(leaf, trees, depth) of each setting."""
+    return [(s["min_samples_leaf"], s["n_estimators"], s["max_depth"]) for s in choices]
+
+
+def fit_forests(choices: Sequence[dict], vectors: DataFrame, classes: Sequence[str], *, target: str, row_id: str, seed: int) -> dict[int, forest.Forest]:
+    """For each smallest leaf the forest that all settings with it are parts of: the most trees, grown the deepest."""
+    data = forest.sample(vectors, target, row_id, classes, seed)
+    wanted = forest_settings(choices)
+    trees = max(t for _, t, _ in wanted)
+    depths = [d for _, _, d in wanted]
+    deepest = None if None in depths else max(depths)
+    table = forest.fit_trees(vectors.sparkSession, data, sorted({leaf for leaf, _, _ in wanted}), trees, seed, deepest).toArrow()
+    leaves = table["leaf"].to_numpy()
+    return {int(leaf): forest.Forest.of(table.filter(leaves == leaf), classes) for leaf in sorted(set(leaves.tolist()))}
+
+
+def save_model(fitted: FittedModel, path: str, spark: SparkSession) -> None:
     if fitted.kind == KNN:
-        fitted.train.write.mode("overwrite").parquet(path)
+        fitted.model.save(path)
+    elif fitted.kind == FOREST:
+        fitted.model.table(spark, fitted.parameters["min_samples_leaf"]).write.mode("overwrite").parquet(path)
     elif fitted.kind != BASELINE:
         fitted.model.write().overwrite().save(path)
 
 
-def load_model(spark, kind: str, parameters: dict, classes: Sequence[str], path: str, row_id: str, seed: int) -> FittedModel:
+def load_model(spark: SparkSession, kind: str, parameters: dict, classes: Sequence[str], path: str, row_id: str, seed: int) -> FittedModel:
     fitted = FittedModel(kind, tuple(classes), parameters, row_id=row_id, seed=seed)
     if kind == KNN:
-        fitted.train = spark.read.parquet(path)
+        fitted.model = knn.NeighborIndex.load(spark, path)
     elif kind == LOGISTIC:
         fitted.model = LogisticRegressionModel.load(path)
     elif kind == FOREST:
-        fitted.model = RandomForestClassificationModel.load(path)
+        fitted.model = forest.Forest.of(spark.read.parquet(path).toArrow(), classes)
     return fitted

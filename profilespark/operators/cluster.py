@@ -10,7 +10,6 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from profilespark.contract import Contract
 from profilespark.functions.clean import quoted
+from profilespark.operators import kmeans
 from profilespark.operators.features import Preparation, fit_preparation
 from profilespark.operators.ordered import seeded_hash
 
@@ -156,14 +156,6 @@ def cluster_profiles(df: DataFrame, columns: Sequence[str], cluster: str = "clus
     )
 
 
-def describe_center(center: Sequence[float], columns: Sequence[str], contract: Contract) -> str:
-    """The two features in which a centre differs most from the training average."""
-    strongest = sorted(range(len(columns)), key=lambda i: (-abs(center[i]), i))[:2]
-    return "; ".join(
-        f"{contract.display(columns[i])}: {'above' if center[i] >= 0 else 'below'} training average" for i in strongest
-    )
-
-
 def cluster_traits(centers: DataFrame, contract: Contract, top: int = 2) -> DataFrame:
     """(cluster, description) from a long centre table (cluster, position, column, value)."""
     names = F.create_map(*[F.lit(v) for c in contract.features for v in (c, contract.display(c))])
@@ -239,26 +231,23 @@ def kmeans_sweep(
     vectors: DataFrame, row_id: str, k_values: Sequence[int] = range(2, 7), restarts: int = 10,
     seed: int = 42, vector: str = "features", max_iter: int = 300, tol: float = 1e-4, parallel: int = 8,
 ) -> tuple[list[dict], dict[int, list[list[float]]]]:
-    """Best of `restarts` Spark K-Means fits per k, with inertia, the silhouette over all rows and, as `silhouette_sampled`,
+    """Best of `restarts` runs per k, with inertia, the silhouette over all rows and, as `silhouette_sampled`,
     the one of a sample with plain distances.
 
-    `vectors` is scanned by many jobs: pass a materialised table.
+    All runs of all k share each scan (`kmeans.lloyd`). `vectors` is scanned by many jobs: pass a materialised table.
     """
-    data = vectors.select(F.col(quoted(row_id)).alias(row_id), F.col(vector).alias("features")).persist()
+    data = kmeans.hashed_points(vectors.withColumn("_x", vector_to_array(vector)), row_id, "_x", seed).persist()
     try:
-        def fit(task: tuple[int, int]):
-            k, restart = task
-            model = KMeans(k=k, seed=seed + restart, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
-            return k, restart, model.summary.trainingCost, [list(map(float, c)) for c in model.clusterCenters()]
-
-        with ThreadPool(parallel) as pool:
-            fits = pool.map(fit, [(k, r) for k in k_values for r in range(restarts)], chunksize=1)
-        best: dict[int, tuple[float, list[list[float]]]] = {}
-        for k, _, cost, centers in sorted(fits, key=lambda f: (f[0], f[2], f[1])):
-            best.setdefault(k, (cost, centers))
-
-        x = data.withColumn("x", vector_to_array("features")).drop("features")
-        choices = {k: nearest_center(F.col("x"), centers).getField("cluster") for k, (_, centers) in best.items() if len(centers) >= 2}
+        starts = kmeans.plus_plus(data, [(k, r) for k in k_values for r in range(restarts)])
+        fits = kmeans.lloyd(data, starts, max_iter, tol)
+        best: dict[int, tuple[float, list[list[float]], int]] = {}
+        for k, r in sorted(fits, key=lambda run: (run[0], fits[run].inertia, run[1])):
+            # a k that there are not enough different rows for
+            if (fits[k, r].members > 0).sum() >= 2:
+                best.setdefault(k, (fits[k, r].inertia, fits[k, r].centers.tolist(), fits[k, r].steps))
+
+        x = data.select(F.col("id").alias(row_id), "x")
+        choices = {k: nearest_center(F.col("x"), centers).getField("cluster") for k, (_, centers, _) in best.items()}
         if not choices:
             raise ValueError("Clustering needs at least two distinct profiles.")
 
@@ -266,7 +255,7 @@ def kmeans_sweep(
             parts = [r for r in silhouette_all(x.withColumn("cluster", choices[k])).collect() if r.silhouette is not None]
             return sum(r.silhouette * r.members for r in parts) / sum(r.members for r in parts) if parts else None
 
-        with ThreadPool(parallel) as pool:
+        with ThreadPool(min(parallel, len(choices))) as pool:
             found = dict(zip(choices, pool.map(over_all, list(choices), chunksize=1)))
         # the samples of all candidate clusterings are scored in one job
         clusters = [F.struct(F.lit(k).alias("k"), cluster.alias("cluster")) for k, cluster in choices.items()]
@@ -275,12 +264,12 @@ def kmeans_sweep(
     finally:
         data.unpersist()
     scores = [
-        {"k": k, "inertia": float(best[k][0]), "silhouette": float(found[k]), "silhouette_sampled": sampled.get(k)}
+        {"k": k, "inertia": float(best[k][0]), "silhouette": float(found[k]), "silhouette_sampled": sampled.get(k), "steps": best[k][2]}
         for k in sorted(best) if found.get(k) is not None and not np.isnan(found[k])
     ]
     if not scores:
         raise ValueError("Clustering needs at least two distinct profiles.")
-    return scores, {k: centers for k, (_, centers) in best.items()}
+    return scores, {k: centers for k, (_, centers, _) in best.items()}
 
 
 def best_k(scores: Sequence[Mapping]) -> int:
@@ -318,11 +307,15 @@ def train_clusters(
         }
         order = sorted(range(len(raw)), key=lambda i: (-sizes.get(i, 0), raw[i]))
         centers = [raw[i] for i in order]
+        long = train.sparkSession.createDataFrame(
+            [(i, j, c, float(center[j])) for i, center in enumerate(centers) for j, c in enumerate(columns)],
+            "cluster int, position int, column string, value double",
+        )
+        descriptions = {str(r.cluster): r.description for r in cluster_traits(long, contract).orderBy("cluster").collect()}
         components, explained = pca(vectors, min(2, len(columns)))
     finally:
         vectors.unpersist()
     return ClusterModel(
         prep, tuple(columns), centers,
-        {str(i): describe_center(center, columns, contract) for i, center in enumerate(centers)},
-        chosen, scores, components, explained,
+        descriptions, chosen, scores, components, explained,
     )

@@ -1,21 +1,25 @@
-"""Exact k nearest neighbours as a pruned block join.
+"""Exact k nearest neighbours over a fitted index of cells.
 
-Training rows are grouped into cells around a bounded set of pivots, and a cell that
-holds many rows is split into blocks. A query first searches one cell; the distance of
-its k-th hit then rules out every cell whose nearest possible point is farther
-away (triangle inequality), and only the other cells are searched. Tasks exchange at most k rows
-per (query, block), never pairs. Large query sets on one cell are split as well.
+The index is built once: training rows are written with the cell they fall into. Cells lie around pivots, as many as the
+rows ask for, and pivots are gathered into groups around a few of them, so that a row's cell is found in two short steps. Per cell and
+per group the index keeps how far its farthest point lies from the centre.
+
+A query first searches one cell; the distance of its k-th hit then rules out every group, and then every cell, whose nearest possible
+point is farther away (triangle inequality), and only the other cells are searched. A cell that holds many rows is split into
+blocks, and large query sets on one cell are split as well. Tasks exchange at most k rows per (query, block), never pairs. An index of
+one block at most, counted when it is built, goes to every worker instead, and queries are answered where they are.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,7 +34,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: rows of one training block and of one query chunk
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 20_000
-MAX_PIVOTS = 256
+#: pivots reach the driver and every task; with more rows than BLOCK_ROWS for each of them, cells are split into blocks
+MAX_PIVOTS = 1 << 16
+#: numbers in the points of an index that goes to every worker
+LOCAL_CELLS = 1 << 22
+#: a search that asks for at most so many cells reads only these
+LISTED_CELLS = 1000
 #: squared distances are compared after rounding, so noise in the last digits cannot reorder ties
 DIGITS = 9
 
@@ -55,51 +64,123 @@ def _top_k(distance: np.ndarray, k: int) -> list[np.ndarray]:
     return found
 
 
-def _cell_udf(pivots: np.ndarray):
-    """Closest pivot of a point and the distance to it."""
-
-    @F.arrow_udf("struct<cell:int,reach:double>")
+@dataclass
+class Cells:
+    """Pivots in groups: cell c lies around pivots[c] and belongs to group[c], which lies around centers[group[c]]."""
+
+    pivots: np.ndarray
+    group: np.ndarray
+    centers: np.ndarray
+
+    @classmethod
+    def around(cls, pivots: np.ndarray) -> "Cells":
+        """Groups around the first ones, as many as the root of their number."""
+        centers = pivots[: max(1, int(np.ceil(np.sqrt(len(pivots)))))]
+        step = max(1, 4_000_000 // len(centers))
+        group = [squared_distances(pivots[a:a + step], centers).argmin(axis=1) for a in range(0, len(pivots), step)]
+        return cls(pivots, np.concatenate(group), centers)
+
+    def nearest(self, x: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cell, distance to its pivot, distance to its group's centre): the nearest allowed cell of the nearest group that has one."""
+        groups = np.unique(self.group[allowed])
+        away = squared_distances(x, self.centers[groups])
+        at = away.argmin(axis=1)
+        cell, reach = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+        for g in np.unique(at):
+            rows, cells = np.flatnonzero(at == g), np.flatnonzero(allowed & (self.group == groups[g]))
+            d = squared_distances(x[rows], self.pivots[cells])
+            best = d.argmin(axis=1)
+            cell[rows], reach[rows] = cells[best], np.sqrt(d[np.arange(len(rows)), best])
+        return cell, reach, np.sqrt(away[np.arange(len(x)), at])
+
+    def within(self, x: np.ndarray, limit: np.ndarray, reach: np.ndarray, group_reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of the cells that may hold a point within each row's squared distance, by row."""
+        limit = np.sqrt(limit + 1e-7) + 1e-7  # the margin covers the rounding of compared distances
+        near = np.sqrt(squared_distances(x, self.centers)) - group_reach[None, :] <= limit[:, None]
+        from_row, found = [], []
+        for g in np.flatnonzero(near.any(axis=0)):
+            rows, cells = np.flatnonzero(near[:, g]), np.flatnonzero(self.group == g)
+            d = np.sqrt(squared_distances(x[rows], self.pivots[cells])) - reach[cells][None, :]
+            r, c = np.nonzero(d <= limit[rows][:, None])
+            from_row.append(rows[r])
+            found.append(cells[c])
+        row, cell = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (from_row, found))
+        order = np.lexsort((cell, row))
+        return row[order], cell[order]
+
+
+def _in_steps(x: np.ndarray, width: int) -> list[slice]:
+    """Rows whose distances to so many pivots stay within a few million numbers."""
+    step = max(1, 4_000_000 // max(1, width))
+    return [slice(a, a + step) for a in range(0, len(x), step)]
+
+
+def _cell_udf(cells: Cells):
+    """Nearest cell of a point, and the distances to its pivot and to its group's centre."""
+
+    @F.arrow_udf("struct<cell:int,reach:double,group_reach:double>")
     def cell(x: pa.Array) -> pa.Array:
-        d = squared_distances(_matrix(pa.chunked_array([x])), pivots)
-        best = d.argmin(axis=1)
-        reach = np.sqrt(d[np.arange(len(d)), best])
-        return pa.StructArray.from_arrays([pa.array(best.astype("int32")), pa.array(reach)], names=["cell", "reach"])
+        points = _matrix(pa.chunked_array([x]))
+        if not len(points):
+            return pa.nulls(0, pa.struct([("cell", pa.int32()), ("reach", pa.float64()), ("group_reach", pa.float64())]))
+        every = np.ones(len(cells.pivots), dtype=bool)
+        parts = [cells.nearest(points[s], every) for s in _in_steps(points, len(every))]
+        at, reach, group_reach = (np.concatenate(c) for c in zip(*parts))
+        return pa.StructArray.from_arrays([pa.array(at.astype("int32")), pa.array(reach), pa.array(group_reach)], names=["cell", "reach", "group_reach"])
 
     return cell
 
 
-def _home_udf(pivots: np.ndarray, big: np.ndarray):
-    """Closest pivot among the cells that hold at least k points."""
+def _home_udf(cells: Cells, allowed: np.ndarray):
+    """Nearest cell among those that hold at least k points."""
 
     @F.arrow_udf("int")
     def home(x: pa.Array) -> pa.Array:
-        d = squared_distances(_matrix(pa.chunked_array([x])), pivots[big])
-        return pa.array(big[d.argmin(axis=1)].astype("int32"))
+        points = _matrix(pa.chunked_array([x]))
+        if not len(points):
+            return pa.array([], pa.int32())
+        return pa.array(np.concatenate([cells.nearest(points[s], allowed)[0] for s in _in_steps(points, len(allowed))]).astype("int32"))
 
     return home
 
 
-def _other_cells_udf(pivots: np.ndarray, radius: np.ndarray):
+def _other_cells_udf(cells: Cells, reach: np.ndarray, group_reach: np.ndarray):
     """Cells that may hold a point closer than `limit`, without the one already searched."""
 
     @F.arrow_udf("array<int>")
     def others(x: pa.Array, done: pa.Array, limit: pa.Array) -> pa.Array:
-        d = np.sqrt(squared_distances(_matrix(pa.chunked_array([x])), pivots))
-        # the margin covers the rounding of compared distances
-        reach = np.sqrt(limit.to_numpy(zero_copy_only=False)[:, None] + 1e-7) + 1e-7
-        keep = d - radius[None, :] <= reach
-        keep[np.arange(len(d)), done.to_numpy(zero_copy_only=False)] = False
-        offsets = np.concatenate([[0], keep.sum(axis=1).cumsum()]).astype("int32")
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(keep)[1].astype("int32")))
+        points, bound = _matrix(pa.chunked_array([x])), limit.to_numpy(zero_copy_only=False)
+        if not len(points):
+            return pa.array([], pa.list_(pa.int32()))
+        searched = done.to_numpy(zero_copy_only=False)
+        sizes, found = [], []
+        for s in _in_steps(points, len(reach)):
+            row, cell = cells.within(points[s], bound[s], reach, group_reach)
+            keep = cell != searched[s][row]
+            sizes.append(np.bincount(row[keep], minlength=len(points[s])))
+            found.append(cell[keep])
+        offsets = np.concatenate([[0], np.concatenate(sizes).cumsum()]).astype("int32")
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype("int32")))
 
     return others
 
 
+def _number_udf(values: np.ndarray):
+    """A number per cell."""
+    numbers = values.astype("int32")
+
+    @F.arrow_udf("int")
+    def number(cell: pa.Array) -> pa.Array:
+        return pa.array(numbers[cell.to_numpy(zero_copy_only=False)])
+
+    return number
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     """An Arrow list column of equally long lists as a matrix."""
     lists = column.combine_chunks()
     values = lists.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
-    return values.reshape(len(lists), -1)
+    return values.reshape(len(lists), -1) if len(lists) else np.zeros((0, 0))
 
 
 def _search(routed: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
@@ -134,109 +215,178 @@ def _search(routed: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     return routed.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(search, schema)
 
 
-def _pieces(counts: dict[int, int], rows: int) -> Column:
-    """Number of pieces of each cell, as a literal lookup over at most MAX_PIVOTS cells."""
-    pairs = [x for cell, n in counts.items() for x in (F.lit(int(cell)), F.lit(max(1, -(-n // rows))))]
-    return F.create_map(*pairs)[F.col("cell")]
-
-
 def _best(hits: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("qid").orderBy("d2", "tid")
     return hits.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
 
 
-def with_neighbors(queries: DataFrame, train: DataFrame, k: int, *, x: str = "x", **options) -> DataFrame:
+@dataclass
+class NeighborIndex:
+    """Training points by cell, and what searching them needs to know of each cell. Bounded by MAX_PIVOTS, but for the table."""
+
+    #: (cell, tid, x, label), written once
+    points: DataFrame
+    #: of equal points, as many are kept: no search may ask for more neighbours
+    k: int
+    block_rows: int
+    cells: Cells | None
+    counts: np.ndarray
+    reach: np.ndarray
+    group_reach: np.ndarray
+    shared: Broadcast | None = field(default=None, repr=False, compare=False)
+
+    @property
+    def is_local(self) -> bool:
+        """Whether the whole index goes to every worker; its size is known."""
+        return self.cells is None
+
+    def save(self, path: str) -> None:
+        spark = self.points.sparkSession
+        self.points.write.mode("overwrite").parquet(f"{path}/points")
+        rows = [("index", None, None, None, self.block_rows, float(self.k))]
+        if self.cells is None:
+            rows.append(("cell", 0, 0, None, int(self.counts[0]), 0.0))
+        else:
+            rows += [("cell", c, int(self.cells.group[c]), self.cells.pivots[c].tolist(), int(n), float(self.reach[c])) for c, n in enumerate(self.counts)]
+            rows += [("group", g, None, center.tolist(), None, float(self.group_reach[g])) for g, center in enumerate(self.cells.centers)]
+        schema = "kind string, number int, in_group int, x array<double>, n bigint, reach double"
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/cells")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "NeighborIndex":
+        rows = spark.read.parquet(f"{path}/cells").collect()  # at most MAX_PIVOTS, and the root of it
+        about = next(r for r in rows if r.kind == "index")
+        cell = sorted((r for r in rows if r.kind == "cell"), key=lambda r: r.number)
+        group = sorted((r for r in rows if r.kind == "group"), key=lambda r: r.number)
+        cells = Cells(np.array([r.x for r in cell]), np.array([r.in_group for r in cell]), np.array([r.x for r in group])) if group else None
+        return cls(spark.read.parquet(f"{path}/points"), int(about.reach), int(about.n), cells, np.array([r.n for r in cell]),
+                   np.array([r.reach for r in cell]), np.array([r.reach for r in group]))
+
+
+def build(
+    train: DataFrame, k: int, *, train_id: str, label: str, x: str = "x", seed: int | str = 42, block_rows: int = BLOCK_ROWS,
+    pivots: int | None = None,
+) -> NeighborIndex:
+    """The index of training rows for up to `k` neighbours. `x` is an array<double> column, equally long in all rows."""
+    points = train.select(
+        F.col(train_id).alias("tid"), F.col(x).cast("array<double>").alias("x"), F.col(label).cast("string").alias("label")
+    )
+    # rows on one and the same point: only the k smallest ids can ever be neighbours,
+    # and the limit is applied before the shuffle
+    copies = Window.partitionBy("x").orderBy("tid")
+    rows = materialize(points.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= k).drop("_c"))
+    total, width = rows.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    if not total:
+        raise ValueError("No training rows to search")
+    wanted = pivots if pivots is not None else min(MAX_PIVOTS, -(-total // block_rows))
+    if wanted <= 1 and total * width <= LOCAL_CELLS:
+        return NeighborIndex(rows.withColumn("cell", F.lit(0)), k, block_rows, None, np.array([total]), np.array([np.inf]), np.array([np.inf]))
+    chosen = rows.select("x", seeded_hash(seed, "tid").alias("_h")).orderBy("_h").limit(max(1, wanted)).collect()
+    cells = Cells.around(np.unique(np.array([r.x for r in chosen], dtype=float), axis=0))
+    placed = rows.withColumn("_p", _cell_udf(cells)("x")).select("_p.cell", "_p.reach", "_p.group_reach", "tid", "x", "label")
+    # by cell within each file, so that a search which asks for a few cells skips most of it
+    placed = materialize(placed.sortWithinPartitions("cell"))
+    counts, reach, group_reach = np.zeros(len(cells.pivots), dtype=np.int64), np.full(len(cells.pivots), -np.inf), np.full(len(cells.centers), -np.inf)
+    # one row per pivot
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("reach"), F.max("group_reach").alias("group_reach")).collect():
+        counts[r.cell], reach[r.cell] = r.n, r.reach
+        group_reach[cells.group[r.cell]] = max(group_reach[cells.group[r.cell]], r.group_reach)
+    return NeighborIndex(placed.drop("reach", "group_reach"), k, block_rows, cells, counts, reach, group_reach)
+
+
+def with_neighbors(queries: DataFrame, train: DataFrame | NeighborIndex, k: int, *, x: str = "x", query_rows: int = QUERY_ROWS, **options) -> DataFrame:
     """Every row of `queries` with `neighbors array<struct<rank, d2, id, label>>`, its k nearest training rows.
 
+    `train` is a built index, or a table to build one from; then `options` are those of `build`. Order: squared distance, then training id.
     Rows are told apart by their point alone: equal points are searched once, and no id of the caller's, which
-    may be repeated or null, decides anything. Options are those of `neighbors`.
+    may be repeated or null, decides anything.
     """
-    found = _of_points(queries.select(F.col(x).cast("array<double>").alias("qid")).distinct(), train, k, x=x, **options)
+    index = train if isinstance(train, NeighborIndex) else build(train, k, x=x, **options)
+    if k > index.k:
+        raise ValueError(f"The index was built for up to {index.k} neighbours.")
+    if index.is_local:
+        return _where_they_are(queries, index, k, x)
+    found = _of_points(queries.select(F.col(x).cast("array<double>").alias("qid")).distinct(), index, k, query_rows)
     point = queries.withColumn("_point", F.col(x).cast("array<double>"))
     return point.join(found.withColumnRenamed("qid", "_point"), "_point").select(*[F.col(quoted(c)) for c in queries.columns], "neighbors")
 
 
-def neighbors(queries: DataFrame, train: DataFrame, k: int, *, query_id: str, x: str = "x", **options) -> DataFrame:
+def neighbors(queries: DataFrame, train: DataFrame | NeighborIndex, k: int, *, query_id: str, x: str = "x", **options) -> DataFrame:
     """(query id, neighbors) of every query row."""
     return with_neighbors(queries, train, k, x=x, **options).select(F.col(quoted(query_id)).alias(query_id), "neighbors")
 
 
-def _of_points(
-    asked: DataFrame, train: DataFrame, k: int, *, train_id: str, label: str,
-    x: str = "x", seed: int | str = 42, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
-    pivots: int | None = None,
-) -> DataFrame:
-    """(qid, neighbors) of distinct points `qid array<double>`.
+def _where_they_are(queries: DataFrame, index: NeighborIndex, k: int, x: str) -> DataFrame:
+    """The search in a map: every worker holds the index."""
+    if index.shared is None:
+        table = index.points.orderBy("tid").select("tid", "x", "label").toArrow()  # at most LOCAL_CELLS numbers
+        index.shared = queries.sparkSession.sparkContext.broadcast((table["tid"].combine_chunks(), _matrix(table["x"]), table["label"].combine_chunks()))
+    shared = index.shared
+    kind = T.ArrayType(T.StructType([
+        T.StructField("rank", T.IntegerType()), T.StructField("d2", T.DoubleType()),
+        T.StructField("id", index.points.schema["tid"].dataType), T.StructField("label", T.StringType()),
+    ]))
+
+    @F.arrow_udf(kind)
+    def search(column: pa.Array) -> pa.Array:
+        ids, points, labels = shared.value
+        asked = _matrix(pa.chunked_array([column]))
+        hits, found, sizes = [], [], []
+        for s in _in_steps(asked, len(points)):
+            distance = squared_distances(asked[s], points)
+            for i, near in enumerate(_top_k(distance, k)):
+                hits.append(near)
+                found.append(distance[i, near])
+                sizes.append(len(near))
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+        at = np.concatenate(hits) if hits else np.zeros(0, dtype=np.int64)
+        rank = (np.arange(len(at)) - np.repeat(offsets[:-1], sizes) + 1).astype("int32")
+        rows = pa.StructArray.from_arrays(
+            [pa.array(rank), pa.array(np.concatenate(found) if found else np.zeros(0)), ids.take(pa.array(at)), labels.take(pa.array(at))],
+            names=["rank", "d2", "id", "label"])
+        return pa.ListArray.from_arrays(pa.array(offsets), rows)
 
-    Order: squared distance, then training id. `x` is an array<double> column of `train`.
-    """
-    points = train.select(
-        F.col(train_id).alias("tid"), F.col(x).cast("array<double>").alias("x"), F.col(label).cast("string").alias("label")
-    )
-    # rows on one and the same point: only the k smallest ids can ever be neighbours,
-    # and the limit is applied before the shuffle
-    copies = Window.partitionBy("x").orderBy("tid")
-    points = points.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= k).drop("_c")
-    asked = asked.withColumn("x", F.col("qid"))
+    return queries.withColumn("neighbors", search(F.col(x).cast("array<double>")))
 
-    total = points.count()
-    if total == 0:
-        raise ValueError("No training rows to search")
-    wanted = pivots if pivots is not None else min(MAX_PIVOTS, -(-total // block_rows))
-    if wanted <= 1:  # one cell: no pivot is ever compared
-        table = np.zeros((1, 1))
-    else:
-        chosen = points.select("x", seeded_hash(seed, "tid").alias("_h")).orderBy("_h").limit(wanted).collect()
-        table = np.unique(np.array([r.x for r in chosen], dtype=float), axis=0)
 
-    if len(table) == 1:
-        placed = points.withColumn("cell", F.lit(0))
-        counts, radius = {0: total}, np.array([np.inf])
-    else:
-        placed = points.withColumn("_p", _cell_udf(table)("x")).select("*", "_p.cell", "_p.reach").drop("_p")
-        # one row per pivot
-        stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("reach")).collect()
-        counts = {r.cell: r.n for r in stats}
-        radius = np.full(len(table), -np.inf)
-        for r in stats:
-            radius[r.cell] = r.reach
-
-    parts = _pieces(counts, block_rows)
-    placed = placed.select(
-        "tid", "x", "label", "cell", F.pmod(F.xxhash64("tid"), parts).cast("int").alias("part")
-    )
+def _of_points(asked: DataFrame, index: NeighborIndex, k: int, query_rows: int) -> DataFrame:
+    """(qid, neighbors) of distinct points `qid array<double>`."""
+    asked = asked.withColumn("x", F.col("qid"))
+    parts = np.maximum(1, -(-index.counts // index.block_rows))
 
     def run(routed: DataFrame) -> DataFrame:
         """Search (qid, x, cell) rows; both sides are replicated only as often as pieces need."""
-        if len(table) == 1:
-            load = {0: routed.count()}
-        else:
-            load = {r.cell: r.n for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-        load = {cell: load.get(cell, 0) for cell in counts}
-        chunks = _pieces(load, query_rows)
-        left = routed.filter(F.col("cell").isin(*[int(c) for c in counts])).select(
-            "qid", "x", "cell",
-            F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
-            F.pmod(F.xxhash64("qid"), chunks).cast("int").alias("chunk"),
+        load = np.zeros(len(parts), dtype=np.int64)
+        for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # at most one row per pivot
+            load[r.cell] = r.n
+        chunks = np.maximum(1, -(-load // query_rows))
+        part_count, chunk_count = _number_udf(parts)("cell"), _number_udf(chunks)("cell")
+        left = routed.withColumns({"_parts": part_count, "_chunks": chunk_count}).select(
+            "qid", "x", "cell", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"),
+            F.pmod(F.xxhash64("qid"), F.col("_chunks")).cast("int").alias("chunk"),
+        )
+        points, used = index.points, np.flatnonzero(load)
+        if len(used) <= LISTED_CELLS:
+            points = points.filter(F.col("cell").isin(used.tolist()))
+        right = points.withColumns({"_parts": part_count, "_chunks": chunk_count}).select(
+            "tid", "x", "label", "cell", F.pmod(F.xxhash64("tid"), F.col("_parts")).cast("int").alias("part"),
+            F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("chunk"),
         )
-        right = placed.select("*", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
         return _search(left, right, k)
 
-    big_enough = [c for c, n in counts.items() if n >= k]
-    if len(table) == 1 or not big_enough:
-        cells = F.array(*[F.lit(int(c)) for c in counts])
-        best = _best(run(asked.select("qid", "x", F.explode(cells).alias("cell"))), k)
+    enough = index.counts >= k
+    if not enough.any():
+        # cells this small are all searched
+        filled = np.flatnonzero(index.counts).tolist()
+        best = _best(run(asked.select("qid", "x", F.explode(F.lit(filled)).alias("cell"))), k)
     else:
-        sizes = np.zeros(len(table))
-        for c, n in counts.items():
-            sizes[c] = n
-        home = asked.withColumn("cell", _home_udf(table, np.flatnonzero(sizes >= k))("x"))
+        home = asked.withColumn("cell", _home_udf(index.cells, enough)("x"))
         # read three times below (limits, routing, merge), so it is written once
         first = materialize(_best(run(home), k))
         limits = first.groupBy("qid").agg(F.max("d2").alias("limit"))
         rest = home.join(limits, "qid")
         far = rest.select(
-            "qid", "x", F.explode(_other_cells_udf(table, radius)("x", "cell", "limit")).alias("cell")
+            "qid", "x", F.explode(_other_cells_udf(index.cells, index.reach, index.group_reach)("x", "cell", "limit")).alias("cell")
         )
         best = _best(first.drop("_r").unionByName(run(far)), k)
     return (

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from profilespark.contract import Contract
 from profilespark.functions.clean import quoted
-from profilespark.operators import knn
 from profilespark.operators.baseline import majority_label
-from profilespark.operators.classify import BASELINE, GRID, KNN, FittedModel, fit, settings
+from profilespark.operators import forest, knn
+from profilespark.operators.classify import (
+    BASELINE, FOREST, GRID, KNN, FittedModel, fit, fit_forests, forest_settings, points, settings,
+)
 from profilespark.operators.evaluate import confusion, per_label, scalar_metrics
 from profilespark.operators.features import Preparation, fit_preparation
 from profilespark.operators.split import stratified_folds
@@ -60,13 +62,17 @@ def _fold_scores(
     held_rows = prep.transform(held, contract).select(*keep)
     try:
         n = fit_rows.count()
-        tasks = [
-            (kind, i, s) for kind, values in grid.items() if kind != KNN for i, s in enumerate(settings(values, quick))
-        ]
+        names = {"target": contract.target, "row_id": contract.row_id, "seed": contract.seed}
+        listed = {kind: settings(values, quick) for kind, values in grid.items()}
+        tasks = [(kind, i, s) for kind, choices in listed.items() if kind not in (KNN, FOREST) for i, s in enumerate(choices)]
+        # all forest settings are parts of one forest per smallest leaf
+        tasks += [(FOREST, None, listed[FOREST])] if FOREST in grid else []
 
         def run(task):
             kind, i, s = task
-            return kind, i, fit(kind, s, fit_rows, n, classes, target=contract.target, row_id=contract.row_id, seed=contract.seed)
+            if kind == FOREST:
+                return kind, i, fit_forests(s, fit_rows, classes, **names)
+            return kind, i, fit(kind, s, fit_rows, n, classes, **names)
 
         with ThreadPool(parallel) as pool:
             fitted = pool.map(run, tasks, chunksize=1)
@@ -74,21 +80,22 @@ def _fold_scores(
         scored = held_rows
         entries = []
         for j, (kind, i, model) in enumerate(fitted):
+            if kind == FOREST:
+                scored = forest.setting_labels(scored, model, forest_settings(listed[FOREST]), "features", "_forest")
+                named = F.array(*[F.lit(c) for c in classes])
+                entries += [
+                    F.struct(F.lit(kind).alias("model"), F.lit(k).alias("setting"), F.element_at(named, F.element_at("_forest", k + 1) + 1).alias("predicted"))
+                    for k in range(len(listed[FOREST]))
+                ]
+                continue
             scored = model.score(scored).withColumnRenamed("predicted", f"_y{j}").drop("probabilities")
             entries.append(F.struct(F.lit(kind).alias("model"), F.lit(i).alias("setting"), F.col(f"_y{j}").alias("predicted")))
         if KNN in grid:
-            # one neighbour table with the largest k serves every KNN setting
-            choices = settings(grid[KNN], quick)
-            largest = max(s["n_neighbors"] for s in choices)
-            points = fit_rows.select(
-                F.col(quoted(contract.row_id)).alias("tid"), vector_to_array("features").alias("_x"),
-                F.col(quoted(contract.target)).alias("label"),
-            )
-            scored = knn.with_neighbors(
-                scored.withColumn("_x", vector_to_array("features")), points, largest,
-                train_id="tid", label="label", x="_x", seed=contract.seed,
-            )
-            for i, s in enumerate(choices):
+            # one index and one neighbour table with the largest k serve every KNN setting
+            largest = max(s["n_neighbors"] for s in listed[KNN])
+            index = knn.build(points(fit_rows, contract.target, contract.row_id), largest, train_id="tid", label="label", seed=contract.seed)
+            scored = knn.with_neighbors(scored.withColumn("_x", vector_to_array("features")), index, largest, x="_x")
+            for i, s in enumerate(listed[KNN]):
                 predicted = knn.vote("neighbors", s["n_neighbors"], s["weights"], classes)["predicted"]
                 entries.append(F.struct(F.lit(KNN).alias("model"), F.lit(i).alias("setting"), predicted.alias("predicted")))
         by = ["model", "setting"]
@@ -111,25 +118,18 @@ def cv_table(scores: DataFrame) -> DataFrame:
 
 def train_classifiers(
     train: DataFrame, validation: DataFrame, contract: Contract, *, quick: bool = False,
-    grid: Mapping[str, Mapping] = GRID, folds: int = 3, parallel: int = 4, search: bool = True,
+    grid: Mapping[str, Mapping] = GRID, folds: int = 3, parallel: int = 4,
 ) -> Training:
-    """Tune each classifier on the training rows, refit its best setting, choose by validation.
-
-    Without `search`, the grid must hold one setting of each classifier, and no folds are fitted.
-    """
-    if not search and any(len(settings(values, quick)) > 1 for values in grid.values()):
-        raise ValueError("Without a search, name one setting of each classifier.")
+    """Tune each classifier on the training rows, refit its best setting, choose by validation."""
     spark = train.sparkSession
     classes = sorted(contract.labels)
     # every fold and every fit reads this table, so it is written once
     folded = materialize(stratified_folds(train, contract, folds))
     seconds: dict[str, float] = {}
     listed = {kind: settings(values, quick) for kind, values in grid.items()}
-    per_fold = []
-    if search:
-        # folds are independent: their jobs share the cluster instead of waiting for each other
-        with ThreadPool(folds) as pool:
-            per_fold = pool.map(lambda f: _fold_scores(folded, f, contract, classes, grid, quick, parallel), range(folds))
+    # folds are independent: their jobs share the cluster instead of waiting for each other
+    with ThreadPool(folds) as pool:
+        per_fold = pool.map(lambda f: _fold_scores(folded, f, contract, classes, grid, quick, parallel), range(folds))
     rows = [score for scores in per_fold for score in scores]
     scores = spark.createDataFrame(
         [(m, s, json.dumps(listed[m][s], sort_keys=True), f, v) for m, s, f, v in rows],
@@ -139,8 +139,6 @@ def train_classifiers(
     best: dict[str, tuple[int, float]] = {}
     for r in results.orderBy("model", "rank", "setting").collect():  # one row per setting
         best.setdefault(r.model, (r.setting, r.mean_score))
-    for kind in grid:
-        best.setdefault(kind, (0, None))
 
     prep = fit_preparation(train, contract)
     keep = [contract.row_id, contract.target, "features"]

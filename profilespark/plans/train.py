@@ -80,13 +80,8 @@ def global_importance(
 def train(
     df: DataFrame, contract: Contract, *, quick: bool = False, k_values: Sequence[int] = range(2, 7),
     restarts: int = 10, repeats: int = 5, grid=GRID, parallel: int = 4,
-    search: bool = True, clusters: bool = True, importance: bool = True,
 ) -> Bundle:
-    """Run every step and return a bundle with its result tables.
-
-    The search over folds (if the grid has one setting of each classifier), clustering and importance can be
-    left out; the bundle then scores and evaluates without them.
-    """
+    """Run every step and return a bundle with its result tables."""
     audit = quality.audit(df, contract)
     prepared, contract = _with_id(quality.prepare(df, contract), contract)
     # folds, fits and evaluations all read this table
@@ -95,19 +90,19 @@ def train(
     split.require_usable_columns(part["train"], contract)
 
     with ThreadPool(2) as pool:  # clustering never sees the labels, so it need not wait for the classifiers
-        clustered = pool.apply_async(train_clusters, (part["train"], contract, k_values, restarts, parallel)) if clusters else None
-        training = train_classifiers(part["train"], part["val"], contract, quick=quick, grid=grid, parallel=parallel, search=search)
-        clustering = clustered.get() if clusters else None
+        clustered = pool.apply_async(train_clusters, (part["train"], contract, k_values, restarts, parallel))
+        training = train_classifiers(part["train"], part["val"], contract, quick=quick, grid=grid, parallel=parallel)
+        clustering = clustered.get()
     with ThreadPool(2) as pool:
-        explain = lambda: materialize(global_importance(training, part["val"], contract, repeats))
-        explained = pool.apply_async(explain) if importance else None
+        explained = pool.apply_async(lambda: materialize(global_importance(training, part["val"], contract, repeats)))
         evaluation = evaluate_models(training, part["test"], contract)
-        ranked = explained.get() if importance else None
+        ranked = explained.get()
 
     numeric, categorical = contract.numeric, contract.categorical
     wanted = {c: n for c, n in stats.THRESHOLD_QUANTILES.items() if c in numeric}
     audit_rows = audit.collect()  # a fixed number of counters
     sizes = {r["split"]: r["n"] for r in parts.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    profiles = materialize(clustering.profiles(part["train"], contract))
     metadata = {
         "artifact_version": ARTIFACT_VERSION,
         "created_utc": datetime.now(timezone.utc).isoformat(),
@@ -125,21 +120,16 @@ def train(
         "dataset_audit": [r.asDict() for r in audit_rows],
         "evaluation": [r.asDict() for r in evaluation["metrics"].collect()],
         "limitations": list(contract.limitations),
+        "cluster_count": clustering.best_k, "cluster_descriptions": clustering.descriptions, "cluster_scores": clustering.scores,
+        "cluster_profiles": [r.asDict() for r in profiles.orderBy("cluster").collect()],
+        "global_importance": [r.asDict() for r in ranked.orderBy(F.desc("importance"), "feature").collect()],
     }
     tables = {
         "prepared": parts.drop("split"),
         "split_assignments": parts.select(quoted(contract.row_id), "split"),
         "selection": training.selection, "cv_results": training.cv_results, **evaluation,
+        "cluster_profiles": profiles, "importance": ranked,
     }
-    if clusters:
-        tables["cluster_profiles"] = clustering.profiles(part["train"], contract)
-        metadata |= {
-            "cluster_count": clustering.best_k, "cluster_descriptions": clustering.descriptions, "cluster_scores": clustering.scores,
-            "cluster_profiles": [r.asDict() for r in tables["cluster_profiles"].orderBy("cluster").collect()],
-        }
-    if importance:
-        tables["importance"] = ranked
-        metadata["global_importance"] = [r.asDict() for r in ranked.orderBy(F.desc("importance"), "feature").collect()]
     return Bundle(contract, training.preparation, training.models, training.baseline, clustering, metadata, tables)
 
 

@@ -139,9 +139,10 @@ class Bundle:
                 for i, (name, m) in enumerate(self.models.items())
             },
             "baseline": self.baseline.parameters if self.baseline else None,
+            "tables": sorted(self.tables),
         }
         for name, entry in document["model_files"].items():
-            save_model(self.models[name], f"{path}/models/{entry['folder']}")
+            save_model(self.models[name], f"{path}/models/{entry['folder']}", spark)
         for name, table in self.tables.items():
             write_table(table, f"{path}/tables/{name}")
         # the metadata row is written last: a half-written bundle does not load
@@ -177,6 +178,7 @@ class Bundle:
             contract, prep, models,
             FittedModel(BASELINE, classes, base, row_id=contract.row_id) if base else None,
             ClusterModel.from_dict(cluster) if cluster else None, document,
+            {name: spark.read.parquet(f"{path}/tables/{name}") for name in document.pop("tables", [])},
         )
         bundle.primary  # raises when it is not named or not present
         return bundle

@@ -89,6 +89,44 @@ def test_neighbours_equal_brute_force(spark, options, kind):
     assert {r.id: [m.id for m in r.neighbors] for r in got.collect()} == brute_neighbours(queries, train, 5)
 
 
+def test_an_index_is_built_once_and_saved(spark, tmp_path, monkeypatch):
+    """Cells in groups and a local index: the loaded one answers like the built one, without building anything."""
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(v) for v in p], str(i % 3)) for i, p in enumerate(rng.normal(size=(900, 5)))]
+    schema = "id long, x array<double>, label string"
+    train, queries = spark.createDataFrame(rows[:700], schema), spark.createDataFrame(rows[700:], schema)
+    wanted = brute_neighbours(rows[700:], rows[:700], 5)
+    for name, options in (("cells", {"block_rows": 20}), ("local", {})):
+        index = knn.build(train, 7, train_id="id", label="label", **options)
+        index.save(str(tmp_path / name))
+        monkeypatch.setattr(knn, "build", None)
+        loaded = knn.NeighborIndex.load(spark, str(tmp_path / name))
+        for one in (index, loaded):
+            assert one.is_local == (name == "local")
+            got = knn.neighbors(queries, one, 5, query_id="id")
+            assert {r.id: [m.id for m in r.neighbors] for r in got.collect()} == wanted
+        with pytest.raises(ValueError, match="up to 7"):
+            knn.with_neighbors(queries, loaded, 8)
+        assert knn.with_neighbors(queries.limit(0), loaded, 5).count() == 0
+        monkeypatch.undo()
+    assert len(index.counts) == 1 and len(knn.build(train, 7, train_id="id", label="label", block_rows=20).cells.centers) == 6
+
+
+def test_groups_leave_out_no_cell_that_may_hold_a_neighbour():
+    rng = np.random.default_rng(3)
+    points, asked = rng.normal(size=(2000, 3)), rng.normal(size=(50, 3))
+    cells = knn.Cells.around(points[:150])
+    at, reach, group_reach = cells.nearest(points, np.ones(150, dtype=bool))
+    far = np.array([reach[at == c].max(initial=-np.inf) for c in range(150)])
+    far_group = np.array([group_reach[cells.group[at] == g].max(initial=-np.inf) for g in range(len(cells.centers))])
+    limit = rng.uniform(0, 0.3, size=50)
+    row, cell = cells.within(asked, limit, far, far_group)
+    found = set(zip(row.tolist(), cell.tolist()))
+    for q in range(50):
+        near = np.flatnonzero(((points - asked[q]) ** 2).sum(axis=1) <= limit[q])
+        assert {(q, int(at[i])) for i in near} <= found
+
+
 def test_votes(spark):
     near = "array<struct<rank:int,d2:double,id:long,label:string>>"
     rows = [
