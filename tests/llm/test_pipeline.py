@@ -2,6 +2,7 @@ import uuid
 
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest_llm import corpus, prose, table
@@ -61,7 +62,7 @@ def test_odd_rows_and_columns_go_through(spark, folder):
     clean = [prose(7000 + k, 60) for k in range(6)]
     rows = [(1, clean[0]), (1, clean[1]), (None, clean[2]), (None, clean[3]), (None, clean[3]), (2, None), (2, clean[4]), (3, ""), (4, clean[5]), (4, clean[5])]
     labelled = spark.read.parquet(f"{folder}/documents.parquet")
-    docs = table(spark, rows).unionByName(labelled).withColumns({c: labelled["lang"] for c in ("copy", "times", "copy number", "ids", "score")})
+    docs = table(spark, rows).unionByName(labelled).withColumns({c: F.lit(c) for c in ("copy", "times", "copy number", "ids", "score")})
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         if name != "pieces":
