@@ -66,7 +66,7 @@ def thresholds(spark, sf_dir):
     "vocabulary",
     f"{_TRAIN} " + _union(
         SURVEY_ROWS.categorical,
-        "select '{c}' as \"column\", cast(row_number() over (order by {c}) - 1 as integer) as position, {c} as value "
+        "select '{c}' as \"column\", row_number() over (order by {c}) - 1 as position, {c} as value "
         "from (select distinct {c} from train where {c} is not null)",
     ),
 )

@@ -9,7 +9,7 @@ from catalog.evaluation import SCORED_CTE, scored, sql_matrix
 from catalog.profiling import rounded
 from catalog.splitting import survey_parts
 from catalog.tables import SURVEY_PARTS, SURVEY_PREPARED, SURVEY_ROWS, survey, table
-from profilespark.operators import importance, quality, recommend, score, stats
+from profilespark.operators import dictionary, importance, quality, recommend, score, stats
 
 _NUM = SURVEY_ROWS.numeric
 _TRAIN = f"{SURVEY_PARTS}, train as (select * from parts where split = 'train')"
@@ -95,7 +95,8 @@ KNOWN = {
 )
 def unseen_notes(spark, sf_dir):
     rows = quality.prepare(survey(spark, sf_dir), SURVEY_ROWS, check=False)
-    found = F.array_compact(F.array(*score.unseen_notes(rows, SURVEY_ROWS, KNOWN)))
+    rows, flags = score.with_unseen(rows, SURVEY_ROWS, dictionary.of_values(spark, KNOWN))
+    found = F.array_compact(F.array(*score.unseen_notes(SURVEY_ROWS, flags)))
     return rows.select("row_id", F.array_join(found, " | ").alias("notes"))
 
 

@@ -7,7 +7,7 @@ chain of Column expressions and Spark ML transformers, so one scan does it all.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass, fields
 
 from pyspark import keyword_only
 from pyspark.ml import Transformer
@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from profilespark.contract import Contract
 from profilespark.functions.clean import canonical_text, in_bounds, quoted, to_number
+from profilespark.operators import dictionary
+from profilespark.operators.dictionary import Dictionary
 from profilespark.operators.ordered import exact_quantiles
 from profilespark.operators.quality import clean_column, clean_features, require_columns, stage
-from profilespark.operators.stats import category_counts
+from profilespark.operators.stats import category_counts, modes_of
 
-#: a category column with more values than this is an identifier, not a category
-MAX_VOCABULARY = 100_000
+#: categories that are collected, over all columns together; columns of a larger dictionary are looked up in it by join
+COLLECTED = 100_000
 
 
 class FeatureCleaner(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -86,21 +88,30 @@ class Preparation:
     stds: Mapping[str, float]
     modes: Mapping[str, str | None]
     vocabulary: Mapping[str, tuple[str, ...]]
+    #: the dictionary, where its categories are too many to be collected; `vocabulary` is empty then
+    dictionary: Dictionary | None = None
 
     @property
     def names(self) -> list[str]:
         """Names of the encoded columns, scaled numbers first."""
+        if self.dictionary:
+            raise ValueError("The categories were not collected; feature_names gives their names as a table.")
         return [*self.numeric, *[f"{c}_{v}" for c in self.categorical for v in self.vocabulary[c]]]
 
+    def categories(self, column: str) -> int:
+        """How many categories a column has."""
+        return self.dictionary.sizes.get(column, (0, 0))[0] if self.dictionary else len(self.vocabulary[column])
+
     def to_dict(self) -> dict:
-        return asdict(self)
+        """All but the dictionary, which is a table."""
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "dictionary"}
 
     @classmethod
-    def from_dict(cls, data: Mapping) -> "Preparation":
+    def from_dict(cls, data: Mapping, dictionary: Dictionary | None = None) -> "Preparation":
         return cls(
             numeric=tuple(data["numeric"]), categorical=tuple(data["categorical"]),
             medians=dict(data["medians"]), means=dict(data["means"]), stds=dict(data["stds"]),
-            modes=dict(data["modes"]), vocabulary={c: tuple(v) for c, v in data["vocabulary"].items()},
+            modes=dict(data["modes"]), vocabulary={c: tuple(v) for c, v in data["vocabulary"].items()}, dictionary=dictionary,
         )
 
     def _scaled(self, cleaned: Column, column: str) -> Column:
@@ -121,17 +132,23 @@ class Preparation:
         }).drop(*[f"_s_{c}" for c in columns])
         inputs = [n for n, c in temporary.items() if c in self.numeric]
         dropped = list(temporary)
-        texts = [n for n, c in temporary.items() if c in self.categorical and self.vocabulary[c]]
+        texts = [n for n, c in temporary.items() if c in self.categorical and self.categories(c)]
         if texts:
             indexed = [f"{n}_i" for n in texts]
             encoded = [f"{n}_v" for n in texts]
-            for n in texts:
-                labels = list(self.vocabulary[temporary[n]])
-                staged = StringIndexerModel.from_labels(labels, n, f"{n}_i", handleInvalid="keep").transform(staged)
-            # the "kept" index for unseen values is the last one, and the last one is dropped;
-            # category counts come from column metadata, so fitting reads no rows
+            sizes = [self.categories(temporary[n]) for n in texts]
+            for n, size in zip(texts, sizes):
+                # unseen values get the index after the last one
+                if self.dictionary:
+                    staged = self.dictionary.with_position(staged, F.col(n), temporary[n], f"{n}_p")
+                    staged = staged.withColumn(f"{n}_i", F.coalesce(f"{n}_p", F.lit(size)).cast("double")).drop(f"{n}_p")
+                else:
+                    labels = list(self.vocabulary[temporary[n]])
+                    staged = StringIndexerModel.from_labels(labels, n, f"{n}_i", handleInvalid="keep").transform(staged)
+            # fitted on the largest indices alone; the last index is dropped, so unseen values are all zeros
+            largest = df.sparkSession.createDataFrame([tuple(float(size) for size in sizes)], indexed)
             encoder = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="error")
-            staged = encoder.fit(staged.limit(0)).transform(staged)
+            staged = encoder.fit(largest).transform(staged)
             inputs += encoded
             dropped += indexed + encoded
         assembled = VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="keep").transform(staged)
@@ -167,19 +184,19 @@ def fit_preparation(
 
     modes: dict[str, str | None] = {c: None for c in categorical}
     vocabulary: dict[str, tuple[str, ...]] = {c: () for c in categorical}
+    known = None
     if categorical:
         counts = category_counts(cleaned, categorical)
-        rows = counts.limit(MAX_VOCABULARY + 1).collect()
-        if len(rows) > MAX_VOCABULARY:
-            raise ValueError(
-                f"The category columns {list(categorical)} hold more than {MAX_VOCABULARY} values; "
-                "one-hot encoding is meant for categories, not identifiers."
-            )
-        for c in categorical:
-            own = {r["value"]: r["n"] for r in rows if r["column"] == c}
-            vocabulary[c] = tuple(sorted(own))
-            modes[c] = min(own, key=lambda v: (-own[v], v)) if own else None
-    return Preparation(numeric, categorical, medians, means, stds, modes, vocabulary)
+        rows = counts.limit(COLLECTED + 1).collect()
+        if len(rows) > COLLECTED:
+            known = dictionary.build(cleaned, categorical)
+            modes |= {r["column"]: r["mode"] for r in modes_of(known.table).collect()}
+        else:
+            for c in categorical:
+                own = {r["value"]: r["n"] for r in rows if r["column"] == c}
+                vocabulary[c] = tuple(sorted(own))
+                modes[c] = min(own, key=lambda v: (-own[v], v)) if own else None
+    return Preparation(numeric, categorical, medians, means, stds, modes, vocabulary, known)
 
 
 def preparation_table(prep: Preparation, df: DataFrame) -> DataFrame:
@@ -194,7 +211,15 @@ def preparation_table(prep: Preparation, df: DataFrame) -> DataFrame:
 
 def feature_names(prep: Preparation, df: DataFrame) -> DataFrame:
     """(position, name) of the encoded columns."""
-    return df.sparkSession.createDataFrame(list(enumerate(prep.names)), "position long, name string")
+    schema = "position long, name string"
+    if not prep.dictionary:
+        return df.sparkSession.createDataFrame(list(enumerate(prep.names)), schema)
+    table, at = df.sparkSession.createDataFrame(list(enumerate(prep.numeric)), schema), len(prep.numeric)
+    for c in prep.categorical:
+        own = prep.dictionary.entries(c)
+        table = table.unionByName(own.select((F.col("position") + at).alias("position"), F.concat(F.lit(f"{c}_"), "value").alias("name")))
+        at += prep.categories(c)
+    return table
 
 
 def with_array(df: DataFrame, vector: str = "features", output: str = "x") -> DataFrame:

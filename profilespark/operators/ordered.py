@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from profilespark.functions.clean import quoted
+from profilespark.session import materialize
 
 #: rows that one sorting task should hold at most, about
 TASK_ROWS = 1_000_000
@@ -24,7 +24,7 @@ SKETCH = 100_000
 def bucket_digits(rows: int) -> int:
     """Hex digits of a hash that cut `rows` into even buckets of about TASK_ROWS or less."""
     digits = 2
-    while digits < 6 and rows / 16**digits > TASK_ROWS:
+    while digits < 12 and rows / 16**digits > TASK_ROWS:
         digits += 1
     return digits
 
@@ -81,42 +81,54 @@ def global_rank(df: DataFrame, keys: Sequence[str], hash_col: str, out: str, row
     )
 
 
+def _in_ranges(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """`df` written in the order of (keys, order), with `_at`, the number of its range in the upper bits and of its row in the lower 33.
+
+    Ranges are as many as shuffle partitions and about even, as long as few rows are equal in (keys, order). They are written once, so
+    that a row's place is the same for all who read it.
+    """
+    columns = [*keys, order]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns).withColumn("_at", F.monotonically_increasing_id()))
+
+
+def _with_earlier(ranges: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """`ranges` with `_part`, `_first` (the first place of the row's keys in its range) and each sum over earlier ranges of the same keys."""
+    part = F.shiftright("_at", 33)
+    totals = ranges.groupBy(part.alias("_part"), *keys).agg(F.min("_at").alias("_first"), *[v.alias(name) for name, v in sums.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", *keys, "_first", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in sums])
+    # a row for each range and for each key that begins in one
+    return ranges.withColumn("_part", part).join(F.broadcast(offsets), ["_part", *keys])
+
+
+def positions(df: DataFrame, keys: Sequence[str], order: str, out: str = "position") -> DataFrame:
+    """`df` with each row's place, from 0, in the order of `order` within its keys. No key is ever in one task."""
+    placed = _with_earlier(_in_ranges(df, keys, order), keys, {"_before": F.count(F.lit(1))})
+    return placed.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_at") - F.col("_first") + F.col("_before")).alias(out))
+
+
 def running_totals(grouped: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
     """Sum of each value column over all smaller `order` values: `before_<value>`.
 
-    `grouped` must hold one row per (keys, order). Approximate quantiles only decide
-    where the 1,024 buckets end, so the sums are exact whatever their quality. The
-    bucket of a value is found in two steps of 31 comparisons.
+    `grouped` must hold one row per (keys, order), which may be any number: a sum is that of the ranges before
+    and of the rows before in the same range, and the ranges are as many as shuffle partitions.
     """
-    side = 32
-    buckets = side * side
-    shares = F.lit(np.arange(1, buckets) / buckets)  # one literal, not a tree of them
-    cuts = grouped.groupBy(*keys).agg(F.percentile_approx(order, shares, F.lit(4 * buckets)).alias("_cuts"))
-    # the last cut of every 32, for the first step
-    cuts = cuts.withColumn(
-        "_coarse", F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda i: F.element_at("_cuts", i * side))
+    placed = _with_earlier(_in_ranges(grouped, keys, order), keys, {f"_o_{v}": F.sum(v) for v in values})
+    inner = Window.partitionBy("_part", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.select(
+        *[F.col(quoted(c)) for c in grouped.columns],
+        *[(F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(inner), F.lit(0))).alias(f"before_{v}") for v in values],
     )
 
-    def below(array: Column) -> Column:
-        return F.size(F.filter(array, lambda c: c < F.col(order)))
-
-    # keys x 1,024 numbers: a small table, the keys are models and labels
-    bucketed = grouped.join(F.broadcast(cuts), list(keys)).withColumn("_first", below(F.col("_coarse")))
-    inner_cuts = F.slice("_cuts", F.col("_first") * side + 1, F.lit(side - 1))
-    bucketed = bucketed.withColumn("_b", F.col("_first") * side + below(inner_cuts)).drop("_cuts", "_coarse", "_first")
-    totals = bucketed.groupBy(*keys, "_b").agg(*[F.sum(v).alias(v) for v in values])
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, "_b", *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_o_{v}") for v in values]
-    )
-    inner = Window.partitionBy(*keys, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = bucketed.select(
-        "*", *[F.coalesce(F.sum(v).over(inner), F.lit(0)).alias(f"_i_{v}") for v in values]
-    )
-    return summed.join(offsets, [*keys, "_b"]).select(
-        *[c for c in grouped.columns],
-        *[(F.col(f"_i_{v}") + F.col(f"_o_{v}")).alias(f"before_{v}") for v in values],
-    )
+
+#: groups whose limits go to every task
+FEW_GROUPS = 10_000
+
+
+def sent_if_few(table: DataFrame, limit: int = FEW_GROUPS) -> DataFrame:
+    """A written table for a join: with a broadcast hint if it has few rows, counted, and as it is otherwise."""
+    return F.broadcast(table) if table.count() <= limit else table
 
 
 def exact_quantiles(
@@ -126,7 +138,6 @@ def exact_quantiles(
     by: Sequence[str] = (),
     accuracy: int | None = None,
     sketch: int | None = None,
-    small_rows: int = 0,
 ) -> DataFrame:
     """Quantiles with linear interpolation, long: (by..., column, probability, quantile, n).
 
@@ -134,8 +145,7 @@ def exact_quantiles(
     counts what lies below the bracket, and only the few values inside the brackets
     are grouped and ranked. No value-to-count map of a whole column is ever built, and
     a value that holds a large share of the rows collapses in the map-side combine.
-    With `accuracy` set, the sketch's own answer is returned. With `small_rows` set, a table of at most so
-    many rows (they are counted first) goes through Spark's own value-count aggregate instead.
+    With `accuracy` set, the sketch's own answer is returned. `df` is read three times: pass a table.
     """
     by = list(by)
     probabilities = list(probabilities)
@@ -176,20 +186,6 @@ def exact_quantiles(
             ],
         ).drop("_p")
 
-    if small_rows and df.count() <= small_rows:
-        at = {c: j for j, c in enumerate(columns)}
-        exact = df.groupBy(*by).agg(
-            *[F.percentile(col[c], probabilities).alias(f"_q_{j}") for j, c in enumerate(columns)],
-            *[F.count(col[c]).alias(f"_n_{j}") for j, c in enumerate(columns)],
-        )
-        return rows_of(
-            exact,
-            lambda c, i, p: [
-                F.element_at(f"_q_{at[c]}", i + 1).alias("quantile"),
-                F.col(f"_n_{at[c]}").alias("n"),
-            ],
-        ).drop("_p")
-
     sketch = sketch or SKETCH
     margin = 4.0 / sketch
     low_p = [max(p - margin, 0.0) for p in probabilities]
@@ -202,6 +198,7 @@ def exact_quantiles(
         ],
         *[F.count(col[c]).alias(f"_n_{j}") for j, c in enumerate(columns)],
     )
+    bounds = materialize(bounds)  # one row a group, read by the two passes below
     width = len(probabilities)
 
     def low(c, i):
@@ -218,7 +215,7 @@ def exact_quantiles(
         for b in by:
             test = F.col(b).eqNullSafe(F.col(f"_by_{b}"))
             condition = test if condition is None else condition & test
-        joined = bracketed.join(renamed, condition).drop(*[f"_by_{b}" for b in by])
+        joined = bracketed.join(sent_if_few(renamed), condition).drop(*[f"_by_{b}" for b in by])
     else:
         one = bounds.agg(
             F.first(F.struct(*bounds.columns)).alias("_all")
@@ -232,6 +229,7 @@ def exact_quantiles(
         *[F.min(F.when(F.col(f"_x_{at[c]}") > high(c, i), F.col(f"_x_{at[c]}"))).alias(f"_g_{at[c]}_{i}") for c, i, _ in cells],
         *[F.max(f"_n_{j}").alias(f"_n_{j}") for j in range(len(columns))],
     )
+    below = materialize(below)
     targets = rows_of(
         below,
         lambda c, i, p: [
@@ -270,7 +268,7 @@ def exact_quantiles(
     for k in keys:
         test = F.col(k).eqNullSafe(F.col(f"_v_{k}"))
         condition = test if condition is None else condition & test
-    placed = right.join(targets, condition)
+    placed = right.join(sent_if_few(targets), condition)
     start = F.col("_below") + F.col("_seen")
 
     def value_at(position: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from profilespark.contract import Contract
 from profilespark.functions.clean import canonical_text, quoted, to_number
+from profilespark.operators.dictionary import Dictionary
 
 
 def _value(df: DataFrame, column: str) -> Column:
@@ -43,6 +44,7 @@ def range_notes(df: DataFrame, contract: Contract, ranges: Mapping[str, Sequence
             continue
         low, high = (float(v) for v in ranges[c])
         name, span = contract.display(c), f"({_short(low)}-{_short(high)})"
+        # The wording of the notes.
         if c in contract.report_only:
             text = (
                 f"{name} is outside the observed training range {span}. {name} is excluded from "
@@ -54,22 +56,30 @@ def range_notes(df: DataFrame, contract: Contract, ranges: Mapping[str, Sequence
     return notes
 
 
-def unseen_notes(df: DataFrame, contract: Contract, vocabulary: Mapping[str, Sequence[str]]) -> list[Column]:
-    """A text (or null) per category column whose cleaned value was not in training."""
-    notes = []
-    for c in contract.categorical:
-        if c not in vocabulary:
+def with_unseen(df: DataFrame, contract: Contract, known: Dictionary) -> tuple[DataFrame, dict[str, str]]:
+    """(`df` with a flag per category column: whether its cleaned value was not in training, the flags' names).
+
+    Values are looked up in the dictionary's table, so the plan is the same whatever the number of known values.
+    """
+    flags = {}
+    for i, c in enumerate(contract.categorical):
+        if c not in known.sizes:
             continue
-        value = canonical_text(F.col(quoted(c)), contract.aliases.get(c))
-        known = F.array(*[F.lit(v) for v in vocabulary[c]]).cast("array<string>")
-        text = f"{contract.display(c)} was unseen in training and is encoded as an unknown category."
-        notes.append(F.when(value.isNotNull() & ~F.array_contains(known, value), F.lit(text)))
-    return notes
+        value, flags[c] = canonical_text(F.col(quoted(c)), contract.aliases.get(c)), f"_unseen_{i}"
+        df = known.with_position(df, value, c, "_position").withColumn(flags[c], value.isNotNull() & F.col("_position").isNull()).drop("_position")
+    return df, flags
 
 
-def notes(
-    df: DataFrame, contract: Contract, ranges: Mapping[str, Sequence[float]], vocabulary: Mapping[str, Sequence[str]]
-) -> Column:
-    found = range_notes(df, contract, ranges) + unseen_notes(df, contract, vocabulary)
-    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+def unseen_notes(contract: Contract, flags: Mapping[str, str]) -> list[Column]:
+    """A text (or null) per category column whose flag is set."""
+    # The wording of the note.
+    return [
+        F.when(F.col(flag), F.lit(f"{contract.display(c)} was unseen in training and is encoded as an unknown category."))
+        for c, flag in flags.items()
+    ]
+
 
+def notes(df: DataFrame, contract: Contract, ranges: Mapping[str, Sequence[float]], flags: Mapping[str, str]) -> Column:
+    """All notes of a row of `df`, which has the flags of `with_unseen`."""
+    found = range_notes(df, contract, ranges) + unseen_notes(contract, flags)
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")

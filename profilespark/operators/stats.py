@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilespark.contract import Contract
 from profilespark.functions.clean import quoted
-from profilespark.operators.ordered import exact_quantiles
+from profilespark.operators.ordered import exact_quantiles, positions, sent_if_few
+from profilespark.session import materialize
 
 
 def _long(one_row: DataFrame, entries: Sequence[dict[str, Column]], by: Sequence[str] = ()) -> DataFrame:
@@ -137,14 +138,15 @@ def box_stats(df: DataFrame, columns: Sequence[str], label: str, accuracy: int |
         *[F.max(F.when(F.col("column") == c, F.struct("q25", "q50", "q75"))).alias(f"_q{i}") for i, c in enumerate(columns)]
     )
     rows = df.select(F.col(quoted(label)).alias(label), *[F.col(quoted(c)).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
-    joined = rows.join(wide, label)
+    joined = rows.join(sent_if_few(materialize(wide)), label)
     aggregates, entries = [], []
     for i, c in enumerate(columns):
         x, q1, q3 = F.col(f"_x{i}"), F.col(f"_q{i}.q25"), F.col(f"_q{i}.q75")
         reach = F.lit(1.5) * (q3 - q1)
         low, high = q1 - reach, q3 + reach
         aggregates += [
-            F.first(f"_q{i}").alias(f"_q{i}"),
+            # numbers, not a struct, so that the aggregate stays a hash aggregate
+            *[F.max(f"_q{i}.{q}").alias(f"_{q}_{i}") for q in ("q25", "q50", "q75")],
             F.min(F.when(x >= low, x)).alias(f"_a{i}"),
             F.max(F.when(x <= high, x)).alias(f"_z{i}"),
             F.count(x).alias(f"_n{i}"),
@@ -152,10 +154,10 @@ def box_stats(df: DataFrame, columns: Sequence[str], label: str, accuracy: int |
         ]
         entries.append({
             "column": F.lit(c), "n": F.col(f"_n{i}"),
-            "q25": F.col(f"_q{i}.q25"), "q50": F.col(f"_q{i}.q50"), "q75": F.col(f"_q{i}.q75"),
+            "q25": F.col(f"_q25_{i}"), "q50": F.col(f"_q50_{i}"), "q75": F.col(f"_q75_{i}"),
             # never inside the box
-            "whisker_low": F.least(F.col(f"_a{i}"), F.col(f"_q{i}.q25")),
-            "whisker_high": F.greatest(F.col(f"_z{i}"), F.col(f"_q{i}.q75")),
+            "whisker_low": F.least(F.col(f"_a{i}"), F.col(f"_q25_{i}")),
+            "whisker_high": F.greatest(F.col(f"_z{i}"), F.col(f"_q75_{i}")),
             "outliers": F.col(f"_o{i}"),
         })
     return _long(joined.groupBy(label).agg(*aggregates), entries, by=[F.col(label).alias("label")])
@@ -174,21 +176,18 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, position, value): distinct non-null categories in text order, from 0."""
-    order = Window.partitionBy("column").orderBy("value")
-    return category_counts(df, columns).select(
-        "column", (F.row_number().over(order) - 1).alias("position"), "value"
-    )
+    return positions(category_counts(df, columns), ["column"], "value").select("column", "position", "value")
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mode): most frequent category; the smallest text wins ties."""
-    order = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-    return (
-        category_counts(df, columns)
-        .withColumn("_r", F.row_number().over(order))
-        .filter("_r = 1")
-        .select("column", F.col("value").alias("mode"))
-    )
+    return modes_of(category_counts(df, columns))
+
+
+def modes_of(counts: DataFrame) -> DataFrame:
+    """The same from (column, value, n); each task passes on one row per column."""
+    best = F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best")
+    return counts.groupBy("column").agg(best).select("column", F.col("best.value").alias("mode"))
 
 
 # Which training quantile each rule threshold is.

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from profilespark.contract import Contract
 from profilespark.functions.clean import quoted
-from profilespark.operators import quality, split, stats
+from profilespark.operators import dictionary, quality, split, stats
 from profilespark.operators.classify import BASELINE, GRID
 from profilespark.operators.cluster import train_clusters
 from profilespark.operators.evaluate import classification_metrics, confusion, label_report
-from profilespark.operators.features import Preparation
+from profilespark.operators.features import COLLECTED, Preparation
 from profilespark.operators.importance import permutation_importance
 from profilespark.operators.recommend import thresholds_from_rows
 from profilespark.plans.select_model import Training, score_models, train_classifiers
@@ -102,6 +102,7 @@ def train(
     wanted = {c: n for c, n in stats.THRESHOLD_QUANTILES.items() if c in numeric}
     audit_rows = audit.collect()  # a fixed number of counters
     sizes = {r["split"]: r["n"] for r in parts.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = dictionary.build(part["train"], categorical)
     profiles = materialize(clustering.profiles(part["train"], contract))
     metadata = {
         "artifact_version": ARTIFACT_VERSION,
@@ -112,7 +113,7 @@ def train(
         "excluded_columns": [*contract.excluded, contract.target],
         "primary_model": training.primary_model, "selection_rule": "Highest validation macro F1",
         "selection": [r.asDict() for r in training.selection.collect()],
-        "categories": _vocabularies(part["train"], categorical),
+        "categories": _categories(known, categorical), "category_sizes": {c: list(s) for c, s in known.sizes.items()},
         "medians": {r["column"]: r["median"] for r in stats.medians(part["train"], numeric).collect()},
         "training_ranges": {r["column"]: [r.low, r.high] for r in stats.ranges(part["train"], numeric).collect()},
         "recommendation_thresholds": thresholds_from_rows(stats.thresholds(part["train"], wanted).collect()) if wanted else None,
@@ -128,14 +129,16 @@ def train(
         "prepared": parts.drop("split"),
         "split_assignments": parts.select(quoted(contract.row_id), "split"),
         "selection": training.selection, "cv_results": training.cv_results, **evaluation,
-        "cluster_profiles": profiles, "importance": ranked,
+        "cluster_profiles": profiles, "importance": ranked, "categories": known.table,
     }
     return Bundle(contract, training.preparation, training.models, training.baseline, clustering, metadata, tables)
 
 
-def _vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+def _categories(known: dictionary.Dictionary, columns: Sequence[str]) -> dict[str, list[str]] | None:
+    """The categories by column, in text order; null if they are too many to be listed, and stand in the table alone."""
+    if sum(n for n, _ in known.sizes.values()) > COLLECTED:
+        return None
     found: dict[str, list[str]] = {c: [] for c in columns}
-    if columns:
-        for r in stats.vocabulary(df, columns).orderBy("column", "position").collect():
-            found[r["column"]].append(r["value"])
+    for r in known.table.orderBy("column", "position").collect():
+        found[r["column"]].append(r["value"])
     return found

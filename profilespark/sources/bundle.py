@@ -13,6 +13,7 @@ from pyspark.sql.utils import AnalysisException
 
 from profilespark.contract import Contract
 from profilespark.functions.clean import quoted
+from profilespark.operators import dictionary
 from profilespark.operators import recommend as R
 from profilespark.operators import score as S
 from profilespark.operators.classify import BASELINE, FittedModel, load_model, save_model
@@ -108,6 +109,7 @@ class Bundle:
         else:
             cluster = F.lit(None).cast("struct<id:int,description:string>")
         models = F.array(*entries)
+        scored, flags = S.with_unseen(scored, contract, dictionary.Dictionary(self.tables["categories"], meta["category_sizes"]))
         return scored.select(
             *[F.col(quoted(c)) for c in df.columns],
             main.label.alias("label"),
@@ -118,7 +120,7 @@ class Bundle:
             cluster.alias("cluster"),
             S.median_comparison(df, contract, meta["medians"]).alias("comparisons"),
             R.prompts(df, meta["medians"]).alias("suggestions"),
-            S.notes(df, contract, meta["training_ranges"], meta["categories"]).alias("notes"),
+            S.notes(df, contract, meta["training_ranges"], flags).alias("notes"),
             F.array(*[F.lit(x) for x in meta.get("limitations", [])]).cast("array<string>").alias("limitations"),
         )
 
@@ -139,12 +141,14 @@ class Bundle:
                 for i, (name, m) in enumerate(self.models.items())
             },
             "baseline": self.baseline.parameters if self.baseline else None,
-            "tables": sorted(self.tables),
+            "tables": sorted(self.tables), "has_dictionary": self.preparation.dictionary is not None,
         }
         for name, entry in document["model_files"].items():
             save_model(self.models[name], f"{path}/models/{entry['folder']}", spark)
         for name, table in self.tables.items():
             write_table(table, f"{path}/tables/{name}")
+        if self.preparation.dictionary:
+            write_table(self.preparation.dictionary.table, f"{path}/dictionary")
         # the metadata row is written last: a half-written bundle does not load
         text = json.dumps(plain(document), allow_nan=False)
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
@@ -163,7 +167,8 @@ class Bundle:
         if document.get("artifact_version") != ARTIFACT_VERSION:
             raise ValueError("Unsupported bundle version. Train and save it again.")
         contract = contract_from_dict(document.pop("contract"))
-        prep = Preparation.from_dict(document.pop("preparation"))
+        known = dictionary.of_table(spark.read.parquet(f"{path}/dictionary")) if document.pop("has_dictionary", False) else None
+        prep = Preparation.from_dict(document.pop("preparation"), known)
         cluster = document.pop("cluster")
         files = document.pop("model_files")
         base = document.pop("baseline")

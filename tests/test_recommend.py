@@ -2,7 +2,7 @@ import pytest
 from conftest import row
 
 from profilespark.contract import SURVEY
-from profilespark.operators import recommend, score
+from profilespark.operators import dictionary, recommend, score
 
 FIELDS = (
     "Age double, Academic_Level string, Avg_Daily_Usage_Hours double, Most_Used_Platform string, Purpose_Of_Use string, "
@@ -105,7 +105,8 @@ def test_prompts_and_notes(spark):
         "A little more sleep may help you feel more rested.", "Consider setting aside one screen-free period each day."]
     ranges = {c: (0.0, 8.0) if c == "Study_Hours" else (18.0, 24.0) if c == "Age" else (0.0, 2000.0) for c in SURVEY.numeric}
     known = {"Academic_Level": ["Graduate"], "Most_Used_Platform": ["Facebook"], "Purpose_Of_Use": ["News"]}
-    assert df.select(score.notes(df, SURVEY, ranges, known)).first()[0] == [
+    flagged, flags = score.with_unseen(df, SURVEY, dictionary.of_values(spark, known))
+    assert flagged.select(score.notes(flagged, SURVEY, ranges, flags)).first()[0] == [
         "Age is outside the observed training range (18-24). Age is excluded from prediction, but performance for this age group is unverified.",
         "Study hours is outside the observed training range (0-8); this prediction may be less reliable.",
         "Main purpose was unseen in training and is encoded as an unknown category.",
