@@ -27,7 +27,7 @@ from profilespark.contract import AGE_EDGES, AGE_GROUPS
 from profilespark.functions.clean import in_bounds, right_closed_group, short_number, to_number
 from profilespark.operators import quality, validate
 from profilespark.session import ensure_checkpoint_dir
-from profilespark.sources.readers import read_table, table_fingerprint
+from profilespark.sources.readers import manifest_changes, read_table, source_manifest, table_fingerprint
 from profilespark.sources.writers import result_json, write_json, write_table
 
 
@@ -395,6 +395,28 @@ def display_names(spark, sf_dir):
 # ------------------------------------------------------------------- sources and sinks
 
 
+@query(
+    "source_changes",
+    "select 'region=' || r_regionkey || '.csv' as file, case when r_regionkey = 2 then 'changed' when r_regionkey = 3 then 'missing' else 'same' end as status "
+    "from region union all select 'region=none.csv', 'new'",
+)
+def source_changes(spark, sf_dir):
+    """One file of customers per region; a row of one file is changed, one file is gone and one is new."""
+    base = f"{ensure_checkpoint_dir(spark)}/sources-{uuid.uuid4().hex}"
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").cast("string").alias("region"))
+    rows = table(spark, sf_dir, "customer").join(F.broadcast(nations), "c_nationkey").select("c_custkey", "c_name", "region")
+    changed = rows.filter("region <> '3'").withColumn("c_name", F.when(
+        (F.col("region") == "2") & (F.col("c_custkey") == F.lit(rows.filter("region = '2'").agg(F.min("c_custkey")).first()[0])), "changed").otherwise(F.col("c_name")))
+    changed = changed.unionByName(rows.limit(1).withColumn("region", F.lit("none")))
+    manifests = []
+    for name, version in (("then", rows), ("now", changed)):
+        path = f"{base}/{name}"
+        version.repartition("region").sortWithinPartitions("c_custkey").write.partitionBy("region").csv(path)
+        files = source_manifest(spark, path).filter("file like '%.csv'")
+        manifests.append(files.withColumn("file", F.concat(F.regexp_extract("file", "(region=[^/]+)/", 1), F.lit(".csv"))))
+    return manifest_changes(manifests[1], manifests[0])
+
+
 @query("table_fingerprint")
 def fingerprint(spark, sf_dir):
     return table_fingerprint(table(spark, sf_dir, "lineitem"))

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from catalog import query
+from catalog.features import sql_train
 from catalog.neighbours import embeddings
 from catalog.profiling import rounded
 from catalog.splitting import survey_parts
@@ -53,15 +54,100 @@ def kmeans_sweep(spark, sf_dir):
     )
 
 
-@query("pca_2d")
+_NUM = SURVEY_ROWS.model_numeric
+_SCALED = (
+    f"{sql_train()}, scaled as (select row_id, Stress_Level, "
+    + ", ".join(f"(coalesce({c}, m.med_{c}) - mean_{c}) / std_{c} as z{i}" for i, c in enumerate(_NUM)) + " from train, params)"
+)
+#: the covariance matrix is squared so often: its first column is the first component then
+SQUARINGS = 16
+
+
+def _component_sql(name: str, matrix: str) -> str:
+    """CTE `name` (i, v, value): the first component of a matrix table (i, j, v), largest loading positive, and its eigenvalue."""
+    ctes, last = [], matrix
+    for k in range(SQUARINGS):
+        product = f"select a.i, b.j, sum(a.v * b.v) as v from {last} a join {last} b on a.j = b.i group by 1, 2"
+        ctes.append(f"{name}_{k} as materialized (select i, j, v / max(abs(v)) over () as v from ({product}))")
+        last = f"{name}_{k}"
+    ctes.append(f"{name}_c as materialized (select i, v / sqrt(sum(v * v) over ()) as v from {last} where j = (select i from {last} where i = j order by v desc, i limit 1))")
+    ctes.append(
+        f"{name} as materialized (select c.i, c.v * (select sign(v) from {name}_c order by abs(v) desc, i limit 1) as v, "
+        f"(select sum(x.v * m.v * y.v) from {matrix} m join {name}_c x on x.i = m.i join {name}_c y on y.i = m.j) as value from {name}_c c)"
+    )
+    return ", ".join(ctes)
+
+
+@query(
+    "pca_2d",
+    f"{_SCALED}, covariance as materialized ("
+    + " union all ".join(f"select {i} as i, {j} as j, covar_samp(z{i}, z{j}) as v from scaled" for i in range(len(_NUM)) for j in range(len(_NUM)))
+    + f"), {_component_sql('first', 'covariance')}, rest as materialized (select m.i, m.j, m.v - x.value * x.v * y.v as v from covariance m "
+    f"join first x on x.i = m.i join first y on y.i = m.j), {_component_sql('second', 'rest')} select row_id, "
+    + ", ".join(
+        "round(" + " + ".join(f"z{i} * (select v from {name} where i = {i})" for i in range(len(_NUM))) + f", 4) as {column}"
+        for name, column in (("first", "PC1"), ("second", "PC2"))
+    )
+    + " from scaled",
+)
 def pca_2d(spark, sf_dir):
-    """Coordinates of the training rows on two components."""
+    """Coordinates of the training rows on two components; the oracle finds these by squaring the covariance matrix."""
     parts = materialize(survey_parts(spark, sf_dir)).filter("split = 'train'")
-    prep = features.fit_preparation(parts, SURVEY_ROWS, SURVEY_ROWS.model_numeric)
+    prep = features.fit_preparation(parts, SURVEY_ROWS, _NUM)
     components, explained = cluster.pca(prep.transform(parts, SURVEY_ROWS))
     zero = [[0.0] * len(prep.numeric)]
     model = cluster.ClusterModel(prep, prep.numeric, zero, {}, 1, [], components, explained)
-    return model.coordinates(parts, SURVEY_ROWS).select("row_id", "PC1", "PC2")
+    return rounded(model.coordinates(parts, SURVEY_ROWS).select("row_id", "PC1", "PC2"), 4)
+
+
+#: a strong penalty, so that plain gradient steps reach the optimum too
+STRONG = 0.001
+GRADIENT_STEPS, STEP_SIZE = 500, 0.5
+_CLASSES = tuple(sorted(SURVEY_ROWS.labels))
+
+
+def _gradient_sql() -> str:
+    """Multinomial logistic regression from zero by gradient steps, one recursion step for each."""
+    places = [(c, f) for c in range(len(_CLASSES)) for f in range(-1, len(_NUM))]
+
+    def x(f: int) -> str:
+        return "1.0" if f < 0 else f"z{f}"
+
+    def w(c: int, f: int) -> str:
+        return f"w{c}_{f + 1}"
+
+    start = ", ".join(f"0.0::double as {w(c, f)}" for c, f in places)
+    logits = ", ".join("exp(" + " + ".join(f"{w(c, f)} * {x(f)}" for f in range(-1, len(_NUM))) + f") as e{c}" for c in range(len(_CLASSES)))
+    total = " + ".join(f"e{c}" for c in range(len(_CLASSES)))
+    steps = ", ".join(
+        f"any_value({w(c, f)}) - {STEP_SIZE} * (avg((e{c} / ({total}) - case when Stress_Level = '{name}' then 1 else 0 end) * {x(f)})"
+        + ("" if f < 0 else f" + any_value({w(c, f)}) / ({STRONG} * count(*))") + ")"
+        for c, name in enumerate(_CLASSES) for f in range(-1, len(_NUM))
+    )
+    rows = " union all ".join(
+        f"select '{name}' as label, '{'(intercept)' if f < 0 else _NUM[f]}' as feature, round({w(c, f)}, 4) as weight from last"
+        for c, name in enumerate(_CLASSES) for f in range(-1, len(_NUM))
+    )
+    return (
+        _SCALED.replace("with ", "with recursive ", 1)
+        + f", descent as (select 0 as step, {start} union all select step + 1, {steps} from (select d.*, s.*, {logits} from descent d, scaled s "
+        f"where step < {GRADIENT_STEPS}) group by step), last as (select * from descent where step = {GRADIENT_STEPS}) {rows}"
+    )
+
+
+@query("logreg_weights", _gradient_sql())
+def logreg_weights(spark, sf_dir):
+    """Weights of a strongly penalised fit on the scaled numbers; the oracle takes gradient steps of the same loss."""
+    rows, prep = vectors(spark, sf_dir, _NUM)
+    train_rows = rows.filter("split = 'train'").drop("split")
+    fitted = classify.fit(
+        classify.LOGISTIC, {"C": STRONG}, train_rows, train_rows.count(), _CLASSES, target="Stress_Level", row_id="row_id", tol=1e-12)
+    weights, intercepts = fitted.model.coefficientMatrix.toArray(), fitted.model.interceptVector.toArray()
+    found = [
+        (name, feature, float(w)) for c, name in enumerate(_CLASSES)
+        for feature, w in zip(("(intercept)", *prep.numeric), (intercepts[c], *weights[c]))
+    ]
+    return rounded(spark.createDataFrame(found, "label string, feature string, weight double"), 4)
 
 
 def _fit_and_evaluate(spark, sf_dir, kind, parameters):

@@ -79,9 +79,9 @@ class FittedModel:
 
 def fit(
     kind: str, parameters: dict, vectors: DataFrame, rows: int, classes: Sequence[str], *,
-    target: str, row_id: str, seed: int = 42,
+    target: str, row_id: str, seed: int = 42, tol: float = 1e-6,
 ) -> FittedModel:
-    """Fit one setting on (row id, target, features). `classes` is in text order."""
+    """Fit one setting on (row id, target, features). `classes` is in text order; `tol` ends the logistic regression's steps."""
     classes = tuple(sorted(classes))
     if kind == KNN:
         index = knn.build(points(vectors, target, row_id), parameters["n_neighbors"], train_id="tid", label="label", x="x", seed=seed)
@@ -93,7 +93,7 @@ def fit(
     labelled = vectors.withColumn("_label", label_index(classes, F.col(target)))
     # a penalty of |w|^2 / 2 against C times the summed loss, in Spark's mean-loss form
     estimator = LogisticRegression(
-        family="multinomial", featuresCol="features", labelCol="_label", maxIter=MAX_ITER, tol=1e-6,
+        family="multinomial", featuresCol="features", labelCol="_label", maxIter=MAX_ITER, tol=tol,
         elasticNetParam=0.0, standardization=False, regParam=1.0 / (parameters["C"] * rows),
     )
     return FittedModel(kind, classes, parameters, model=estimator.fit(labelled), row_id=row_id, seed=seed)

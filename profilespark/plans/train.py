@@ -22,6 +22,7 @@ from profilespark.operators.recommend import thresholds_from_rows
 from profilespark.plans.select_model import Training, score_models, train_classifiers
 from profilespark.session import materialize
 from profilespark.sources.bundle import ARTIFACT_VERSION, Bundle
+from profilespark.sources.readers import source_manifest
 
 def _with_id(df: DataFrame, contract: Contract) -> tuple[DataFrame, Contract]:
     """Prepared rows get an id from their (unique) profile when the table has no key."""
@@ -79,9 +80,12 @@ def global_importance(
 
 def train(
     df: DataFrame, contract: Contract, *, quick: bool = False, k_values: Sequence[int] = range(2, 7),
-    restarts: int = 10, repeats: int = 5, grid=GRID, parallel: int = 4,
+    restarts: int = 10, repeats: int = 5, grid=GRID, parallel: int = 4, source: str | None = None,
 ) -> Bundle:
-    """Run every step and return a bundle with its result tables."""
+    """Run every step and return a bundle with its result tables.
+
+    With `source`, the path that `df` was read from, the bundle keeps the digests of its files and compares them when it is loaded.
+    """
     audit = quality.audit(df, contract)
     prepared, contract = _with_id(quality.prepare(df, contract), contract)
     # folds, fits and evaluations all read this table
@@ -131,6 +135,9 @@ def train(
         "selection": training.selection, "cv_results": training.cv_results, **evaluation,
         "cluster_profiles": profiles, "importance": ranked, "categories": known.table,
     }
+    if source:
+        tables["sources"] = materialize(source_manifest(df.sparkSession, source))
+        metadata["source"] = {"path": source, "files": tables["sources"].count()}
     return Bundle(contract, training.preparation, training.models, training.baseline, clustering, metadata, tables)
 
 

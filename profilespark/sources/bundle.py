@@ -20,6 +20,7 @@ from profilespark.operators.classify import BASELINE, FittedModel, load_model, s
 from profilespark.operators.cluster import ClusterModel
 from profilespark.operators.features import Preparation
 from profilespark.plans.select_model import score_models
+from profilespark.sources.readers import manifest_changes, manifest_notes, source_manifest
 from profilespark.sources.writers import write_table
 
 ARTIFACT_VERSION = 2
@@ -128,6 +129,13 @@ class Bundle:
         thresholds = self.metadata.get("recommendation_thresholds") or R.DEFAULT_THRESHOLDS
         return R.recommend(self.score(df), "label", self.contract.labels, thresholds, rules)
 
+    def source_notes(self, path: str | None = None) -> list[str]:
+        """What has changed in the files that the bundle was made of, or in those under another path."""
+        if "sources" not in self.tables:
+            return []
+        expected = self.tables["sources"]
+        return manifest_notes(manifest_changes(source_manifest(expected.sparkSession, path or self.metadata["source"]["path"]), expected))
+
     # -------------------------------------------------------------- persistence
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
@@ -154,7 +162,8 @@ class Bundle:
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "Bundle":
+    def load(cls, spark: SparkSession, path: str, check_sources: bool = False) -> "Bundle":
+        """The saved bundle. With `check_sources`, `metadata["source_notes"]` says what has changed in the files it was made of."""
         try:
             rows = spark.read.text(f"{path}/metadata").collect()  # one row
         except AnalysisException as error:
@@ -186,5 +195,7 @@ class Bundle:
             {name: spark.read.parquet(f"{path}/tables/{name}") for name in document.pop("tables", [])},
         )
         bundle.primary  # raises when it is not named or not present
+        if check_sources:
+            bundle.metadata["source_notes"] = bundle.source_notes()
         return bundle
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,3 +78,37 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
         F.sum(F.col("h").cast(T.DecimalType(38, 0))).cast("string").alias("hash_sum"),
         F.bit_xor("h").alias("hash_xor"),
     )
+
+
+def source_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length, sha256) of the files under `path`, named from there. Files are hashed in tasks; one over 2 GB can't be read that way."""
+    spark_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = spark_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(spark_path).toString().rstrip("/")
+    named = F.regexp_replace(F.col("path"), f"^{re.escape(root)}/?", "")
+    files = file_fingerprints(spark, path).withColumn("file", F.when(named == "", F.element_at(F.split("path", "/"), -1)).otherwise(named))
+    return files.select("file", "length", "sha256")
+
+
+def manifest_changes(current: DataFrame, expected: DataFrame) -> DataFrame:
+    """(file, status): same, changed, missing (expected only) or new (there is none to compare with)."""
+    now, then = current.select("file", F.col("sha256").alias("_now")), expected.select("file", F.col("sha256").alias("_then"))
+    status = (
+        F.when(F.col("_then").isNull(), "new").when(F.col("_now").isNull(), "missing")
+        .when(F.col("_now") == F.col("_then"), "same").otherwise("changed")
+    )
+    return now.join(then, "file", "full").select("file", status.alias("status"))
+
+
+#: changed files that a note names
+NAMED_FILES = 20
+
+
+def manifest_notes(changes: DataFrame) -> list[str]:
+    """A sentence per kind of change, with the first files of it; none if every file is as expected."""
+    found = changes.filter("status <> 'same'").groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("first")).orderBy("status")
+    notes = []
+    for r in found.collect():  # three kinds at most
+        names = [x.file for x in changes.filter(F.col("status") == r.status).orderBy("file").limit(NAMED_FILES).collect()]
+        more = f" and {r.n - len(names)} more" if r.n > len(names) else ""
+        notes.append(f"The training data differs from what the bundle was made of: {r.n} {r.status} ({', '.join(names)}{more}).")
+    return notes
