@@ -124,7 +124,8 @@ def buckets(spark: SparkSession, occurrences: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-occurrences // BUCKET_ANCHORS))
 
 
-SPANS = "bucket int, ids binary, versions binary, starts binary, ends binary"
+#: spans of several kinds, by `level`, may lie side by side
+SPANS = "bucket int, level int, ids binary, versions binary, starts binary, ends binary"
 #: rows of an index: either packed entries of a block, or spans already found, which stand in the block of their bucket
 INDEX = f"block int, n bigint, entries binary, {SPANS}"
 _INDEX_NAMES = [c.split()[0] for c in INDEX.split(", ")]
@@ -136,12 +137,12 @@ def index_of_spans(rows: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def index_of_entries(rows: pa.RecordBatch) -> pa.RecordBatch:
-    none = [pa.nulls(len(rows), kind) for kind in (pa.int32(), *[pa.binary()] * 4)]
+    none = [pa.nulls(len(rows), kind) for kind in (pa.int32(), pa.int32(), *[pa.binary()] * 4)]
     return pa.RecordBatch.from_arrays([*rows.columns, *none], _INDEX_NAMES)
 
 
-def span_rows(ids: np.ndarray, versions: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> pa.RecordBatch:
-    """Spans of many documents as one row for each bucket that they fall into; those that meet are one."""
+def span_rows(ids: np.ndarray, versions: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, level: int = 0) -> pa.RecordBatch:
+    """Spans of one level of many documents as one row for each bucket that they fall into; those that meet are one."""
     place = np.mod(ids ^ versions, n)
     order = np.lexsort((starts, versions, ids, place))
     place, ids, versions, starts, ends = (a[order] for a in (place, ids, versions, starts, ends))
@@ -156,53 +157,54 @@ def span_rows(ids: np.ndarray, versions: np.ndarray, starts: np.ndarray, ends: n
     cuts = np.flatnonzero(np.diff(place, prepend=-1))
     ends_at = np.append(cuts[1:], len(place))
     packed = [pa.array([zstandard.compress(c[a:b].tobytes(), 1) for a, b in zip(cuts, ends_at)], pa.binary()) for c in columns]
-    return pa.RecordBatch.from_arrays([pa.array(place[cuts], pa.int32()), *packed], ["bucket", "ids", "versions", "starts", "ends"])
+    columns = [pa.array(place[cuts], pa.int32()), pa.array(np.full(len(cuts), level, dtype=np.int32)), *packed]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "level", "ids", "versions", "starts", "ends"])
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, n: int, function: Callable, columns: str, first_too: bool) -> DataFrame:
-    """One row per document: doc_id and what function(text, starts, ends, copied) gives for its merged spans.
+def with_spans(docs: DataFrame, spans: DataFrame, n: int, function: Callable, columns: str, first_too: bool, levels: int = 1) -> DataFrame:
+    """One row per document: doc_id and what function(text, [(starts, ends) of each level], copied) gives for its merged spans.
 
     `docs` are (id, version, text); `spans` have the columns of SPANS, in `n` buckets. Each text moves once, to its
     bucket, where the bucket's spans come first. Rows equal in id and text follow each other there: each of them but the
     first is `copied`, and with `first_too` the first as well if another follows.
     """
     nothing = {c: F.lit(None).cast("binary").alias(c) for c in ("ids", "versions", "starts", "ends")}
-    own = docs.select(F.pmod(F.col("id").bitwiseXOR(F.col("version")), F.lit(n)).cast("int").alias("bucket"), "id", "version", "text", *nothing.values())
+    own = docs.select(F.pmod(F.col("id").bitwiseXOR(F.col("version")), F.lit(n)).cast("int").alias("bucket"), "id", "version", "text", F.lit(None).cast("int").alias("level"), *nothing.values())
     none = F.lit(None).cast("bigint")
-    given = spans.select("bucket", none.alias("id"), none.alias("version"), F.lit(None).cast("string").alias("text"), *nothing)
+    given = spans.select("bucket", none.alias("id"), none.alias("version"), F.lit(None).cast("string").alias("text"), "level", *nothing)
     rows = own.unionByName(given).repartition("bucket").sortWithinPartitions("bucket", F.col("text").isNotNull(), "id", "version")
     added = StructType.fromDDL(columns)
     schema = StructType.fromDDL(f"doc_id bigint, {columns}")
     kinds = [f.type for f in to_arrow_schema(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, parts, known = None, [], None
+        bucket, parts, known = None, [[] for _ in range(levels)], None
         held = None  # the last document, until it is clear whether a copy of it follows
         ids, out = [], []
 
         def done(copy_follows: bool) -> None:
-            key, text, starts, ends, is_copy = held
+            key, text, own, is_copy = held
             ids.append(None if key[0] == -(1 << 63) else key[0])
-            out.append(function(text, starts, ends, is_copy or (first_too and copy_follows)))
+            out.append(function(text, own, is_copy or (first_too and copy_follows)))
 
         def made() -> pa.RecordBatch:
             arrays = [pa.array(values, kind) for values, kind in zip(zip(*out), kinds, strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *arrays], schema.fieldNames())
 
         for batch in batches:
-            for at, doc, version, text, *packed in zip(*[c.to_pylist() for c in batch.columns]):
+            for at, doc, version, text, level, *packed in zip(*[c.to_pylist() for c in batch.columns]):
                 if at != bucket:
-                    bucket, parts, known = at, [], None
+                    bucket, parts, known = at, [[] for _ in range(levels)], None
                 if text is None:
-                    parts.append([np.frombuffer(zstandard.decompress(p), dtype=np.int64) for p in packed])
+                    parts[level].append([np.frombuffer(zstandard.decompress(p), dtype=np.int64) for p in packed])
                     continue
                 if known is None:
-                    known = _by_document(parts)
+                    known = [_by_document(p) for p in parts]
                     parts = []
                 is_copy = held is not None and held[0] == (doc, version)
                 if held is not None:
                     done(is_copy)
-                held = ((doc, version), text, *merged(*known.get((doc, version), _NO_SPANS)), is_copy)
+                held = ((doc, version), text, [merged(*k.get((doc, version), _NO_SPANS)) for k in known], is_copy)
             if out:
                 yield made()
                 ids.clear()
@@ -279,7 +281,7 @@ def _entries(n: int, packed: bytes) -> tuple[np.ndarray, ...]:
 def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, batches_matched: bool) -> DataFrame:
     """Spans that `decide` finds, block by block. Rows of spans pass through.
 
-    decide([hashes, more], [ids, versions, start]) gives (entries, ends): where spans begin, and the ends of these spans.
+    decide([hashes, more], [ids, versions, start]) gives (entries, ends) for each level: where spans begin, and the ends of these spans.
     batches_matched: entries of one batch have been matched with each other, so a block that has no other needs no look.
     """
     rows = index.repartition("block").sortWithinPartitions("block")
@@ -287,9 +289,9 @@ def matched_entries(index: DataFrame, decide: Callable, n_buckets: int, batches_
     def done(held: list) -> Iterator[pa.RecordBatch]:
         if len(held) > batches_matched:
             hashes, more, ids, versions, start = (np.concatenate(c) for c in zip(*[_entries(n, e) for n, e in held]))
-            x, ends = decide([hashes, more], [ids, versions, start])
-            if len(x):
-                yield span_rows(ids[x], versions[x], start[x], ends, n_buckets)
+            for level, (x, ends) in enumerate(decide([hashes, more], [ids, versions, start])):
+                if len(x):
+                    yield span_rows(ids[x], versions[x], start[x], ends, n_buckets, level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, []

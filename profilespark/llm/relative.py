@@ -173,20 +173,20 @@ def duplicate_spans(keyed: DataFrame, window: int = WINDOW, seed: int | None = N
     bitmap, _, occurrences = repeated(_seeds(keyed, window, seed))
     n = buckets(keyed.sparkSession, occurrences)
 
-    def parsed(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def parsed(keys: list[np.ndarray], place: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         found, length, _ = factors(keys, place, window)
-        return found, place[2][found] + length
+        return [(found, place[2][found] + length)]
 
     return matched_entries(_index(keyed, bitmap, n, window, seed), parsed, n, batches_matched=True), n
 
 
-def _left(text: str, starts: np.ndarray, ends: np.ndarray, copied: bool, window: int) -> tuple[list[bytes], list[bytes]]:
+def _left(text: str, spans: list[tuple[np.ndarray, np.ndarray]], copied: bool, window: int) -> tuple[list[bytes], list[bytes]]:
     """(words, words that stay); nothing stays of a copy that is long enough to hold a run."""
     words = text.encode("utf-8", "surrogatepass").split()
     if copied and len(words) >= window:
         return words, []
     rest, done = [], 0
-    for a, b in zip(starts.tolist(), ends.tolist()):
+    for a, b in zip(*[x.tolist() for x in spans[0]]):
         rest += words[done:a]
         done = b
     return words, rest + words[done:]
@@ -195,8 +195,8 @@ def _left(text: str, starts: np.ndarray, ends: np.ndarray, copied: bool, window:
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
 
-    def kept(text: str, starts: np.ndarray, ends: np.ndarray, copied: bool) -> tuple[int, int, str]:
-        words, rest = _left(text, starts, ends, copied, window)
+    def kept(text: str, spans: list, copied: bool) -> tuple[int, int, str]:
+        words, rest = _left(text, spans, copied, window)
         return len(words), len(words) - len(rest), hashlib.sha256(b" ".join(rest)).hexdigest()
 
     keyed = document_key(docs)
@@ -207,8 +207,8 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id and the text without its duplicate spans: the words left, joined by one space."""
 
-    def rest(text: str, starts: np.ndarray, ends: np.ndarray, copied: bool) -> tuple[str]:
-        return (b" ".join(_left(text, starts, ends, copied, window)[1]).decode("utf-8", "surrogatepass"),)
+    def rest(text: str, spans: list, copied: bool) -> tuple[str]:
+        return (b" ".join(_left(text, spans, copied, window)[1]).decode("utf-8", "surrogatepass"),)
 
     keyed = document_key(docs)
     return with_spans(keyed, *duplicate_spans(keyed, window), rest, "text string", first_too=False)

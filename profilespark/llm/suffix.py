@@ -186,19 +186,32 @@ def _shared(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_places(data: np.ndarray, length: int) -> np.ndarray:
-    """Whether the `length` bytes from each place also start elsewhere. Texts in `data` end with a byte 255.
+def repeated_places(data: np.ndarray, length: int, passage: int, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether the `length` bytes from each place also start elsewhere, whether the `passage` bytes also start in a text of another owner).
 
-    That byte is in no UTF-8 text; a run of bytes that holds one isn't a run of one text and never counts.
+    Texts in `data` end with a byte 255, which is in no UTF-8 text; a run of bytes that holds one isn't a run of one text and never counts.
+    `owner` numbers the document of each place.
     """
     text = np.append(data.astype(np.int64) + 1, 0)
     order = suffix_array(text, 257)[1:]  # without the end mark
     plcp, neighbour = common_prefixes(data, order)
     marks = np.concatenate(([0], np.cumsum(data == 255)))
-    whole = np.zeros(len(data), dtype=bool)
-    count = max(0, len(data) - length + 1)
-    whole[:count] = marks[length:] == marks[:count] if count else False
-    hit = np.flatnonzero((plcp >= length) & whole)
-    out = np.zeros(len(data), dtype=bool)
-    out[hit] = out[neighbour[hit]] = True
-    return out
+
+    def whole(n: int) -> np.ndarray:
+        out = np.zeros(len(data), dtype=bool)
+        count = max(0, len(data) - n + 1)
+        out[:count] = marks[n:] == marks[:count] if count else False
+        return out
+
+    hit = np.flatnonzero((plcp >= length) & whole(length))
+    again = np.zeros(len(data), dtype=bool)
+    again[hit] = again[neighbour[hit]] = True
+    # suffixes that share the first `passage` bytes stand together; a stretch of them counts if it has two owners
+    starts = np.flatnonzero(plcp[order] < passage)
+    if not len(starts) or starts[0]:
+        starts = np.concatenate(([0], starts))
+    of = owner[order]
+    several = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
+    shared = np.zeros(len(data), dtype=bool)
+    shared[order] = np.repeat(several, np.diff(np.append(starts, len(order))))
+    return again, shared & whole(passage)

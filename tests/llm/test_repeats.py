@@ -27,22 +27,27 @@ def test_suffix_array_and_common_prefixes_equal_brute_force(monkeypatch):
                     assert plcp[i] == (k if j >= 0 else 0)
 
 
-def brute_bytes(rows, window):
+def brute_bytes(rows, window, passage=None):
+    passage = min(200, window // 2) if passage is None else passage
     starts = defaultdict(set)
     for k, (_, text) in enumerate(rows):  # equal rows are documents of their own
         data = (text or "").encode()
-        for i in range(len(data) - window + 1):
-            starts[data[i:i + window]].add((k, i))
+        for size in {window, passage}:
+            for i in range(len(data) - size + 1):
+                starts[data[i:i + size]].add((k, i))
     out = []
     for doc_id, text in rows:
         data = (text or "").encode()
-        gone = bytearray(len(data))
+        gone, shared = bytearray(len(data)), bytearray(len(data))
         for i in range(len(data) - window + 1):
             if len(starts[data[i:i + window]]) > 1:
                 gone[i:i + window] = b"\x01" * window
+        for i in range(len(data) - passage + 1):
+            if len({k for k, _ in starts[data[i:i + passage]]}) > 1:
+                shared[i:i + passage] = b"\x01" * passage
         spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(data)))
         kept = bytes(c for c, g in zip(data, gone) if not g)
-        out.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest(), sum(shared)))
     return sorted(out, key=str)
 
 
@@ -64,6 +69,18 @@ def test_bytes_of_hot_anchors_in_parts(spark, monkeypatch):
     assert found_bytes(table(spark, rows), 96) == brute_bytes(rows, 96)
 
 
+def test_passages_that_repeat_in_one_document_alone_and_in_two(spark):
+    """A passage of over 50 words, shorter than a window, in several documents, once or twice in each; another one twice in one document."""
+    passage, own = prose(71, 55), prose(72, 55)
+    assert 200 < len(passage.encode()) < 400
+    rows = [(1, f"{prose(1, 60)} {passage} {prose(2, 60)} {passage} {prose(3, 30)}"), (2, f"{prose(4, 70)} {passage}"), (3, f"{passage} {prose(5, 80)}"),
+            (4, f"{own} {prose(6, 60)} {own} {prose(7, 9)}"), (5, prose(8, 200))]
+    got = found_bytes(table(spark, rows), 400)
+    assert got == brute_bytes(rows, 400)
+    shared = {r[0]: r[5] for r in got}
+    assert shared[1] >= 2 * 200 <= 2 * shared[2] and shared[3] >= 200 and shared[4] == shared[5] == 0
+
+
 def test_bytes_of_edge_rows(spark, edges, empty):
     assert found_bytes(edges, 48) == brute_bytes(EDGES, 48)
     assert substring.dedup(edges).count() == len(EDGES) and substring.dedup(empty).count() == 0
