@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from catalog import cleaning, evaluation, features, models, neighbours, profiling, rules, splitting  # noqa: F401
+    from catalog import cleaning, evaluation, features, models, neighbours, profiling, rules, scoring, splitting  # noqa: F401

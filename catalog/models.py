@@ -272,20 +272,6 @@ def stream(spark, sf_dir):
     )
 
 
-@query("bundle_round_trip")
-def bundle_round_trip(spark, sf_dir):
-    """Predictions of a saved and reloaded bundle beside those of the original."""
-    bundle = trained(spark, sf_dir)
-    path = f"{ensure_checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
-    bundle.save(path)
-    loaded = Bundle.load(spark, path)
-    rows = _valid_rows(spark, sf_dir).drop("Stress_Level")
-    first = bundle.predict(rows).select("row_id", "model", F.col("predicted").alias("before"))
-    second = loaded.predict(rows).select("row_id", "model", F.col("predicted").alias("after"))
-    both = first.join(second, ["row_id", "model"])
-    return both.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") != F.col("after")).alias("different"))
-
-
 @query("embedding_kmeans")
 def embedding_kmeans(spark, sf_dir):
     """The sweep on 64 columns."""
