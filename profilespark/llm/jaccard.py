@@ -332,9 +332,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     rows, named = _classified(own)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "version")
-    placed = rows.select("id", "version", "node").join(named.select("node", "component"), "node", "left")
-    chosen = placed.filter("component is not null").groupBy("component").agg(F.min(order).alias("first")).select("first.id", "first.version")
-    chosen = chosen.unionByName(placed.filter("component is null").select("id", "version").distinct())
+    # of each set of shingles its first row, then of each class: however many copies, a task passes on one row of them
+    firsts = rows.filter("node is not null").groupBy("node").agg(F.min(order).alias("first"))
+    chosen = firsts.join(named.select("node", "component"), "node").groupBy("component").agg(F.min("first").alias("first")).select("first.id", "first.version")
+    chosen = chosen.unionByName(rows.filter("node is null").select("id", "version").distinct())
     version, kept_id, kept_version = free_names(docs.columns, "version", "kept_id", "kept_version")
     keyed = docs.withColumn(version, F.xxhash64(docs[text_col]))
     kept = chosen.select(F.col("id").alias(kept_id), F.col("version").alias(kept_version))
