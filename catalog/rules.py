@@ -127,9 +127,19 @@ def _sql_short(x: str) -> str:
     return f"regexp_replace(regexp_replace(cast(cast({x} as decimal(12,4)) as varchar), '0+$', ''), '\\.$', '')"
 
 
+# Fixed values, stated here apart from the code's own: what each rule compares, and its category, in the order of the rules.
+_RULE_LIMITS = (
+    ("Sleep_Hours_Per_Night", "<", 5.6, "Sleep"),
+    ("Sleep_Hours_Per_Night", ">", 8.3, "Sleep"),
+    ("Avg_Daily_Usage_Hours", ">", 6.3, "Screen time"),
+    ("Daily_Unlocks", ">", 204.0, "Digital interruptions"),
+    ("Physical_Activity_Hours", "<", 1.3, "Physical activity"),
+    ("Study_Hours", ">", 4.2, "Study balance"),
+)
+
+
 def _items_sql() -> str:
     """One select per rule: row_id, label, rank, relevance and the item's fields."""
-    limits = recommend.DEFAULT_THRESHOLDS
     platform = "coalesce(Most_Used_Platform, 'your most-used platform')"
     purpose = "coalesce(Purpose_Of_Use, 'your usual purpose')"
 
@@ -148,14 +158,12 @@ def _items_sql() -> str:
         return " || ".join(parts)
 
     selects = []
-    for rule in recommend.SURVEY_RULES.rules:
-        limit = limits[rule.feature][rule.threshold]
-        op = "<" if rule.side == "below" else ">"
+    for (feature, op, limit, category), rule in zip(_RULE_LIMITS, recommend.SURVEY_RULES.rules, strict=True):
         selects.append(
-            f"select row_id, Stress_Level, {_text(rule.category)} as category, {_text(rule.title)} as title, {fill(rule.reason, rule.feature)} as reason, "
-            f"{fill(rule.action, rule.feature)} as action, '{rule.feature}' as source_feature, {rule.feature} as observed_value, "
-            f"cast({limit} as double) as threshold_value, abs({rule.feature} - cast({limit} as double)) / greatest(cast({limit} as double), 1) as relevance "
-            f"from prepared where {rule.feature} {op} {limit}"
+            f"select row_id, Stress_Level, {_text(category)} as category, {_text(rule.title)} as title, {fill(rule.reason, feature)} as reason, "
+            f"{fill(rule.action, feature)} as action, '{feature}' as source_feature, {feature} as observed_value, "
+            f"cast({limit} as double) as threshold_value, abs({feature} - cast({limit} as double)) / greatest(cast({limit} as double), 1) as relevance "
+            f"from prepared where {feature} {op} {limit}"
         )
     rules = recommend.SURVEY_RULES
     selects.append(
