@@ -31,7 +31,7 @@ from profilespark.llm.text import free_names
 from profilespark.session import materialize
 
 BLOCK_ROWS = 4096
-#: checked before the list of sources, with their weights, goes to every task
+#: sources that are listed, with their weights, in every task; of more, the largest are, and the others are joined
 MOST_SOURCES = 100_000
 #: no source is repeated more often than this
 MOST_EPOCHS = 2.0
@@ -111,29 +111,65 @@ def with_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        words.cast("bigint").alias("n_tokens"))
 
 
-def counts_of(rows: DataFrame) -> list[tuple[str, int, int]]:
-    """Rows and tokens of each source. There are at most MOST_SOURCES, or weights make no sense and this says so."""
-    sums = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_tokens").alias("tokens"))
-    found = sums.limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: group them before mixing")
-    return [(r["source"], r["rows"], r["tokens"]) for r in found]
+def counts_of(rows: DataFrame) -> list[tuple[str, int, int]] | None:
+    """Rows and tokens of each source; None if there are more than MOST_SOURCES, which `wide_plan` is for."""
+    found = _sums(rows).limit(MOST_SOURCES + 1).collect()
+    return [(r["source"], r["rows"], r["tokens"]) for r in found] if len(found) <= MOST_SOURCES else None
 
 
-def realise(rows: DataFrame, mix: Mix, block_rows: int = BLOCK_ROWS, seed: int = 0) -> DataFrame:
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_tokens").alias("tokens"))
+
+
+def wide_plan(rows: DataFrame, repeats: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The same plan as a table (source, rows, blocks, whole, rest) of any number of sources.
+
+    How often the most repeated source is drawn depends on the smallest and the largest share alone, so the exponent is bisected on
+    these two, and one more sum over the sources gives the weights.
+    """
+    sums = materialize(_sums(rows))
+    total, least, most = sums.filter("tokens > 0").agg(F.sum("tokens"), F.min("tokens"), F.max("tokens")).first()
+    if not total:
+        return sums.select("source", "rows", F.lit(1).cast("bigint").alias("blocks"), F.lit(1).cast("bigint").alias("whole"), F.lit(0).cast("bigint").alias("rest"))
+    ends = np.array([least, most]) / total
+    exponent = exponent_for_repeats(ends, repeats)
+    power = F.pow(F.col("tokens") / float(total), F.lit(exponent))
+    norm = sums.filter("tokens > 0").agg(F.sum(power)).first()[0]
+    # of the largest source each document is drawn once: it is repeated the least
+    budget = F.ceil(F.round(power / norm * (float(most) / (ends[1] ** exponent / norm)), 3)).cast("bigint")
+    drawn = F.col("tokens") > 0
+    return sums.select(
+        "source", "rows", F.greatest(F.lit(1), F.ceil(F.col("rows") / block_rows)).cast("bigint").alias("blocks"),
+        F.when(drawn, F.floor(budget / F.col("tokens"))).otherwise(1).cast("bigint").alias("whole"),
+        F.when(drawn, budget % F.col("tokens")).otherwise(0).cast("bigint").alias("rest"),
+    )
+
+
+def _with_plan(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """`rows` with their source's plan: the largest sources', at most MOST_SOURCES, are in every task, and no other one is hot."""
+    sources = materialize(sources)
+    least = sources.agg(F.sum("rows")).first()[0] / MOST_SOURCES
+    large, small = sources.filter(F.col("rows") >= least).drop("rows"), sources.filter(F.col("rows") < least).drop("rows")
+    near = rows.join(F.broadcast(large), "source")
+    return near.unionByName(rows.join(F.broadcast(large.select("source")), "source", "left_anti").join(small, "source"))
+
+
+def realise(rows: DataFrame, mix: Mix | DataFrame, block_rows: int = BLOCK_ROWS, seed: int = 0) -> DataFrame:
     """Every drawn (doc_id, source, n_tokens, epoch, block): a document appears once for each epoch that draws it.
 
-    In each block, documents are in the order of `place`, a hash; blocks are in order of their number.
+    `mix` is a plan, or the table of `wide_plan`. In each block, documents are in the order of `place`, a hash; blocks are in order of their number.
     """
-    spark = rows.sparkSession
-    per_source = []
-    for source, n, tokens, budget in zip(mix.sources, mix.rows, mix.tokens, mix.budgets):
-        whole, rest = divmod(budget, tokens) if tokens else (1, 0)
-        per_source.append((source, max(1, math.ceil(n / block_rows)), int(whole), int(rest)))
-    sources = spark.createDataFrame(per_source, "source string, blocks bigint, whole bigint, rest bigint")
-    # one row per source, so no larger than the list that the driver made it from
-    known = rows.join(F.broadcast(sources), "source").withColumn("epoch", F.explode(F.expr(
-        "sequence(cast(1 as bigint), whole + if(rest > 0, 1, 0))" if mix.sources else "array(cast(1 as bigint))")))
+    if isinstance(mix, Mix):
+        per_source = []
+        for source, n, tokens, budget in zip(mix.sources, mix.rows, mix.tokens, mix.budgets):
+            whole, rest = divmod(budget, tokens) if tokens else (1, 0)
+            per_source.append((source, max(1, math.ceil(n / block_rows)), int(whole), int(rest)))
+        sources = rows.sparkSession.createDataFrame(per_source, "source string, blocks bigint, whole bigint, rest bigint")
+        # one row per source, so no larger than the list that the driver made it from
+        known = rows.join(F.broadcast(sources), "source")
+    else:
+        known = _with_plan(rows, mix)
+    known = known.withColumn("epoch", F.explode(F.expr("sequence(cast(1 as bigint), whole + if(rest > 0, 1, 0))")))
     known = known.withColumn("place", F.xxhash64(F.lit(seed), "source", "epoch", "doc_id"))
     known = known.withColumn("block", F.pmod(F.shiftright("place", 20), F.col("blocks"))).drop("blocks")
     whole = known.filter("epoch <= whole")
@@ -161,7 +197,13 @@ def realise(rows: DataFrame, mix: Mix, block_rows: int = BLOCK_ROWS, seed: int =
 def mixed(docs: DataFrame, repeats: float = MOST_EPOCHS) -> DataFrame:
     """All draws of the documents, weights from the corpus itself."""
     rows = materialize(with_tokens(docs))  # read by four jobs: words are counted once
-    return realise(rows, plan(counts_of(rows), repeats=repeats))
+    return realise(rows, planned(rows, repeats))
+
+
+def planned(rows: DataFrame, repeats: float) -> Mix | DataFrame:
+    """The plan of few sources as a list, of many as a table."""
+    counts = counts_of(rows)
+    return wide_plan(rows, repeats) if counts is None else plan(counts, repeats=repeats)
 
 
 def repeated_rows(docs: DataFrame, repeats: float = MOST_EPOCHS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -171,7 +213,7 @@ def repeated_rows(docs: DataFrame, repeats: float = MOST_EPOCHS, id_col: str = "
     Columns of any name pass through.
     """
     rows = materialize(with_tokens(docs, id_col, text_col, source_col))
-    again = realise(rows, plan(counts_of(rows), repeats=repeats)).filter("epoch > 1")
+    again = realise(rows, planned(rows, repeats)).filter("epoch > 1")
     again = again.groupBy("doc_id", "source", "epoch").agg(F.lit(1).alias("one")).groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("times"))
     own_source, drawn_id, drawn_source, times, copy = free_names(docs.columns, "own_source", "drawn_id", "drawn_source", "times", "copy")
     keyed = docs.withColumn(own_source, F.coalesce(docs[source_col], F.lit("")))

@@ -181,3 +181,20 @@ def test_columns_of_any_name_pass_through(spark, edges):
     again = mixing.repeated_rows(docs)
     assert again.columns == docs.columns and again.count() >= len(EDGES)
     assert {r["copy"] for r in again.collect()} == {"copy"} and {r.times for r in again.collect()} == {"times"}
+
+
+@pytest.mark.parametrize("repeats", [1.3, 2.0, 100.0])
+def test_more_sources_than_are_listed(spark, monkeypatch, repeats):
+    """Forty sources, one of them with a third of all rows, one without a word: the plan as a table draws what the list draws."""
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), "en", "hot" if i % 3 == 0 else "mute" if i % 41 == 1 else f"s{i % 38}", 9) for i in range(900)]
+    rows = [(i, "" if s == "mute" else t, a, s, n) for i, t, a, s, n in rows] + [(5000, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(4)
+
+    def drawn():
+        return sorted(map(tuple, mixing.mixed(docs, repeats).select("doc_id", "source", "n_tokens", "epoch", "block", "place").collect()))
+
+    listed = drawn()
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 5)
+    assert mixing.counts_of(mixing.with_tokens(docs)) is None
+    assert drawn() == listed
+    assert mixing.mixed(docs.filter("source = 'mute'")).count() == sum(r[3] == "mute" for r in rows)
