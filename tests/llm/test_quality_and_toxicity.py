@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from conftest_llm import EDGES, corpus, prose, table
 from profilespark.llm import quality, toxicity
@@ -139,3 +140,36 @@ def test_one_row_for_each_id_and_a_failure_that_is_seen(spark):
     toxic, ordinary = next(i for i in few if i % 4 == 0), [i for i in few if i % 4][:20]
     with pytest.raises(ValueError, match="too few"):
         toxicity.fit(table(spark, rows), labels.filter(labels.doc_id.isin([toxic, *ordinary])))
+
+
+def plain_score(model, text):
+    """The score worked out window by window, with compressors made here."""
+    parameters = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_LAZY2, min_match=4, search_log=4, target_length=32, window_log=17, hash_log=15, chain_log=16,
+        write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def compressed(content, window):
+        dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters).compress(window))
+
+    data, cut, start = (text or "").lower().encode(), [], 0
+    while len(data) - start > toxicity.WINDOW:
+        at = data.rfind(b" ", start + 1, start + toxicity.WINDOW + 1)
+        at = at if at > start else start + toxicity.WINDOW
+        cut.append(data[start:at])
+        start = at
+    cut += [data[start:]] if start < len(data) else []
+    saved = [compressed(model.ordinary, w) - compressed(model.toxic + model.ordinary, w) for w in cut]
+    n = max(1, len(saved))
+    above = [sum(max(0, s - least) for s in saved) for least in range(3)]
+    x = [above[0] / n, above[1] / n, above[2] / n, sum(s > 2 for s in saved) / n, sum(s > 3 for s in saved) / n, above[1] / (n + 10), above[1] / (n + 30)]
+    total = model.bias + sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.scale))
+    return 1 / (1 + np.exp(-total))
+
+
+def test_scores_equal_a_serial_scorer(spark):
+    rows = [(i, toxic_text(i) if i % 4 == 0 else prose(i, 20 + i % 60)) for i in range(120)] + [(500, None), (501, ""), (502, "Ünï " * 40), (503, "x" * 300)]
+    docs = table(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id bigint, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert got == {i: pytest.approx(plain_score(model, t), abs=1e-8) for i, t in rows}
