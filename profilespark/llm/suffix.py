@@ -3,7 +3,7 @@
 `suffix_array` classifies suffixes as smaller (S) or larger (L) than the next, sorts the leftmost-smaller
 substrings by induction, names them, sorts the string of names by recursion where names repeat, and induces the order of all
 suffixes from that of the leftmost smaller ones. At byte alphabets each bucket is induced in waves of whole arrays;
-the strings of names, a third as long, are induced one by one.
+the strings of names, a third as long, are induced one by one, and their substrings are sorted value by value where these are short.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import numpy as np
 
 #: alphabets up to this size are induced bucket by bucket with whole arrays
 WAVE_ALPHABET = 1024
+#: substrings over larger alphabets that are equal for longer are sorted by induction
+REFINED = 256
 
 
 def suffix_array(text: np.ndarray, alphabet: int) -> np.ndarray:
@@ -22,10 +24,12 @@ def suffix_array(text: np.ndarray, alphabet: int) -> np.ndarray:
     smaller = _smaller(text)
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     induce = _induce_waves if alphabet <= WAVE_ALPHABET else _induce_singly
-    order = induce(text, smaller, leftmost, alphabet)
-    is_leftmost = np.zeros(n, dtype=bool)
-    is_leftmost[leftmost] = True
-    by_substring = order[is_leftmost[order]]
+    by_substring = _refined(text, smaller, leftmost) if alphabet > WAVE_ALPHABET else None
+    if by_substring is None:
+        order = induce(text, smaller, leftmost, alphabet)
+        is_leftmost = np.zeros(n, dtype=bool)
+        is_leftmost[leftmost] = True
+        by_substring = order[is_leftmost[order]]
     names = _names(text, leftmost, by_substring)
     at = np.zeros(n, dtype=np.int64)
     at[by_substring] = names
@@ -64,6 +68,37 @@ def _names(text: np.ndarray, leftmost: np.ndarray, order: np.ndarray) -> np.ndar
     return np.concatenate(([0], np.cumsum(~same)))
 
 
+def _refined(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray) -> np.ndarray | None:
+    """The leftmost-smaller substrings in order, value by value: groups of equal beginnings are sorted by their next value.
+
+    Of equal values, that of a larger suffix comes first; so none of two different substrings is the beginning of the other.
+    None if some are equal for more than REFINED values, which induction sorts in linear time.
+    """
+    codes = 2 * text + smaller
+    until = np.append(leftmost[1:], leftmost[-1])
+    order = np.argsort(codes[leftmost], kind="stable")
+    first = codes[leftmost[order]]
+    held = np.arange(len(order))
+    new = np.concatenate(([True], first[1:] != first[:-1]))
+    group = held[new][np.cumsum(new) - 1]
+    for k in range(1, REFINED):
+        own = group[held]
+        same = own[1:] == own[:-1]
+        # a group of one is done, and one whose substrings end here is equal
+        held = held[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+        held = held[leftmost[order[held]] + k <= until[order[held]]]
+        if not len(held):
+            return leftmost[order]
+        own, at = group[held], order[held]
+        code = codes[leftmost[at] + k]
+        by = np.lexsort((code, own))
+        order[held], code = at[by], code[by]
+        # groups are numbered by the place of their first one, so that splitting one leaves the others as they are
+        new = np.concatenate(([True], (own[1:] != own[:-1]) | (code[1:] != code[:-1])))
+        group[held] = held[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return None
+
+
 def _append(order: np.ndarray, values: np.ndarray, text: np.ndarray, free: np.ndarray, step: int) -> None:
     """Puts values at the next free places of their buckets, in their order."""
     if not len(values):
@@ -80,6 +115,7 @@ def _append(order: np.ndarray, values: np.ndarray, text: np.ndarray, free: np.nd
 
 def _induce_waves(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, alphabet: int) -> np.ndarray:
     n = len(text)
+    text = text.astype(np.uint16)  # numpy sorts 16-bit keys by radix
     sizes = np.bincount(text, minlength=alphabet)
     ends = np.cumsum(sizes)
     starts = ends - sizes
@@ -114,32 +150,33 @@ def _induce_singly(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray,
     n = len(text)
     sizes = np.bincount(text, minlength=alphabet)
     ends = np.cumsum(sizes)
-    values, is_smaller = text.tolist(), smaller.tolist()
+    # by place: the value before it, if that suffix is induced from this one in the pass, else -1; place -1, of free slots, is the last
+    before = np.full(n + 1, -1, dtype=np.int64)
+    before[1:n] = text[:-1]
+    turn = np.concatenate(([False], smaller[:-1], [False]))
+    of_larger, of_smaller = np.where(turn, -1, before).tolist(), np.where(turn, before, -1).tolist()
     order = [-1] * n
     tail = (ends - 1).tolist()
-    for p in leftmost[::-1].tolist():
-        c = values[p]
+    for p, c in zip(leftmost[::-1].tolist(), text[leftmost[::-1]].tolist()):
         order[tail[c]] = p
         tail[c] -= 1
     head = (ends - sizes).tolist()
     for p in order:  # the list grows in front of the place that is read
-        if p > 0:
-            p -= 1
-            if not is_smaller[p]:
-                c = values[p]
-                order[head[c]] = p
-                head[c] += 1
+        c = of_larger[p]
+        if c >= 0:
+            at = head[c]
+            order[at] = p - 1
+            head[c] = at + 1
     tail = (ends - 1).tolist()
-    order[tail[values[n - 1]]] = n - 1
-    tail[values[n - 1]] -= 1
-    for i in range(n - 1, -1, -1):
-        p = order[i]
-        if p > 0:
-            p -= 1
-            if is_smaller[p]:
-                c = values[p]
-                order[tail[c]] = p
-                tail[c] -= 1
+    c = int(text[n - 1])
+    order[tail[c]] = n - 1
+    tail[c] -= 1
+    for p in reversed(order):  # here too, towards its start
+        c = of_smaller[p]
+        if c >= 0:
+            at = tail[c]
+            order[at] = p - 1
+            tail[c] = at - 1
     return np.array(order, dtype=np.int64)
 
 

@@ -13,8 +13,9 @@ def test_suffix_array_and_common_prefixes_equal_brute_force(monkeypatch):
     draw = random.Random(3)
     texts = [bytes(draw.choice(b"ab" if k % 2 else b"abcd") for _ in range(draw.randint(0, 60))) for k in range(400)]
     texts += [t * 3 + t[:7] + b"\xff" + t for t in texts[:60]] + [b"a" * 300, b""]
-    for alphabet in (1024, 0):  # whole arrays, then one by one
+    for alphabet, refined in ((1024, 256), (0, 256), (0, 3), (0, 0)):  # whole arrays; one by one, substrings value by value or induced
         monkeypatch.setattr(suffix, "WAVE_ALPHABET", alphabet)
+        monkeypatch.setattr(suffix, "REFINED", refined)
         for t in texts:
             order = suffix.suffix_array(np.append(np.frombuffer(t, np.uint8).astype(np.int64) + 1, 0), 257)
             assert order.tolist() == sorted(range(len(t) + 1), key=lambda i: t[i:])
