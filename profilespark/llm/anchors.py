@@ -65,6 +65,28 @@ def anchors(hashes: np.ndarray, width: int, offsets: np.ndarray) -> np.ndarray:
     return places[keep]
 
 
+#: bits in one piece of a bitmap: 32 KB, so that the driver gets a few hundred rows at most, never one per word
+PIECE_BITS = 1 << 18
+
+
+def bitmap_of(places: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of `bits` bits with those of a column `bit` set; its pieces are made in tasks, and the driver only joins their bytes."""
+
+    def piece(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        bit = rows["bit"].to_numpy() - key[0].as_py() * PIECE_BITS
+        own = np.zeros(min(PIECE_BITS, bits), dtype=np.uint8)
+        own[bit] = 1
+        return pa.table({"piece": [key[0].as_py()], "set": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
+
+    rows = places.select("bit", F.floor(F.col("bit") / PIECE_BITS).alias("piece")).groupBy("piece").applyInArrow(piece, "piece bigint, set binary")
+    whole = np.zeros(-(-bits // PIECE_BITS) * PIECE_BITS // 8, dtype=np.uint8)
+    for row in rows.collect():
+        own = np.frombuffer(row["set"], dtype=np.uint8)
+        at = row["piece"] * PIECE_BITS // 8
+        whole[at:at + len(own)] = own
+    return whole.view("<u4")[:bits // 32].copy()
+
+
 def repeated(seeds: DataFrame, hot_share: float = HOT_SHARE) -> tuple[np.ndarray, dict[int, int], int]:
     """(bitmap of the hashes that occur more than once, parts to deal each hot hash into, their occurrences) from (seed, n) rows."""
     counts = materialize(seeds.groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1"))
@@ -72,10 +94,7 @@ def repeated(seeds: DataFrame, hot_share: float = HOT_SHARE) -> tuple[np.ndarray
     bits = min(BITMAP_BITS, max(1 << 12, 32 * (distinct // 2 + 1)))
     most = max(HOT_LEAST, hot_share * total)
     hot = counts.filter(F.col("n") > most).select("seed", F.ceil(F.col("n") / most).alias("parts")).collect()
-    words = counts.select(F.pmod("seed", F.lit(bits)).alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(cast(1 as bigint), cast(bit & 31 as int))")).alias("set")).toPandas()
-    bitmap = np.zeros(bits // 32, dtype=np.uint32)
-    bitmap[words["word"].to_numpy(dtype=np.int64)] = words["set"].to_numpy(dtype=np.int64).astype(np.uint32)
+    bitmap = bitmap_of(counts.select(F.pmod("seed", F.lit(bits)).alias("bit")), bits)
     return bitmap, {r["seed"]: int(r["parts"]) for r in hot}, int(total)
 
 

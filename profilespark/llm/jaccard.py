@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profilespark.functions.clean import quoted
+from profilespark.llm.anchors import bitmap_of
 from profilespark.llm.components import components
 from profilespark.llm.text import Words, chunks, encoded, free_names, inside, mix, run_hash, sliced
 from profilespark.session import materialize
@@ -136,11 +137,7 @@ def _bitmap(wanted: DataFrame) -> np.ndarray:
     def place(node: pd.Series, first_id: pd.Series) -> pd.Series:
         return pd.Series(_mark(node.to_numpy(dtype=np.int64), first_id.to_numpy(dtype=np.int64), bits))
 
-    words = wanted.select(place("node", "first_id").alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(cast(1 as bigint), cast(bit & 31 as int))")).alias("set")).toPandas()
-    bitmap = np.zeros(bits // 32, dtype=np.uint32)
-    bitmap[words["word"].to_numpy(dtype=np.int64)] = words["set"].to_numpy(dtype=np.int64).astype(np.uint32)
-    return bitmap
+    return bitmap_of(wanted.select(place("node", "first_id").alias("bit")), bits)
 
 
 def _sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:

@@ -62,6 +62,17 @@ def test_bytes_removed_equal_brute_force(spark, documents, window):
     assert found_bytes(documents.filter("doc_id <> 68"), window) == brute_bytes(rows, window)
 
 
+@pytest.mark.parametrize("bits", [1 << 12, 32 * 12345, 1 << 20])
+def test_a_bitmap_reaches_the_driver_in_few_rows(spark, monkeypatch, bits):
+    places = np.unique(np.concatenate((np.random.default_rng(bits).integers(0, bits, 3000), [0, 31, bits - 1])))
+    rows = spark.createDataFrame([(int(b),) for b in [*places, *places[:50]]], "bit bigint")
+    bitmap = anchors.bitmap_of(rows, bits)
+    assert bitmap.dtype == np.uint32 and len(bitmap) == bits // 32
+    assert np.array_equal(np.flatnonzero((bitmap[np.arange(bits) >> 5] >> (np.arange(bits) & 31).astype(np.uint32)) & 1), places)
+    # a bitmap at the bound comes in 512 rows; one of its words a row were 4,194,304
+    assert anchors.BITMAP_BITS // anchors.PIECE_BITS == 512
+
+
 def test_bytes_of_hot_anchors_in_parts(spark, monkeypatch):
     monkeypatch.setattr(anchors, "HOT_LEAST", 2)
     monkeypatch.setattr(anchors, "HOT_SHARE", 0.0)
