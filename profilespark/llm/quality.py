@@ -1,8 +1,9 @@
 """Quality rules: base statistics, and a hashed n-gram log-likelihood ratio against the raw corpus.
 
-Two multinomials over hashed words and word pairs: one of a trusted sample, one of all documents.
+Two multinomials over hashed words and word pairs: one of trusted documents, one of all documents.
 A document's score is the mean over its n-grams of log p_trusted - log p_raw; it is kept if the
-score reaches a threshold that all but a small share of held-out trusted documents reach.
+score reaches a threshold that all but a small share of held-out trusted documents reach. Every trusted
+document takes part: half of them in the ratios, the others in the threshold.
 
 Counting is one pass that sums arrays inside each task, so the shuffle has at most 2 x BUCKETS rows
 per task; the table of ratios has BUCKETS numbers whatever the corpus. Scoring is a second pass.
@@ -21,15 +22,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profilespark.llm.sampling import labelled_sample
+from profilespark.llm.sampling import labelled
 from profilespark.llm.text import Words, chunks, encoded, inside, mix, per_text, run_hash
+from profilespark.session import materialize
 
 BUCKETS = 1 << 16
-#: bound on the trusted rows that the model learns from, and on those that set the threshold
-TRUSTED_ROWS = 20_000
 #: share of the trusted rows that may fall below the threshold
 TRUSTED_LOSS = 0.002
-#: the threshold lies this far below that share's score, for documents unlike the sample
+#: the threshold lies this far below that share's score, for documents unlike the trusted ones
 MARGIN = 0.05
 SMOOTHING = 1.0
 MIN_WORDS = 50
@@ -57,7 +57,7 @@ def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gram_counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts per bucket over all documents, and over those whose id is in `trusted` (bounded)."""
+    """Counts per bucket over all documents, and over those whose id is in `trusted`."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         raw, target = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
@@ -71,7 +71,7 @@ def gram_counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.nda
         yield pd.DataFrame({"bucket": used, "raw": raw[used], "target": target[used]})
 
     marked = docs.select("doc_id", "text").join(
-        F.broadcast(trusted.select("doc_id", F.lit(True).alias("trusted"))), "doc_id", "left"
+        trusted.select("doc_id", F.lit(True).alias("trusted")), "doc_id", "left"
     ).select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     rows = marked.mapInPandas(count, "bucket bigint, raw bigint, target bigint")
     sums = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
@@ -98,20 +98,26 @@ def _scores(texts: list[bytes], ratio: np.ndarray) -> np.ndarray:
     return np.round(out, 9)
 
 
-def fit(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> QualityModel:
-    """Learn from documents labelled `quality = 1`: half of a bounded sample sets the ratios, half the threshold."""
-    sample = labelled_sample(labels.select("doc_id", "quality").filter("quality = 1"), trusted_rows)
+def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """Learn from all documents labelled `quality = 1`: half of them set the ratios, half the threshold."""
+    trusted = labelled(labels.select("doc_id", "quality").filter("quality = 1"))
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
-    ratio = log_ratio(*gram_counts(docs, sample.filter(half == 0)))
+    ratio = log_ratio(*gram_counts(docs, trusted.filter(half == 0)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"score": _scores(encoded(batch["text"]), ratio)})
 
-    held_out = docs.select("doc_id", "text").join(F.broadcast(sample.filter(half == 1).select("doc_id")), "doc_id", "left_semi")
-    scores = held_out.select("text").mapInPandas(score, "score double").toPandas()["score"].to_numpy()
-    threshold = float(np.quantile(scores, TRUSTED_LOSS, method="lower")) - MARGIN if len(scores) else -np.inf
-    return QualityModel(ratio, threshold)
+    held_out = docs.select("doc_id", "text").join(trusted.filter(half == 1).select("doc_id"), "doc_id", "left_semi")
+    scores = materialize(held_out.select("text").mapInPandas(score, "score double"))
+    return QualityModel(ratio, lower_quantile(scores, TRUSTED_LOSS) - MARGIN)
+
+
+def lower_quantile(scores: DataFrame, share: float) -> float:
+    """The score that `share` of all rows lie below, rounded down to one that occurs; -inf without rows."""
+    least = scores.orderBy("score").limit(int(np.floor(share * max(scores.count() - 1, 0))) + 1)
+    found = least.agg(F.max("score")).first()[0]
+    return -np.inf if found is None else float(found)
 
 
 def _per_text(mask: np.ndarray, words: Words) -> np.ndarray:

@@ -54,6 +54,19 @@ def test_the_ratio_equals_brute_force(spark):
     assert quality._scores(encoded([docs[0][1]]), ratio)[0] == pytest.approx(ratio[buckets].mean(), abs=1e-8)
 
 
+def test_every_trusted_document_takes_part(spark):
+    """Those beyond the first 20,000 too, in whichever order; the threshold is the exact lower quantile."""
+    ids = spark.range(20_400).withColumnRenamed("id", "doc_id")
+    last = {r.doc_id for r in ids.orderBy(quality.F.xxhash64("doc_id")).collect()[20_000:]}
+    docs = spark.createDataFrame([(i, "zebra" if i in last else f"plain {i % 50}") for i in range(20_400)], "doc_id bigint, text string")
+    model = quality.fit(docs, ids.withColumn("quality", quality.F.lit(1)))
+    assert model.ratio[quality._grams(quality.Words(encoded(["zebra"])))[0][0]] > -2
+    for n in (0, 1, 499, 501, 1001):
+        scores = np.round(np.random.default_rng(n).normal(size=n), 3)
+        found = quality.lower_quantile(spark.createDataFrame([(float(x),) for x in scores], "score double"), 0.002)
+        assert found == (np.quantile(scores, 0.002, method="lower") if n else -np.inf)
+
+
 def test_edge_rows(spark, documents, edges, empty, labels):
     model = quality.fit(edges, labels)
     assert quality.judge(edges, model).count() == len(EDGES) and quality.judge(empty, model).count() == 0
