@@ -5,8 +5,8 @@ A document's score is the mean over its n-grams of log p_trusted - log p_raw; it
 score reaches a threshold that all but a small share of held-out trusted documents reach. Every trusted
 document takes part: half of them in the ratios, the others in the threshold.
 
-Counting is one pass that sums arrays inside each task, so the shuffle has at most 2 x BUCKETS rows
-per task; the table of ratios has BUCKETS numbers whatever the corpus. Scoring is a second pass.
+Counting sums arrays inside each task, so the shuffle has at most BUCKETS rows per task, and the table of ratios has
+BUCKETS numbers whatever the corpus. Beside them only the texts of trusted documents are shuffled. Scoring is a second pass.
 
 Null and empty texts have no words and fail the base rules. Without trusted rows all ratios are 0 and
 every document that passes the base rules is kept.
@@ -19,9 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from profilespark.llm.anchors import BITMAP_BITS, bitmap_of
 from profilespark.llm.sampling import labelled
 from profilespark.llm.text import Words, chunks, encoded, inside, mix, per_text, run_hash
 from profilespark.session import materialize
@@ -56,28 +58,45 @@ def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return buckets.astype(np.int64), np.concatenate((document, document[pair_at]))
 
 
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """`text` of the documents whose id is among `ids`, distinct ones.
+
+    A bitmap of the ids leaves out most other documents where they are read, so the exact join shuffles about as much text as it keeps; the ids
+    themselves, which grow with the corpus, go to no worker as a whole. The kind of join is fixed: its cost does not jump with the size.
+    """
+    known = materialize(ids.select("doc_id"))
+    bits = min(BITMAP_BITS, max(1 << 12, 32 * (known.count() // 2 + 1)))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(bits))
+    bitmap = bitmap_of(known.select(place.alias("bit")), bits)
+
+    @F.arrow_udf("boolean")
+    def may_be(bit: pa.Array) -> pa.Array:
+        at = bit.to_numpy(zero_copy_only=False)
+        return pa.array((bitmap[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+
+    marked = docs.select("doc_id", "text").filter(may_be(place))
+    return marked.join(known.hint("merge"), "doc_id", "left_semi").select("text")
+
+
 def gram_counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Counts per bucket over all documents, and over those whose id is in `trusted`."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        raw, target = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+        counts = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            texts, is_target = encoded(batch["text"]), batch["trusted"].to_numpy(dtype=bool)
+            texts = encoded(batch["text"])
             for a, b in chunks(texts):
-                buckets, document = _grams(Words(texts[a:b]))
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                target += np.bincount(buckets[is_target[a:b][document]], minlength=BUCKETS)
-        used = np.flatnonzero(raw)
-        yield pd.DataFrame({"bucket": used, "raw": raw[used], "target": target[used]})
-
-    marked = docs.select("doc_id", "text").join(
-        trusted.select("doc_id", F.lit(True).alias("trusted")), "doc_id", "left"
-    ).select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    rows = marked.mapInPandas(count, "bucket bigint, raw bigint, target bigint")
-    sums = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[sums["bucket"]], target[sums["bucket"]] = sums["raw"], sums["target"]
-    return raw, target
+                counts += np.bincount(_grams(Words(texts[a:b]))[0], minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        yield pd.DataFrame({"bucket": used, "n": counts[used]})
+
+    def total(texts: DataFrame) -> np.ndarray:
+        sums = texts.mapInPandas(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+        out = np.zeros(BUCKETS)
+        out[sums["bucket"]] = sums["n"]
+        return out
+
+    return total(docs.select("text")), total(texts_of(docs, trusted))
 
 
 def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -108,8 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
         for batch in batches:
             yield pd.DataFrame({"score": _scores(encoded(batch["text"]), ratio)})
 
-    held_out = docs.select("doc_id", "text").join(trusted.filter(half == 1).select("doc_id"), "doc_id", "left_semi")
-    scores = materialize(held_out.select("text").mapInPandas(score, "score double"))
+    scores = materialize(texts_of(docs, trusted.filter(half == 1)).mapInPandas(score, "score double"))
     return QualityModel(ratio, lower_quantile(scores, TRUSTED_LOSS) - MARGIN)
 
 
