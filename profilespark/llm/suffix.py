@@ -201,26 +201,24 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _shared(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Number of equal bytes from each pair of places, eight at a time, then one at a time."""
+    """Number of equal bytes from each pair of places, eight at a time; the lowest bit in which eight differ tells how many of these are equal."""
     n = len(data)
     padded = np.concatenate((data, np.zeros(16, dtype=np.uint8)))
-    eight = np.zeros(n + 8, dtype=np.uint64)
-    for k in range(8):
-        eight |= padded[k:k + n + 8].astype(np.uint64) << np.uint64(8 * k)
+    eight = np.ndarray(n + 8, dtype="<u8", buffer=padded, strides=(1,))
+    most = n - np.maximum(a, b)
     out = np.zeros(len(a), dtype=np.int64)
-    active = np.arange(len(a))
+    active = np.flatnonzero(most > 0)
+    x, y = a[active], b[active]
     while len(active):
-        x, y = a[active] + out[active], b[active] + out[active]
-        inside = (x <= n - 8) & (y <= n - 8)
-        active = active[inside][eight[x[inside]] == eight[y[inside]]]
+        differ = eight[x] ^ eight[y]
+        ends = differ != 0
+        last = differ[ends]
+        out[active[ends]] += (np.frexp((last & (~last + np.uint64(1))).astype(float))[1] - 1) >> 3
+        active, x, y = active[~ends], x[~ends] + 8, y[~ends] + 8
         out[active] += 8
-    active = np.arange(len(a))
-    for _ in range(8):
-        x, y = a[active] + out[active], b[active] + out[active]
-        inside = (x < n) & (y < n)
-        active = active[inside][data[x[inside]] == data[y[inside]]]
-        out[active] += 1
-    return out
+        inside = out[active] < most[active]
+        active, x, y = active[inside], x[inside], y[inside]
+    return np.minimum(out, most)
 
 
 def repeated_places(data: np.ndarray, length: int, passage: int, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -28,6 +29,22 @@ def test_suffix_array_and_common_prefixes_equal_brute_force(monkeypatch):
                     assert plcp[i] == (k if j >= 0 else 0)
 
 
+def test_shared_bytes_of_two_places_up_to_the_end():
+    draw = np.random.default_rng(5)
+    for n in (2, 7, 8, 9, 15, 16, 17, 40, 300):
+        data = np.repeat(draw.choice([0, 1, 128, 255], n), draw.integers(1, 20, n))[:n].astype(np.uint8)
+        a, b = draw.integers(0, n, (2, 80))
+        a, b = a[a != b], b[a != b]
+        plain = [next((k for k in range(n - max(x, y)) if data[x + k] != data[y + k]), n - max(x, y)) for x, y in zip(a, b)]
+        assert suffix._shared(data, a, b).tolist() == plain
+    data = np.zeros(1 << 20, dtype=np.uint8)
+    tracemalloc.start()
+    assert suffix._shared(data, np.array([0]), np.array([len(data) - 5])).tolist() == [5]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2 * len(data)  # one copy of the bytes, not eight bytes for each
+
+
 def brute_bytes(rows, window, passage=None):
     passage = min(200, window // 2) if passage is None else passage
     starts = defaultdict(set)
