@@ -48,6 +48,9 @@ MAX_PIVOTS = 1 << 16
 #: rows in a leaf of the tree that a task searches, and leaves that are searched at once
 LEAF_ROWS = 256
 LEAVES_AT_ONCE = 16
+#: a side is cut at its gap if one part in so many lies beyond it, and the gap times this is no less than the widest side
+GAP_SHARE = 16
+GAP_WORTH = 8
 #: numbers in the points of an index that goes to every worker
 LOCAL_CELLS = 1 << 22
 #: a search that asks for at most so many cells reads only these
@@ -76,8 +79,12 @@ def _top_k(distance: np.ndarray, k: int) -> list[np.ndarray]:
     return found
 
 
-def _leaves(x: np.ndarray, rows: int = LEAF_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """(rows in order of their leaf, where each leaf begins, and the end): halves along the widest side, down to `rows`."""
+def _leaves(x: np.ndarray, rows: int = LEAF_ROWS, gaps: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(rows in order of their leaf, where each leaf begins, and the end), down to `rows`: halves along the widest side, unless there is a wide gap.
+
+    Sides with a gap in the middle, as the 0 and 1 of a category's columns have, are cut there: no region then reaches across.
+    Without `gaps` no side is; cells lie around pivots, so they reach across all the same.
+    """
     order, edges, todo = np.arange(len(x)), [0], [(0, len(x))]
     while todo:
         a, b = todo.pop()
@@ -86,7 +93,19 @@ def _leaves(x: np.ndarray, rows: int = LEAF_ROWS) -> tuple[np.ndarray, np.ndarra
             continue
         own, half = order[a:b], (b - a) // 2
         inside = x[own]
-        side = int((inside.max(axis=0) - inside.min(axis=0)).argmax())
+        low, high = inside.min(axis=0), inside.max(axis=0)
+        side = int((high - low).argmax())
+        upper = inside > (low + high) / 2
+        count = upper.sum(axis=0)
+        # halves may differ in size, but not so much that the tree gets deep
+        fair = np.flatnonzero(np.minimum(count, b - a - count) * GAP_SHARE >= b - a)
+        if gaps and len(fair):
+            sides, above = inside[:, fair], upper[:, fair]
+            gap = np.where(above, sides, np.inf).min(axis=0) - np.where(above, -np.inf, sides).max(axis=0)
+            gap[2 * gap < high[fair] - low[fair]] = 0.0
+            if gap.max() * GAP_WORTH >= high[side] - low[side]:
+                best = int(gap.argmax())
+                side, half = int(fair[best]), b - a - int(count[fair[best]])
         order[a:b] = own[np.argpartition(inside[:, side], half)]
         todo += [(a + half, b), (a, a + half)]
     return order, np.array(edges)
@@ -385,7 +404,7 @@ class NeighborIndex:
 
     def shards(self) -> np.ndarray:
         """The shard of each cell: cells of one region, as many as hold about a block of rows."""
-        order, _ = _leaves(self.cells.pivots, 1)
+        order, _ = _leaves(self.cells.pivots, 1, gaps=False)
         before = np.cumsum(self.counts[order]) - self.counts[order]
         out = np.zeros(len(order), dtype=np.int64)
         out[order] = np.unique(before // self.shard_rows, return_inverse=True)[1]
@@ -540,26 +559,57 @@ def vote(neighbors_col: str, k: int, weights: str, classes: Sequence[str]) -> di
     "uniform": one vote each. "distance": votes of 1/distance; when exact matches exist,
     only they vote. The label that is first in text order wins ties.
     """
-    first = F.slice(F.col(neighbors_col), 1, k)
-    if weights == "uniform":
-        weighted = F.transform(first, lambda n: F.struct(n.label.alias("label"), F.lit(1.0).alias("w")))
-    elif weights == "distance":
-        exact = F.exists(first, lambda n: n.d2 == 0)
-        weighted = F.transform(
-            first,
-            lambda n: F.struct(
-                n.label.alias("label"),
-                F.when(exact, F.when(n.d2 == 0, 1.0).otherwise(0.0)).otherwise(1.0 / F.sqrt(n.d2)).alias("w"),
-            ),
-        )
-    else:
+    if weights not in ("uniform", "distance"):
         raise ValueError("weights must be 'uniform' or 'distance'")
-
-    def share(name: str) -> Column:
-        own = F.filter(weighted, lambda n: n.label == F.lit(name))
-        return F.aggregate(own, F.lit(0.0), lambda s, n: s + n.w)
-
-    total = F.aggregate(weighted, F.lit(0.0), lambda s, n: s + n.w)
-    votes = F.array(*[F.struct(F.round(-share(c) / total, 12).alias("v"), F.lit(c).alias("label")) for c in sorted(classes)])
-    pairs = [v for c in classes for v in (F.lit(c), share(c) / total)]
-    return {"probabilities": F.create_map(*pairs), "predicted": F.array_min(votes).getField("label")}
+    return {"probabilities": _shares_udf(k, weights, classes)(neighbors_col), "predicted": _winner_udf(k, weights, classes)(neighbors_col)}
+
+
+def _winner_udf(k: int, weights: str, classes: Sequence[str]):
+    """The label with the largest share of the votes."""
+    ordered = sorted(classes)
+
+    @F.arrow_udf("string")
+    def winner(neighbors: pa.Array) -> pa.Array:
+        # a missing distance leaves no share to any label, so the first one wins there too
+        rounded = np.round(-np.nan_to_num(_shares(neighbors, k, weights, ordered)[0]), 12)
+        return pa.array(ordered, pa.string()).take(pa.array(rounded.argmin(axis=1)))
+
+    return winner
+
+
+def _shares_udf(k: int, weights: str, classes: Sequence[str]):
+    """The share of the votes of each label."""
+
+    @F.arrow_udf("map<string,double>")
+    def probabilities(neighbors: pa.Array) -> pa.Array:
+        shares, total = _shares(neighbors, k, weights, classes)
+        offsets = np.arange(0, shares.size + 1, len(classes), dtype=np.int32)
+        values = pa.array(shares.ravel(), mask=np.repeat(total == 0, len(classes)))
+        return pa.MapArray.from_arrays(pa.array(offsets), pa.array(list(classes) * len(shares), pa.string()), values)
+
+    return probabilities
+
+
+def _shares(neighbors: pa.Array, k: int, weights: str, classes: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(per row and class its share of the votes of the first k neighbours, per row all votes), summed in the neighbours' order."""
+    sizes = np.minimum(neighbors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), k)
+    starts = neighbors.offsets.to_numpy()[:-1].astype(np.int64)
+    d2 = pc.struct_field(neighbors.values, "d2").to_numpy(zero_copy_only=False)
+    found = pc.index_in(pc.struct_field(neighbors.values, "label"), pa.array(list(classes), pa.string())).fill_null(-1).to_numpy(zero_copy_only=False)
+    within = np.arange(k)[None, :] < sizes[:, None]
+    at = np.where(within, starts[:, None] + np.arange(k)[None, :], 0)
+    if not len(d2):
+        return np.zeros((len(sizes), len(classes))), np.zeros(len(sizes))
+    distance, label = d2[at], np.where(within, found[at], -1)
+    weight = np.ones(at.shape)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if weights == "distance":
+            exact = (distance == 0) & within
+            weight = np.where(exact.any(axis=1)[:, None], exact.astype(float), 1.0 / np.sqrt(distance))
+        shares, total = np.zeros((len(at), len(classes))), np.zeros(len(at))
+        for j in range(k):  # one place after the other, so that equal neighbours give equal sums
+            own = np.where(within[:, j], weight[:, j], 0.0)
+            total += own
+            for c in range(len(classes)):
+                shares[:, c] += np.where(label[:, j] == c, own, 0.0)
+        return shares / total[:, None], total

@@ -95,9 +95,9 @@ def _fold_scores(
             largest = max(s["n_neighbors"] for s in listed[KNN])
             index = knn.build(points(fit_rows, contract.target, contract.row_id), largest, train_id="tid", label="label", seed=contract.seed)
             scored = knn.with_neighbors(scored.withColumn("_x", vector_to_array("features")), index, largest, x="_x")
-            for i, s in enumerate(listed[KNN]):
-                predicted = knn.vote("neighbors", s["n_neighbors"], s["weights"], classes)["predicted"]
-                entries.append(F.struct(F.lit(KNN).alias("model"), F.lit(i).alias("setting"), predicted.alias("predicted")))
+            votes = [knn.vote("neighbors", s["n_neighbors"], s["weights"], classes)["predicted"] for s in listed[KNN]]
+            scored = scored.withColumns({f"_k{i}": predicted for i, predicted in enumerate(votes)})
+            entries += [F.struct(F.lit(KNN).alias("model"), F.lit(i).alias("setting"), F.col(f"_k{i}").alias("predicted")) for i in range(len(votes))]
         by = ["model", "setting"]
         long = scored.select(F.col(quoted(contract.target)).alias("actual"), F.inline(F.array(*entries)))
         table = scalar_metrics(per_label(confusion(long, contract.labels, by), by), by)

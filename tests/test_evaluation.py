@@ -170,6 +170,53 @@ def test_votes(spark):
     assert distance[2].probabilities == {"a": 0.0, "b": 1.0, "c": 0.0}
 
 
+def test_votes_take_one_pass_over_the_neighbours(spark):
+    near = "array<struct<rank:int,d2:double,id:long,label:string>>"
+    rng = np.random.default_rng(5)
+    labels = ["a", "b", "c", "x", None]  # the last two are no class, but vote
+    rows = [(i, [(j + 1, float(d), j, labels[rng.integers(0, 5)]) for j, d in enumerate(np.sort(rng.integers(0, 4, rng.integers(1, 12))))]) for i in range(60)]
+    rows += [(60, None)]
+    df = spark.createDataFrame(rows, f"i int, neighbors {near}").repartition(3)
+    classes, settings = ["c", "a", "b"], [(k, w) for k in (1, 3, 9) for w in ("uniform", "distance")]
+    asked = {}
+    for j, (k, w) in enumerate(settings):
+        votes = knn.vote("neighbors", k, w, classes)
+        asked |= {f"p{j}": votes["predicted"], f"s{j}": votes["probabilities"]}
+    scored = df.withColumns(asked)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("ArrowEvalPython") == 1
+    got = {r.i: r for r in scored.collect()}
+    assert len(got) == len(rows)
+    for i, hits in rows[:-1]:
+        for j, (k, w) in enumerate(settings):
+            first = hits[:k]
+            exact = any(h[1] == 0 for h in first)
+            weight = [1.0 if w == "uniform" else float(h[1] == 0) if exact else 1 / np.sqrt(h[1]) for h in first]
+            share = {c: sum(v for v, h in zip(weight, first) if h[3] == c) / sum(weight) for c in classes}
+            assert got[i][f"s{j}"] == pytest.approx(share)
+            assert got[i][f"p{j}"] == min(sorted(classes), key=lambda c: round(-share[c], 12))
+    assert got[60].p0 == "a" and got[60].s0 == {"a": None, "b": None, "c": None}
+
+
+def test_leaves_of_points_hold_one_category():
+    rng = np.random.default_rng(8)
+    category = rng.integers(0, 4, 4000)
+    x = np.concatenate([rng.uniform(-1.8, 1.8, (4000, 2)), np.eye(4)[category]], axis=1)
+    order, edges = knn._leaves(x)
+    assert sorted(order) == list(range(4000)) and edges[-1] == 4000
+    sizes = np.diff(edges)
+    assert sizes.min() > 0 and sizes.max() <= knn.LEAF_ROWS
+    assert all(len(set(category[order[a:b]])) == 1 for a, b in zip(edges[:-1], edges[1:]))
+    equal, cuts = knn._leaves(np.ones((1000, 3)))  # nothing to cut at
+    assert sorted(equal) == list(range(1000)) and np.diff(cuts).max() <= knn.LEAF_ROWS
+    asked = x[:300] + rng.normal(0, 0.01, (300, 6))
+    row, point, d2 = knn.nearest_points(asked, x, 5)
+    every = knn.squared_distances(asked, x)
+    near = np.argsort(every, axis=1, kind="stable")[:, :5]
+    assert (point.reshape(300, 5) == near).all() and (row == np.repeat(np.arange(300), 5)).all()
+    assert (d2.reshape(300, 5) == np.take_along_axis(every, near, axis=1)).all()
+
+
 def test_silhouette_equals_the_definition(spark):
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(0, 1, (30, 2)), rng.normal(4, 1, (25, 2)), [[20.0, 20.0]]])
