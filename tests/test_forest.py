@@ -131,3 +131,32 @@ def test_the_sample_is_bounded_by_label(spark):
     again = forest.sample(rows.repartition(7), "y", "id", ("a", "b", "c"), 42, rows=300)
     assert np.array_equal(data.bins, again.bins) and np.array_equal(data.label, again.label)
     assert len(data.edges[0]) == forest.BINS - 1
+
+
+def test_rows_go_on_from_a_smaller_depth():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4))
+    # full trees of four levels, and one that is a single leaf
+    size = 31
+    inner = np.arange(size) < 15
+    below = np.where(inner, 2 * np.arange(size) + 1, -1)
+    levels = np.floor(np.log2(np.arange(size) + 1)).astype(int)
+    roots = np.array([0, size, 2 * size])
+    whole = forest.Forest(
+        ("a", "b"), roots,
+        np.concatenate([np.where(inner, rng.integers(0, 4, size), -1), np.where(inner, rng.integers(0, 4, size), -1), [-1]]).astype(np.int32),
+        rng.normal(size=2 * size + 1),
+        np.concatenate([below, np.where(inner, below + size, -1), [-1]]).astype(np.int32),
+        np.concatenate([levels, levels, [0]]).astype(np.int32), rng.integers(1, 9, (2 * size + 1, 2)),
+    )
+
+    def down(row, node, depth):
+        for _ in range(depth):
+            if whole.feature[node] >= 0:
+                node = whole.below[node] + int(row[whole.feature[node]] > whole.threshold[node])
+        return node
+
+    ends = {d: whole.leaves(x, d) for d in (0, 2, None)}
+    for d, found in ends.items():
+        assert found.tolist() == [[down(row, root, 9 if d is None else d) for root in roots] for row in x]
+    assert (whole.leaves(x, 2, (ends[0], 0)) == ends[2]).all() and (whole.leaves(x, None, (ends[2], 2)) == ends[None]).all()
