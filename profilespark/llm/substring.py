@@ -2,9 +2,10 @@
 
 1. Every document's anchors (`anchors.py`) are hashed and counted; only those that occur more than once matter, as
    two equal windows of WINDOW bytes share an anchor.
-2. The bytes around such an anchor, as far as windows that hold it reach, go to the shard of its hash. Equal stretches are
-   one stretch there, and if there are two of it all its windows are repeated. Of each stretch, only as much is kept
-   on either side as some other stretch of the same anchor shares, in steps; one that is then shorter than a window is done.
+2. The bytes around such an anchor, as far as windows reach in which it is the lowest, go to the shard of its hash: equal
+   windows have the same lowest one, so other windows that hold it meet elsewhere. Equal stretches are one stretch there, and
+   if there are two of it all its windows are repeated. Of each stretch, only as much is kept on either side as some other
+   stretch of the same anchor shares, in steps; one that is then shorter than a window is done.
 3. A shard's stretches, those of one document merged where they overlap, are joined, and `suffix.py` finds the places whose
    window also starts elsewhere: induced suffix array, permuted common prefixes.
 4. Spans go to their documents, and what they cover is removed.
@@ -57,17 +58,40 @@ class Sizes:
     seed: int
 
 
-def _anchored(texts: list[bytes], sizes: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(seed hash, document, place, whether it is one of a whole window) of every anchor; texts must be as long as a passage."""
+def _own_range(hashes: np.ndarray, places: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to): the bytes of the windows of `width` runs in which each anchor is the lowest.
+
+    An anchor beside a lower one ends before it. Beside a higher one, or an equal one, its windows reach as far as they hold it:
+    what is lower than both is then too far away.
+    """
+    values = hashes[places]
+    start, last = places - width + 1, places + width - 1
+    falls = values[1:] < values[:-1]
+    start[1:] = np.where(values[:-1] < values[1:], np.maximum(start[1:], places[:-1] + 1), start[1:])
+    last[:-1] = np.where(falls, np.minimum(last[:-1], places[1:] - 1), last[:-1])
+    return start, last + seed
+
+
+def _anchored(texts: list[bytes], sizes: Sizes) -> tuple[np.ndarray, ...]:
+    """(seed hash, document, place, from, to) of every anchor, and the bytes of the windows that choose it; texts must be as long as a passage."""
     data = np.frombuffer(_MARK.join(texts) + _MARK, dtype=np.uint8)
     offset = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
     hashes = run_hash(byte_values(data), sizes.seed, mixed=True)
-    wide = anchors(hashes, sizes.window - sizes.seed + 1, offset)
-    places = np.union1d(wide, anchors(hashes, sizes.passage - sizes.seed + 1, offset))
+    found = []
+    for size in (sizes.window, sizes.passage):
+        width = size - sizes.seed + 1
+        own = anchors(hashes, width, offset)
+        found.append((own, *_own_range(hashes, own, width, sizes.seed)))
+    places = np.union1d(found[0][0], found[1][0])
+    starts, ends = places.copy(), places.copy()
+    for own, start, end in found:
+        at = np.searchsorted(places, own)
+        starts[at], ends[at] = np.minimum(starts[at], start), np.maximum(ends[at], end)
     document = np.searchsorted(offset, places, side="right") - 1
     whole = places + sizes.seed < offset[document + 1]
-    places, document = places[whole], document[whole]
-    return hashes[places], document, places - offset[document], np.isin(places, wide, assume_unique=True)
+    places, document, starts, ends = places[whole], document[whole], starts[whole], ends[whole]
+    base = offset[document]
+    return hashes[places], document, places - base, np.maximum(starts - base, 0), ends - base
 
 
 def _seeds(keyed: DataFrame, sizes: Sizes) -> DataFrame:
@@ -93,12 +117,11 @@ def _stretches(keyed: DataFrame, bitmap: np.ndarray, hot: dict[int, int], sizes:
             long = np.flatnonzero(np.array([len(t) for t in texts]) >= sizes.passage) if texts else np.zeros(0, dtype=np.int64)
             texts = [texts[i] for i in long]
             for a, b in chunks(texts):
-                seeds, document, places, wide = _anchored(texts[a:b], sizes)
-                hit = marked(bitmap, seeds)
-                seeds, document, places = seeds[hit], document[hit] + a, places[hit]
-                reach = np.where(wide[hit], sizes.window, sizes.passage)
-                starts = np.maximum(places - (reach - sizes.seed), 0)
-                own = [texts[d][s:e] for d, s, e in zip(document.tolist(), starts.tolist(), (places + reach).tolist())]
+                found = _anchored(texts[a:b], sizes)
+                hit = marked(bitmap, found[0])
+                seeds, document, places, starts, ends = (x[hit] for x in found)
+                document = document + a
+                own = [texts[d][s:e] for d, s, e in zip(document.tolist(), starts.tolist(), ends.tolist())]
                 row = long[document]
                 key = (mix(versions[row].view(np.uint64) ^ mix(ids[row].view(np.uint64))) >> np.uint64(1)).astype(np.int64)
                 columns = [seeds.view(np.int64), part_of(seeds, key, hot), ids[row], versions[row], starts, places - starts]

@@ -8,6 +8,7 @@ import pytest
 
 from conftest_llm import EDGES, corpus, prose, table
 from profilespark.llm import anchors, relative, substring, suffix
+from profilespark.llm import text as text_tools
 
 
 def test_suffix_array_and_common_prefixes_equal_brute_force(monkeypatch):
@@ -98,6 +99,25 @@ def test_bytes_of_hot_anchors_in_parts(spark, monkeypatch):
     assert found_bytes(table(spark, rows), 96) == brute_bytes(rows, 96)
 
 
+def test_a_stretch_holds_the_windows_that_choose_its_anchor_and_little_else():
+    """Every window is whole in a stretch around its lowest anchor; windows that hold an anchor without choosing it are left out."""
+    sizes = substring.Sizes(400, 200, 32)
+    texts = [prose(k, 150 + 20 * k).encode() for k in range(12)] + [b"ab" * 700, b"x" * 450, prose(3, 90).encode() + b"-" * 500 + prose(3, 90).encode(), b"y" * 200]
+    seeds, document, places, starts, ends = substring._anchored(texts, sizes)
+    for d, text in enumerate(texts):
+        hashes = text_tools.run_hash(text_tools.byte_values(np.frombuffer(text, np.uint8)), sizes.seed, mixed=True)
+        own = np.flatnonzero(document == d)
+        assert (hashes[places[own]] == seeds[own]).all() and (starts[own] >= 0).all()
+        for size in (sizes.window, sizes.passage):
+            for x in range(len(text) - size + 1):
+                whole = own[(starts[own] <= x) & (ends[own] >= x + size) & (places[own] >= x) & (places[own] + sizes.seed <= x + size)]
+                assert hashes[x:x + size - sizes.seed + 1].min() in seeds[whole]
+    plain = np.flatnonzero(document < 12)
+    ends = np.minimum(ends, np.array([len(t) for t in texts])[document])
+    # about 84 windows of 200 bytes choose an anchor, or 185 of 400; all that hold it are 168 and 368
+    assert np.median((ends - starts)[plain]) < 320
+
+
 def test_passages_that_repeat_in_one_document_alone_and_in_two(spark):
     """A passage of over 50 words, shorter than a window, in several documents, once or twice in each; another one twice in one document."""
     passage, own = prose(71, 55), prose(72, 55)
