@@ -1,9 +1,10 @@
 """Suffix arrays by induced sorting, and permuted longest common prefixes, for one shard of text.
 
 `suffix_array` classifies suffixes as smaller (S) or larger (L) than the next, sorts the leftmost-smaller
-substrings by induction, names them, sorts the string of names by recursion where names repeat, and induces the order of all
-suffixes from that of the leftmost smaller ones. At byte alphabets each bucket is induced in waves of whole arrays;
-the strings of names, a third as long, are induced one by one, and their substrings are sorted value by value where these are short.
+substrings by induction, names them, sorts the string of names where names repeat, and induces the order of all
+suffixes from that of the leftmost smaller ones. At byte alphabets each bucket is induced in waves of whole arrays.
+The strings of names, a third as long, are sorted by doubled ranks; where suffixes are equal for very long, by recursion,
+in which they are induced one by one, and their substrings are sorted value by value where these are short.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import numpy as np
 WAVE_ALPHABET = 1024
 #: substrings over larger alphabets that are equal for longer are sorted by induction
 REFINED = 256
+#: ranks of names are doubled as long as that sorts no more than so many times the number of names
+DOUBLED = 12
 
 
 def suffix_array(text: np.ndarray, alphabet: int) -> np.ndarray:
@@ -38,7 +41,8 @@ def suffix_array(text: np.ndarray, alphabet: int) -> np.ndarray:
     if most == len(leftmost):
         by_suffix = by_substring
     else:
-        by_suffix = leftmost[suffix_array(reduced, most)]
+        by_name = _doubled(reduced)
+        by_suffix = leftmost[suffix_array(reduced, most) if by_name is None else by_name]
     return induce(text, smaller, by_suffix, alphabet)
 
 
@@ -99,6 +103,36 @@ def _refined(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray) -> np.
     return None
 
 
+def _doubled(names: np.ndarray) -> np.ndarray | None:
+    """Suffix array of a string of names, whose last is nowhere else: suffixes equal in their first k names are sorted by the rank of what follows, for k = 1, 2, 4, ...
+
+    None if too many are equal for too long; recursion sorts them in linear time.
+    """
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    # the rank of a suffix is the place of the first one that equals it so far
+    rank, own = np.empty(n, dtype=np.int64), names[order]
+    held, k, left = np.arange(n), 1, DOUBLED * n
+    new = np.concatenate(([True], own[1:] != own[:-1]))
+    rank[order] = own = np.flatnonzero(new)[np.cumsum(new) - 1]
+    while left > 0:
+        same = own[1:] == own[:-1]
+        several = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        held, own = held[several], own[several]
+        if not len(held):
+            return order
+        left -= len(held)
+        at = order[held]
+        follows = rank[at + k]  # equal beginnings don't hold the last name, so there is one
+        by = np.argsort(own * n + follows)
+        at, follows = at[by], follows[by]
+        order[held] = at
+        new = np.concatenate(([True], (own[1:] != own[:-1]) | (follows[1:] != follows[:-1])))
+        rank[at] = own = held[new][np.cumsum(new) - 1]
+        k *= 2
+    return None
+
+
 def _append(order: np.ndarray, values: np.ndarray, text: np.ndarray, free: np.ndarray, step: int) -> None:
     """Puts values at the next free places of their buckets, in their order."""
     if not len(values):

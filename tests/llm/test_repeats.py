@@ -30,6 +30,24 @@ def test_suffix_array_and_common_prefixes_equal_brute_force(monkeypatch):
                     assert plcp[i] == (k if j >= 0 else 0)
 
 
+@pytest.mark.parametrize("doubled", [12, 0])
+def test_names_by_doubled_ranks_or_by_recursion(monkeypatch, doubled):
+    """Both ways give the order of all suffixes; text that repeats for long is sorted in whole arrays, without a loop over its places."""
+    monkeypatch.setattr(suffix, "DOUBLED", doubled)
+    singly, induced = suffix._induce_singly, []
+    monkeypatch.setattr(suffix, "_induce_singly", lambda *a: induced.append(len(a[0])) or singly(*a))
+    draw = random.Random(4)
+    for k in range(40):
+        part = bytes(draw.choice(b"abcd") for _ in range(draw.randint(1, 200)))
+        t = part * draw.randint(1, 4) + b"\xff" + part[:50] + bytes([97 + k % 3]) + part
+        order = suffix.suffix_array(np.append(np.frombuffer(t, np.uint8).astype(np.int64) + 1, 0), 257)
+        assert order.tolist() == sorted(range(len(t) + 1), key=lambda i: t[i:])
+    t = bytes(draw.randint(0, 254) for _ in range(6000)) * 2
+    order = suffix.suffix_array(np.append(np.frombuffer(t, np.uint8).astype(np.int64) + 1, 0), 257)
+    assert order.tolist() == sorted(range(len(t) + 1), key=lambda i: t[i:])
+    assert bool(induced) == (not doubled)
+
+
 def test_shared_bytes_of_two_places_up_to_the_end():
     draw = np.random.default_rng(5)
     for n in (2, 7, 8, 9, 15, 16, 17, 40, 300):
